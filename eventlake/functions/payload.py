@@ -32,21 +32,16 @@ def keys(payload: str | Column = "payload") -> Column:
     return F.json_object_keys(payload)
 
 
+def key_seen(keys_col: str, name: str) -> Column:
+    """Aggregate: whether any row has the named field."""
+    return F.coalesce(F.max(F.array_contains(keys_col, name)), F.lit(False))
+
+
 def fields(names: Sequence[str], payload: str | Column = "payload") -> Column:
     """Struct of the named fields as text; absent and JSON null are NULL."""
     return F.from_json(payload, ", ".join(f"`{n}` string" for n in names))
 
 
-def array_sizes(names: Sequence[str], payload: str | Column = "payload") -> list[Column]:
-    """Length of each named array field, NULL (not -1) where it is absent.
-
-    One decode serves all names. Elements are kept as text, so their shape does
-    not matter.
-    """
-    parsed = F.from_json(payload, ", ".join(f"`{n}` array<string>" for n in names))
-    return [size(parsed[n]).alias(n) for n in names]
-
-
-def size(array: str | Column) -> Column:
-    col = F.col(array) if isinstance(array, str) else array
-    return F.when(col.isNotNull(), F.size(col))
+def arrays(names: Sequence[str], payload: str | Column = "payload") -> Column:
+    """Struct of the named array fields; elements stay text, whatever their shape."""
+    return F.from_json(payload, ", ".join(f"`{n}` array<string>" for n in names))

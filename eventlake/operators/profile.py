@@ -157,7 +157,7 @@ def payload_field_presence(
             *(
                 F.struct(
                     F.lit(n).alias("field"),
-                    F.coalesce(F.max(F.array_contains("keys", n)), F.lit(False)).alias("in_schema"),
+                    P.key_seen("keys", n).alias("in_schema"),
                     F.count(F.col("f")[n]).alias("non_null"),
                     total.alias("total"),
                 )
@@ -170,6 +170,17 @@ def payload_field_presence(
     )
 
 
+def array_sizes(raw: DataFrame, names: Sequence[str], *keep: str) -> DataFrame:
+    """Length of each named payload array, NULL (never -1) where it is absent.
+
+    The payload is decoded once for all names.
+    """
+    decoded = raw.select("type", *keep, P.arrays(names).alias("arrays"))
+    return decoded.select(
+        "type", *keep, *(F.array_size(f"arrays.{n}").alias(n) for n in names)
+    )
+
+
 def array_field_profile(
     raw: DataFrame, names: Sequence[str] = PAYLOAD_ARRAYS
 ) -> DataFrame:
@@ -178,7 +189,7 @@ def array_field_profile(
     Grouped by type only, with every field as a set of aggregates, so no row is
     multiplied by the number of fields.
     """
-    sized = raw.select("type", *P.array_sizes(names))
+    sized = array_sizes(raw, names)
     per_type = sized.groupBy("type").agg(
         F.array(
             *(
@@ -197,12 +208,11 @@ def array_field_profile(
 
 def array_size_stats(raw: DataFrame, type_name: str = PULL_REQUEST, name: str = "labels") -> DataFrame:
     """Summary of one array field's length within one type; NULL arrays are left out."""
-    (size,) = P.array_sizes([name])
-    n = raw.filter(F.col("type") == type_name).select(size.alias("n"))
-    return n.agg(
-        F.count("n").alias("count"),
-        F.round(F.avg("n"), 6).alias("mean"),
-        F.round(F.stddev_samp("n"), 6).alias("stddev"),
-        F.min("n").alias("min"),
-        F.max("n").alias("max"),
+    sized = array_sizes(raw.filter(F.col("type") == type_name), [name])
+    return sized.agg(
+        F.count(name).alias("count"),
+        F.round(F.avg(name), 6).alias("mean"),
+        F.round(F.stddev_samp(name), 6).alias("stddev"),
+        F.min(name).alias("min"),
+        F.max(name).alias("max"),
     )

@@ -8,8 +8,9 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.functions.payload import keys
+from eventlake.functions.payload import key_seen, keys
 from eventlake.functions.timestamps import hour_of_day
+from eventlake.operators.bronze import in_dates
 from eventlake.operators.keep import count_by, top
 from eventlake.schema import PAYLOAD_FIELDS, PULL_REQUEST
 
@@ -82,15 +83,13 @@ def missing_payload_fields(
     raw: DataFrame, expected: Sequence[str] = PAYLOAD_FIELDS
 ) -> DataFrame:
     """Expected payload fields that no record has."""
-    spark = raw.sparkSession
-    wanted = spark.createDataFrame([(f,) for f in expected], "field string")
-    # Cut to the expected names before the join: at most that many rows remain.
-    seen = (
-        raw.select(F.explode(keys()).alias("field"))
-        .filter(F.col("field").isin(*expected))
-        .distinct()
+    # One flag per expected name, so each task hands on a single row.
+    flags = F.array(
+        *(F.struct(F.lit(n).alias("field"), key_seen("keys", n).alias("seen")) for n in expected)
     )
-    return wanted.join(seen, "field", "left_anti")
+    report = raw.select(keys().alias("keys")).agg(flags.alias("flags"))
+    absent = F.filter("flags", lambda f: ~f["seen"])
+    return report.select(F.inline(absent)).select("field")
 
 
 def unexpected_payload_fields(
@@ -136,13 +135,17 @@ def missing_hours(
     if start is not None and end is not None and end < start:
         raise ValueError(f"end {end} lies before start {start}")
     stamp = F.col("created_at")
-    first = F.lit(start) if start else F.min(stamp).cast("date")
-    last = F.lit(end) if end else F.max(stamp).cast("date")
-    range_of = events.agg(first.alias("first"), last.alias("last"))
-    days = range_of.select(F.explode(F.sequence("first", "last")).alias("event_date"))
     present = events.select(
         stamp.cast("date").alias("event_date"), hour_of_day(stamp).alias("hour")
-    ).distinct()
+    )
+    present = present.filter(in_dates(start, end) & F.col("event_date").isNotNull())
+    present = present.distinct()
+    # The bounds come from the distinct hours, so the events are scanned once.
+    bounds = present.agg(
+        (F.lit(start) if start else F.min("event_date")).alias("first"),
+        (F.lit(end) if end else F.max("event_date")).alias("last"),
+    )
+    days = bounds.select(F.explode(F.sequence("first", "last")).alias("event_date"))
     return _with_hours(days).join(present, ["event_date", "hour"], "left_anti")
 
 

@@ -70,15 +70,57 @@ def silver(bronze: DataFrame) -> DataFrame:
     copy of an event.
     """
     others = one_row_per(flatten(bronze.filter(~_is_pull_request())), ["event_id"])
-    pulls = one_row_per(
-        explode_labels(gate_labels(bronze.filter(_is_pull_request()))),
-        ["event_id", "pr_label_name"],
-        lowest=["pr_label_color"],
-    )
+    return _unlabelled(others).unionByName(_pull_rows(bronze))
+
+
+def _pull_rows(bronze: DataFrame) -> DataFrame:
+    exploded = explode_labels(gate_labels(bronze.filter(_is_pull_request())))
+    return one_row_per(
+        exploded, ["event_id", "pr_label_name"], lowest=["pr_label_color"]
+    ).select(*SILVER_COLUMNS)
+
+
+def _unlabelled(rows: DataFrame) -> DataFrame:
     none = F.lit(None).cast("string")
-    return others.select(
+    return rows.select(
         *EVENT_COLUMNS, none.alias("pr_label_name"), none.alias("pr_label_color")
-    ).unionByName(pulls.select(*SILVER_COLUMNS))
+    )
+
+
+def repeated_ids(bronze: DataFrame) -> DataFrame:
+    """Hashes of the event ids that may occur more than once.
+
+    Eight bytes per event are shuffled, copies collapsing in each task first. Two
+    ids that share a hash are listed too, which costs a little work and changes
+    nothing: ``silver_around`` compares the ids themselves.
+    """
+    return (
+        bronze.select(_id_hash("id"))
+        .groupBy("id_hash")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter(F.col("n") > 1)
+        .select("id_hash")
+    )
+
+
+def silver_around(bronze: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows of ``silver``, given ``repeated_ids`` small enough to broadcast.
+
+    Events that occur once go straight through, without a shuffle and in the files'
+    own date order; only repeated ones and pull requests are brought together.
+    """
+    others = flatten(bronze.filter(~_is_pull_request())).select("*", _id_hash("event_id"))
+    repeated = F.broadcast(repeated)
+    single = others.join(repeated, "id_hash", "left_anti").drop("id_hash")
+    copies = others.join(repeated, "id_hash", "left_semi").drop("id_hash")
+    gathered = _unlabelled(one_row_per(copies, ["event_id"])).unionByName(
+        _pull_rows(bronze)
+    )
+    return _unlabelled(single).unionByName(gathered.hint("rebalance", "event_date"))
+
+
+def _id_hash(column: str) -> Column:
+    return F.xxhash64(column).alias("id_hash")
 
 
 def events(bronze: DataFrame, *columns: str) -> DataFrame:

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.functions.payload import labels, size
+from eventlake.functions.payload import labels, pr_labels
 from eventlake.functions.timestamps import hour_of_day
 from eventlake.operators import bronze as B
 from eventlake.operators import gold as G
@@ -85,8 +85,7 @@ def hours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def raw_events(spark: SparkSession, sf: str) -> DataFrame:
-    flat = S.flatten(B.bronze(raw_files(spark, sf)))
-    return flat
+    return S.flatten(B.bronze(raw_files(spark, sf)))
 
 
 def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
@@ -148,7 +147,8 @@ def corrupt_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def silver_with_broken_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Reconciliation of the Silver rows that remain beside broken lines."""
-    return Q.silver_reconcile(S.silver(B.bronze(raw_files(spark, sf, broken=True))))
+    readable = stored(B.bronze(raw_files(spark, sf, broken=True)), "bronze")
+    return Q.silver_reconcile(S.silver(readable))
 
 
 def event_grain(spark: SparkSession, sf: str) -> DataFrame:
@@ -165,24 +165,20 @@ def created_at_parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def array_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    return raw(spark, sf).select(
-        F.col("id").alias("event_id"), "type", size(labels()).alias("n_labels")
+    sizes = P.array_sizes(raw(spark, sf), ["labels"], "id")
+    return sizes.select(
+        F.col("id").alias("event_id"), "type", F.col("labels").alias("n_labels")
     )
 
 
 def label_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Label counts per type before and after the gate."""
-    return (
-        bronze(spark, sf)
-        .select("type", labels().alias("any_labels"))
-        .groupBy("type")
-        .agg(F.coalesce(F.sum(size("any_labels")), F.lit(0)).alias("labels_in_payload"))
-        .join(
-            gated(spark, sf)
-            .groupBy("type")
-            .agg(F.coalesce(F.sum(size("pr_labels")), F.lit(0)).alias("labels_kept")),
-            "type",
-        )
+    both = bronze(spark, sf).select(
+        "type", labels().alias("any"), pr_labels().alias("kept")
+    )
+    return both.groupBy("type").agg(
+        F.coalesce(F.sum(F.array_size("any")), F.lit(0)).alias("labels_in_payload"),
+        F.coalesce(F.sum(F.array_size("kept")), F.lit(0)).alias("labels_kept"),
     )
 
 

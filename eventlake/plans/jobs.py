@@ -22,6 +22,10 @@ from eventlake.operators import silver as S
 from eventlake.schema import CORRUPT, WATCH
 from eventlake.sources.layers import read_layer, write_by_date, write_table
 from eventlake.sources.raw import read_raw
+from eventlake.sources.scratch import scratch_path
+
+# Repeated ids that still fit a broadcast: 8-byte keys, some 30 MB once hashed.
+BROADCAST_IDS = 1_000_000
 
 GOLD_TABLES = ("top_repos_by_stars", "events_by_hour", "top_actors")
 
@@ -89,12 +93,20 @@ def run_silver(
     end: date | None = None,
     verify: bool = True,
 ) -> dict[str, int]:
-    """Bronze to Silver. ``verify`` compares the distinct events of both layers."""
+    """Bronze to Silver. ``verify`` compares the distinct events of both layers.
+
+    The ids that occur more than once are listed first, in a table whose length
+    decides the way: few enough to broadcast, and all other events pass without a
+    shuffle; too many, and all events are brought together by id.
+    """
     dated = start is not None or end is not None
     source = read_layer(spark, f"{lake}/bronze", start, end)
-    write_by_date(
-        S.silver(source), f"{lake}/silver", replace_dates_only=dated, gather=True
-    )
+    listed = scratch_path(spark, "repeated", f"{lake}/_scratch")
+    write_table(S.repeated_ids(source), listed)
+    repeated = spark.read.parquet(listed)
+    few = repeated.count() <= BROADCAST_IDS
+    rows = S.silver_around(source, repeated) if few else S.silver(source)
+    write_by_date(rows, f"{lake}/silver", replace_dates_only=dated, gather=not few)
     if not verify:
         return {}
     stored = read_layer(spark, f"{lake}/silver", start, end)

@@ -8,12 +8,13 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
+def scratch_path(spark: SparkSession, name: str, shared_root: str | None = None) -> str:
     """A new path in the shared folder the session names for checkpoints.
 
-    Only a local session without such a folder gets a temporary directory.
+    Without such a folder, below ``shared_root``; only a local session that has
+    neither gets a temporary directory.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or shared_root
     if not root:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
