@@ -1,0 +1,86 @@
+from __future__ import annotations
+
+from builders import bronze_rows, event, plan
+from pyspark.sql import functions as F
+
+from eventlake.operators import gold as G
+from eventlake.operators import profile as P
+from eventlake.operators import quality as Q
+from eventlake.operators import silver as S
+
+
+def rows(df):
+    return [tuple(r) for r in df.collect()]
+
+
+def flat(spark, events):
+    return S.flatten(bronze_rows(spark, events))
+
+
+def test_ties_go_by_name(spark):
+    events = flat(spark, [event(str(i), login=f"u{i:02d}") for i in range(21)])
+    assert rows(G.top_actors(events)) == [(f"u{i:02d}", 1) for i in range(20)]
+
+
+def test_filter_before_and_after_ranking(spark):
+    busy = [event(f"{i}-{j}", login=f"b{i:02d}[bot]") for i in range(20) for j in range(2)]
+    events = flat(spark, [*busy, event("q", login="quiet")])
+    assert rows(G.non_bot_of_top(G.top_actors(events))) == []
+    assert rows(G.top_non_bot_actors(events)) == [("quiet", 1)]
+
+
+def test_null_keys_are_groups(spark):
+    nobody = event("1", type="WatchEvent", login=None, repo=None, at="junk")
+    events = flat(spark, [nobody, event("2", type="WatchEvent")])
+    assert rows(G.top_actors(events)) == [(None, 1), ("ann", 1)]
+    assert rows(G.top_repos_by_stars(events)) == [(None, 1), ("o/r", 1)]
+    assert rows(G.events_by_hour(events)) == [(None, 1), (5, 1)]
+    assert rows(G.top_non_bot_actors(events)) == [("ann", 1)]
+
+
+def test_days_add_up_per_hour(spark, any_zone):
+    events = flat(spark, [event("1", at="2024-01-01T05:00:00Z"), event("2", at="2024-01-02T05:59:59Z")])
+    assert rows(G.events_by_hour(events)) == [(5, 2)]
+    assert G.events_by_date_and_hour(events).count() == 2
+
+
+def test_peak_and_quiet_ties_go_to_the_earliest_hour(spark):
+    table = spark.createDataFrame([(3, 5), (1, 5), (9, 2), (7, 2), (4, 3)], "hour int, event_count long")
+    assert rows(G.hour_peak_quiet(table)) == [(1, 5, 7, 2, 17, 150.0)]
+
+
+def test_only_stars_count_for_repos(spark):
+    events = flat(spark, [event("1", type="WatchEvent"), event("2"), event("3", type="WatchEvent", repo="a/b")])
+    assert rows(G.top_repos_by_stars(events)) == [("a/b", 1), ("o/r", 1)]
+    assert rows(G.top_repos_by_events(events)) == [("o/r", 2), ("a/b", 1)]
+
+
+def test_ranking_aggregates_before_the_shuffle(spark):
+    text = plan(G.top_actors(flat(spark, [event()])))
+    assert "TakeOrderedAndProject" in text
+    assert text.index("Exchange") < text.index("partial_count")
+
+
+def test_share_gathers_no_groups(spark):
+    events = flat(spark, [event(str(i), login=f"u{i % 3}") for i in range(10)])
+    df = P.actor_share(events)
+    assert rows(df) == [("u0", 4, 40.0), ("u1", 3, 30.0), ("u2", 3, 30.0)]
+    assert "Window" not in plan(df)
+
+
+def test_skew_report_does_not_depend_on_adaptive_execution(spark):
+    events = spark.range(3000).select(
+        F.concat(F.lit("u"), (F.col("id") % 150).cast("string")).alias("actor_login")
+    )
+    got = []
+    for aqe in ("true", "false"):
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
+        got.append(rows(Q.key_skew_report(events, buckets=8)))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got[0] == got[1]
+    assert sum(r[1] for r in got[0]) == 150 and sum(r[2] for r in got[0]) == 3000
+
+
+def test_heaviest_key(spark):
+    events = flat(spark, [event("1", login="b"), event("2", login="a"), event("3", login="b")])
+    assert rows(Q.heaviest_key(events)) == [("b", 2)]

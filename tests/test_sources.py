@@ -1,0 +1,143 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from builders import bronze_rows, event, label, plan, pull, write_hour
+from pyspark.sql import functions as F
+
+from eventlake.operators import bronze as B
+from eventlake.operators import quality as Q
+from eventlake.operators import silver as S
+from eventlake.sources.layers import partition_layout, read_layer, write_by_date
+from eventlake.sources.raw import missing_files, raw_glob, read_raw
+from eventlake.sources.scratch import scratch_path
+
+D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+
+
+def test_no_files_is_an_error(spark):
+    with pytest.raises(FileNotFoundError):
+        read_raw(spark, [])
+
+
+def test_reads_nested_fields_and_keeps_the_payload_text(spark, folder):
+    path = write_hour(folder, "2024-01-01-5.json.gz", [pull("1", label("ü"), org="acme", extra=1), "", event("2")])
+    raw = read_raw(spark, path)
+    first = raw.orderBy("id").first()
+    assert B.bronze(raw).count() == raw.count() == 2
+    assert (first.actor.login, first.repo.name, first.org.login, first.public) == ("ann", "o/r", "acme", True)
+    assert json.loads(first.payload)["labels"][0] == label("ü")
+    silver = S.silver(B.bronze(raw)).orderBy("event_id").collect()
+    assert [(r.event_id, r.pr_label_name, r.org_login) for r in silver] == [("1", "ü", "acme"), ("2", None, None)]
+
+
+def test_no_job_runs_to_find_the_schema(spark, folder):
+    path = write_hour(folder, "2024-01-01-5.json.gz", [event("1")])
+    group = "schema-check"
+    spark.sparkContext.setJobGroup(group, group)
+    read_raw(spark, path)
+    assert not list(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_broken_lines_are_set_aside(spark, folder):
+    good = [event(str(i)) for i in range(4)]
+    path = write_hour(folder, "2024-01-01-5.json.gz", [*good, '{"id":"9","type":"Pu'])
+    raw = read_raw(spark, path)
+    assert tuple(B.corrupt_count(raw).first()) == (5, 1, 4)
+    assert B.broken_lines(raw).count() == 1
+    assert S.silver(B.bronze(raw)).count() == 4
+
+
+def test_a_badly_typed_field_is_a_broken_line_everywhere(spark, folder):
+    odd = event("9")
+    odd["actor"]["id"] = "not a number"
+    raw = read_raw(spark, write_hour(folder, "2024-01-01-5.json.gz", [event("1"), odd]))
+    assert tuple(B.corrupt_count(raw).first()) == (2, 1, 1)
+    assert [r.id for r in B.broken_lines(raw).collect()] == ["9"]
+
+
+def test_same_event_in_two_files(spark, folder):
+    paths = [write_hour(folder, f"2024-01-01-{h}.json.gz", [event("1")]) for h in (4, 5)]
+    b = B.bronze(read_raw(spark, paths))
+    assert b.count() == 2
+    assert S.events(b).count() == S.silver(b).count() == 1
+
+
+def test_glob_reads_the_days_asked_for(spark, folder):
+    for day in (1, 2, 3):
+        write_hour(folder, f"2024-01-0{day}-11.json.gz", [event(str(day))])
+    assert sorted(r.id for r in read_raw(spark, raw_glob(folder, D1, D2)).collect()) == ["1", "2"]
+    with pytest.raises(ValueError):
+        raw_glob(folder, D2, D1)
+
+
+def test_missing_files(spark, folder):
+    for hour in range(24):
+        if hour not in (5, 17):
+            write_hour(folder, f"2024-01-01-{hour}.json.gz", [event()])
+    got = sorted((r.hour, r.file_name) for r in missing_files(spark, folder, D1, D1).collect())
+    assert got == [(5, "2024-01-01-5.json.gz"), (17, "2024-01-01-17.json.gz")]
+    assert missing_files(spark, folder, D1, D2).count() == 26
+
+
+def test_manifest(spark):
+    assert Q.hour_manifest(spark, D1, D2).count() == 48
+    with pytest.raises(ValueError):
+        Q.hour_manifest(spark, D2, D1)
+
+
+def test_missing_hours(spark, any_zone):
+    stamps = [f"2024-01-01T{h:02d}:10:00Z" for h in range(24) if h != 5] + ["junk"]
+    events = S.flatten(bronze_rows(spark, [event(str(i), at=a) for i, a in enumerate(stamps)]))
+    assert [tuple(r) for r in Q.missing_hours(events).collect()] == [(D1, 5)]
+    assert Q.missing_hours(events, D1, D2).count() == 25
+    assert Q.missing_hours(events, D2, D2).count() == 24
+
+
+def test_partition_pruning(spark, folder):
+    rows = [event("1"), event("2", at="2024-01-02T00:00:00Z"), event("3", at="junk")]
+    write_by_date(bronze_rows(spark, rows), f"{folder}/b")
+    day = read_layer(spark, f"{folder}/b", D2, D2)
+    assert [r.id for r in day.collect()] == ["2"]
+    assert "2024-01-02" in plan(day.select("id")).split("PartitionFilters: [")[1].split("]")[0]
+    everything = read_layer(spark, f"{folder}/b")
+    assert dict(everything.dtypes)["event_date"] == "date"
+    assert sorted((r.id, r.event_date) for r in everything.collect())[2] == ("3", None)
+
+
+def test_one_day_can_be_replaced_and_rerun(spark, folder):
+    both = [event("1"), event("2", at="2024-01-02T00:00:00Z")]
+    write_by_date(bronze_rows(spark, both), f"{folder}/b")
+    for _ in range(2):
+        write_by_date(bronze_rows(spark, [event("3"), event("4")]), f"{folder}/b", replace_dates_only=True)
+        assert sorted(r.id for r in read_layer(spark, f"{folder}/b").collect()) == ["2", "3", "4"]
+
+
+def test_layout_counts_files_without_reading_them(spark, folder):
+    write_by_date(bronze_rows(spark, [event("1"), event("2", at="2024-01-02T00:00:00Z")]).coalesce(1), f"{folder}/b")
+    df = partition_layout(spark, f"{folder}/b")
+    assert [(r.event_date, r.files) for r in df.collect()] == [(D1, 1), (D2, 1)]
+    assert all(r.size_mb > 0 for r in df.collect())
+    assert "content" not in plan(df)
+
+
+def test_gathered_write_makes_one_file_per_small_date(spark, folder):
+    rows = spark.range(0, 4000, 1, 8).select(
+        F.col("id").cast("string").alias("id"), F.lit("PushEvent").alias("type"),
+        F.date_add(F.lit(D1), (F.col("id") % 5).cast("int")).alias("event_date"),
+    )
+    write_by_date(rows, f"{folder}/scattered")
+    write_by_date(rows, f"{folder}/gathered", gather=True)
+    files = lambda n: {r.files for r in partition_layout(spark, f"{folder}/{n}").collect()}
+    assert files("scattered") == {8} and files("gathered") == {1}
+    assert read_layer(spark, f"{folder}/gathered").count() == 4000
+
+
+def test_scratch_follows_the_session(spark):
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    path = scratch_path(spark, "x")
+    assert path != scratch_path(spark, "x")
+    if root:
+        assert path.startswith(root.rstrip("/"))
