@@ -53,6 +53,7 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
         show("bronze layout", partition_layout(spark, f"{args.lake}/bronze"))
     if "profile" in args.steps:
         rows = read_layer(spark, f"{args.lake}/bronze", *dates)
+        rows.printSchema()
         for title, table in jobs.profile(rows).items():
             show(title, table)
     if "silver" in args.steps:

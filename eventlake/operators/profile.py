@@ -72,6 +72,17 @@ def duplicate_ids(core: DataFrame) -> DataFrame:
     return seen.filter(F.col("n") > 1).agg(F.count(F.lit(1)).alias("duplicate_ids"))
 
 
+def distinct_event_count(events: DataFrame) -> DataFrame:
+    """Number of distinct events; a NULL id counts as one."""
+    ids = events.select("event_id").distinct()
+    return ids.agg(F.count(F.lit(1)).alias("distinct_events"))
+
+
+def group_count(df: DataFrame, key: str) -> DataFrame:
+    """Number of groups a grouping by the key has, NULL being one."""
+    return count_by(df, key).agg(F.count(F.lit(1)).alias("groups"))
+
+
 def cardinalities(core: DataFrame, columns: Sequence[str] = ("actor_login", "repo_name")) -> DataFrame:
     """Distinct values of each column, NULL counting as a value.
 

@@ -92,14 +92,6 @@ def missing_payload_fields(
     return report.select(F.inline(absent)).select("field")
 
 
-def unexpected_payload_fields(
-    raw: DataFrame, expected: Sequence[str] = PAYLOAD_FIELDS
-) -> DataFrame:
-    """Payload fields nobody expects, with the number of records that have them."""
-    seen = raw.select(F.explode(keys()).alias("field"))
-    return count_by(seen.filter(~F.col("field").isin(*expected)), "field")
-
-
 def hour_manifest(spark: SparkSession, start: date, end: date) -> DataFrame:
     """Every hour of every day of an inclusive range, with its raw file name.
 

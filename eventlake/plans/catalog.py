@@ -234,6 +234,12 @@ QUERIES: dict[str, Query] = {
     "duplicate_ids": lambda s, d: P.duplicate_ids(
         P.core_projection(raw(s, d, redelivered=True))
     ),
+    "distinct_event_count": lambda s, d: P.distinct_event_count(
+        S.flatten(bronze(s, d, redelivered=True))
+    ),
+    "actor_group_count": lambda s, d: P.group_count(
+        events(s, d, "actor_login"), "actor_login"
+    ),
     "created_at_range": lambda s, d: P.created_at_range(core(s, d)),
     "public_counts": lambda s, d: P.public_counts(core(s, d)),
     "org_null_ratio": lambda s, d: P.org_null_ratio(core(s, d)),

@@ -163,6 +163,7 @@ def profile(raw: DataFrame) -> dict[str, DataFrame]:
     """Profiling reports of raw or Bronze rows, as unevaluated tables."""
     core = P.core_projection(raw)
     return {
+        "sample": P.nested_select(raw).limit(20),
         "total_events": P.total_events(core),
         "events_by_type": P.events_by_type(core),
         "type_share": P.type_share(core),

@@ -184,6 +184,10 @@ _BODIES: dict[str, str] = {
         FROM raw GROUP BY 1 ORDER BY 2 DESC, 1 NULLS FIRST LIMIT 20""",
     "duplicate_ids": """SELECT count(*) AS duplicate_ids FROM
         (SELECT event_id FROM redelivered GROUP BY 1 HAVING count(*) > 1)""",
+    "distinct_event_count": """SELECT count(DISTINCT event_id) AS distinct_events
+        FROM redelivered""",
+    "actor_group_count": """SELECT count(*) AS groups
+        FROM (SELECT actor_login FROM raw GROUP BY 1)""",
     "created_at_range": """SELECT min(created_text) AS min_ts, max(created_text) AS max_ts
         FROM raw""",
     "public_counts": "SELECT public, count(*) AS event_count FROM raw GROUP BY 1",
