@@ -117,6 +117,14 @@ def _with_share(counts: DataFrame) -> DataFrame:
     return counts.withColumn("share_pct", percent(F.col("event_count"), whole))
 
 
+def top_level_fields(lines: DataFrame) -> DataFrame:
+    """Top-level fields of raw text lines and how many lines have each.
+
+    The fixed schema skips fields it does not know; this report shows them.
+    """
+    return count_by(lines.select(F.explode(P.keys("value")).alias("field")), "field")
+
+
 # Payload
 
 

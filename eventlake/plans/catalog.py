@@ -18,7 +18,7 @@ from eventlake.operators import silver as S
 from eventlake.plans import jobs
 from eventlake.schema import WATCH
 from eventlake.sources import layers, sample
-from eventlake.sources.raw import read_raw
+from eventlake.sources.raw import read_lines, read_raw
 from eventlake.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -141,6 +141,12 @@ def events_on_date(spark: SparkSession, sf: str) -> DataFrame:
     return day.select(F.col("id").alias("event_id"), "type", "event_date")
 
 
+def top_level_fields(spark: SparkSession, sf: str) -> DataFrame:
+    path = scratch_path(spark, "raw")
+    sample.write_raw_lines(sample.raw_lines(raw(spark, sf)), path)
+    return P.top_level_fields(read_lines(spark, [path]))
+
+
 def corrupt_count(spark: SparkSession, sf: str) -> DataFrame:
     return B.corrupt_count(raw_files(spark, sf, broken=True))
 
@@ -190,6 +196,7 @@ QUERIES: dict[str, Query] = {
     "partition_layout": partition_layout,
     "events_on_date": events_on_date,
     "corrupt_count": corrupt_count,
+    "top_level_fields": top_level_fields,
     "missing_hours": lambda s, d: Q.missing_hours(S.flatten(bronze(s, d))),
     # projections and scalar functions
     "nested_select": lambda s, d: P.nested_select(raw(s, d)),

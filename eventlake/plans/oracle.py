@@ -109,6 +109,11 @@ _BODIES: dict[str, str] = {
         UNION ALL SELECT 'top_actors', count(*), CAST(sum(event_count) AS BIGINT) FROM actors""",
     "events_on_date": """SELECT event_id, type, event_date FROM raw
         WHERE event_date = DATE '2024-01-15'""",
+    "top_level_fields": """
+        SELECT field, count(*) AS event_count FROM (
+          SELECT unnest(['id', 'type', 'actor', 'repo', 'public', 'created_at', 'payload'])
+            AS field FROM raw
+          UNION ALL SELECT 'org' FROM raw WHERE org_login IS NOT NULL) GROUP BY 1""",
     "corrupt_count": """SELECT count(*) AS lines,
         count(*) FILTER (n % 100 = 7) AS broken_lines,
         count(*) FILTER (n % 100 <> 7) AS events FROM raw""",

@@ -30,6 +30,11 @@ def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     )
 
 
+def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """The same files as text, one row per line in column ``value``."""
+    return spark.read.text(paths)
+
+
 def raw_glob(root: str, start: date, end: date) -> str:
     """Path pattern for every hourly file of an inclusive date range."""
     if end < start:

@@ -36,7 +36,7 @@ def test_rows_only_queries_run(spark, name):
 
 
 def test_entry(spark):
-    assert entry(spark).first().asDict() == {"actor_login": "ci-runner[bot]", "event_count": 70}
+    assert entry(spark).first().asDict() == {"actor_login": "user14", "event_count": 85}
 
 
 def test_published_sample_figures(spark):

@@ -8,10 +8,11 @@ from builders import bronze_rows, event, label, plan, pull, write_hour
 from pyspark.sql import functions as F
 
 from eventlake.operators import bronze as B
+from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.sources.layers import partition_layout, read_layer, write_by_date
-from eventlake.sources.raw import missing_files, raw_glob, read_raw
+from eventlake.sources.raw import missing_files, raw_glob, read_lines, read_raw
 from eventlake.sources.scratch import scratch_path
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -33,6 +34,12 @@ def test_reads_nested_fields_and_keeps_the_payload_text(spark, folder):
     assert [(r.event_id, r.pr_label_name, r.org_login) for r in silver] == [("1", "ü", "acme"), ("2", None, None)]
 
 
+def test_unknown_top_level_fields_are_reported(spark, folder):
+    path = write_hour(folder, "2024-01-01-5.json.gz", [event("1"), event("2", novel=1), "{broken"])
+    got = {r.field: r.event_count for r in P.top_level_fields(read_lines(spark, [path])).collect()}
+    assert got == {"id": 2, "type": 2, "actor": 2, "repo": 2, "public": 2, "created_at": 2, "payload": 2, "novel": 1}
+
+
 def test_no_job_runs_to_find_the_schema(spark, folder):
     path = write_hour(folder, "2024-01-01-5.json.gz", [event("1")])
     group = "schema-check"
