@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from eventlake.functions.payload import pr_labels
 from eventlake.functions.timestamps import parse_utc
-from eventlake.operators.keep import one_row_per
+from eventlake.operators.keep import count_by, one_row_per
 from eventlake.schema import EVENT_COLUMNS, PULL_REQUEST, SILVER_COLUMNS
 
 
@@ -87,19 +87,30 @@ def _unlabelled(rows: DataFrame) -> DataFrame:
     )
 
 
-def repeated_ids(bronze: DataFrame) -> DataFrame:
-    """Hashes of the event ids that may occur more than once.
+def id_counts(bronze: DataFrame) -> DataFrame:
+    """Rows per hash of the event id.
 
-    Eight bytes per event are shuffled, copies collapsing in each task first. Two
-    ids that share a hash are listed too, which costs a little work and changes
-    nothing: ``silver_around`` compares the ids themselves.
+    Eight bytes per event are shuffled, copies collapsing in each task first.
     """
+    return count_by(bronze.select(_id_hash("id")), "id_hash", name="n")
+
+
+def repeated_ids(counts: DataFrame) -> DataFrame:
+    """Hashes of the event ids that may occur more than once, from ``id_counts``.
+
+    Two ids that share a hash are listed too, which costs a little work and changes
+    nothing, as ``silver_around`` compares the ids themselves.
+    """
+    return counts.filter(F.col("n") > 1).select("id_hash")
+
+
+def distinct_among(bronze: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The distinct ids behind a list of repeated hashes; shuffles only those."""
     return (
-        bronze.select(_id_hash("id"))
-        .groupBy("id_hash")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1)
-        .select("id_hash")
+        bronze.select("id", _id_hash("id"))
+        .join(F.broadcast(repeated), "id_hash", "left_semi")
+        .select("id")
+        .distinct()
     )
 
 

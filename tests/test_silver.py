@@ -88,9 +88,10 @@ def test_both_silver_ways_agree(spark):
     rows += [pull(f"p{i % 3}", label("a"), label("b"), label("a")) for i in range(5)]
     b = bronze_rows(spark, rows)
     plainly = [tuple(r) for r in S.silver(b).collect()]
-    around = [tuple(r) for r in S.silver_around(b, S.repeated_ids(b)).collect()]
+    repeated = S.repeated_ids(S.id_counts(b))
+    around = [tuple(r) for r in S.silver_around(b, repeated).collect()]
     assert sorted(around, key=repr) == sorted(plainly, key=repr)
-    assert S.repeated_ids(b).count() == 8 + 2  # seven ids, NULL, two pull requests
+    assert repeated.count() == S.distinct_among(b, repeated).count() == 8 + 2  # seven ids, NULL, two pull requests
 
 
 def test_one_event_holding_a_third_of_all_rows(spark):
