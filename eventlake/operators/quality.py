@@ -124,21 +124,21 @@ def missing_hours(
 
     Without a range, from the first to the last day seen.
     """
-    if start is not None and end is not None and end < start:
-        raise ValueError(f"end {end} lies before start {start}")
     stamp = F.col("created_at")
     present = events.select(
         stamp.cast("date").alias("event_date"), hour_of_day(stamp).alias("hour")
     )
     present = present.filter(in_dates(start, end) & F.col("event_date").isNotNull())
-    present = present.distinct()
-    # The bounds come from the distinct hours, so the events are scanned once.
-    bounds = present.agg(
-        (F.lit(start) if start else F.min("event_date")).alias("first"),
-        (F.lit(end) if end else F.max("event_date")).alias("last"),
-    )
-    days = bounds.select(F.explode(F.sequence("first", "last")).alias("event_date"))
-    return _with_hours(days).join(present, ["event_date", "hour"], "left_anti")
+    if start is not None and end is not None:
+        wanted = hour_manifest(events.sparkSession, start, end).drop("file_name")
+    else:
+        bounds = present.agg(
+            (F.lit(start) if start else F.min("event_date")).alias("first"),
+            (F.lit(end) if end else F.max("event_date")).alias("last"),
+        )
+        days = F.explode(F.sequence("first", "last")).alias("event_date")
+        wanted = _with_hours(bounds.select(days))
+    return wanted.join(present.distinct(), ["event_date", "hour"], "left_anti")
 
 
 def key_skew_report(events: DataFrame, key: str = "actor_login", buckets: int = 8) -> DataFrame:

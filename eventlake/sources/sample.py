@@ -7,21 +7,61 @@ carry an empty label array, and payloads hold the usual fields of their type.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+EVENTS_SCHEMA = (
+    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string"
+)
+
 # Test event type to raw event type.
-TYPES = {
-    "purchase": "PullRequestEvent",
-    "signup": "IssuesEvent",
-    "view": "PushEvent",
-    "click": "WatchEvent",
-    "error": "CreateEvent",
-}
+_TYPE = """
+    CASE event_type
+      WHEN 'purchase' THEN 'PullRequestEvent'
+      WHEN 'signup' THEN 'IssuesEvent'
+      WHEN 'view' THEN 'PushEvent'
+      WHEN 'click' THEN 'WatchEvent'
+      WHEN 'error' THEN 'CreateEvent'
+    END"""
+
+_LOGIN = """
+    CASE WHEN k < 6 THEN 'ci-runner[bot]'
+      WHEN user_id % 10 = 0 THEN concat('user', user_id, '[bot]')
+      ELSE concat('user', user_id)
+    END"""
+
+_ACCOUNT = """
+    named_struct('id', {id}, 'login', {login}, 'display_login', {login},
+      'avatar_url', concat('avatars/', {id}), 'gravatar_id', '',
+      'url', concat('users/', {login}))"""
+
+_THREAD = "type IN ('PullRequestEvent', 'IssuesEvent')"
+
+# to_json leaves NULL fields out, so each type shows only its own fields.
+_PAYLOAD = f"""
+    to_json(named_struct(
+      'action', CASE WHEN type = 'WatchEvent' THEN 'started'
+        WHEN {_THREAD} THEN if(k % 2 = 0, 'opened', 'closed') END,
+      'assignees', CASE WHEN {_THREAD} AND k % 5 = 0 THEN
+        transform(sequence(1, 1 + k % 2), i -> named_struct('login', concat('user', i))) END,
+      'before', CASE WHEN type = 'PushEvent' THEN concat('b', event_id) END,
+      'head', CASE WHEN type = 'PushEvent' AND k % 20 <> 0 THEN concat('h', event_id) END,
+      'labels', CASE WHEN {_THREAD} AND (k % 4 > 0 OR k % 8 = 0) THEN
+        transform(slice(sequence(1, 4), 1, int(k % 4)), i -> named_struct(
+          'name', concat('l', (k + i) % 2), 'color', concat('c', (k + i) % 2))) END,
+      'master_branch', CASE WHEN type = 'CreateEvent' THEN 'main' END,
+      'number', CASE WHEN {_THREAD} THEN event_id END,
+      'push_id', CASE WHEN type = 'PushEvent' THEN event_id END,
+      'pusher_type', CASE WHEN type = 'CreateEvent' THEN 'user' END,
+      'ref', CASE WHEN type IN ('PushEvent', 'CreateEvent') THEN
+        concat('refs/heads/b', k % 5) END,
+      'ref_type', CASE WHEN type = 'CreateEvent' THEN 'branch' END,
+      'repository_id', CASE WHEN type = 'PushEvent' THEN k END))"""
 
 
 def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS_SCHEMA).parquet(f"{sf_dir}/events.parquet")
 
 
 def envelope(events: DataFrame, redelivered: bool = False) -> DataFrame:
@@ -29,106 +69,36 @@ def envelope(events: DataFrame, redelivered: bool = False) -> DataFrame:
 
     ``redelivered`` repeats every tenth event, as when two files hold it.
     """
-    copies = F.when(F.col("event_id") % 10 == 0, F.sequence(F.lit(0), F.lit(1)))
     if redelivered:
-        events = events.withColumn(
-            "copy", F.explode(F.coalesce(copies, F.array(F.lit(0))))
+        events = events.selectExpr(
+            "*", "explode(if(event_id % 10 = 0, array(0, 1), array(0))) AS copy"
         )
-    based = events.select(
-        "event_id",
-        "user_id",
-        "ts",
-        F.get_json_object("props", "$.k").cast("bigint").alias("k"),
-        _raw_type().alias("type"),
-    )
-    k, user = F.col("k"), F.col("user_id").cast("string")
-    bot = k < 6
-    login = (
-        F.when(bot, F.lit("ci-runner[bot]"))
-        .when(F.col("user_id") % 10 == 0, F.concat(F.lit("user"), user, F.lit("[bot]")))
-        .otherwise(F.concat(F.lit("user"), user))
+    based = events.selectExpr(
+        "event_id", "user_id", "ts", f"{_TYPE} AS type",
+        "bigint(get_json_object(props, '$.k')) AS k",
     )
-    org_login = F.concat(F.lit("org"), (k % 7).cast("string"))
-    org_id = F.when(F.col("event_id") % 25 == 0, k % 7)
-    stamp = F.substring(F.col("ts").cast("string"), 1, 19)
-    return based.select(
-        F.col("event_id").cast("string").alias("id"),
+    user = _ACCOUNT.format(id="if(k < 6, 0L, user_id)", login=_LOGIN)
+    org = _ACCOUNT.format(id="k % 7", login="concat('org', k % 7)")
+    return based.selectExpr(
+        "string(event_id) AS id",
         "type",
-        _account(F.when(bot, F.lit(0)).otherwise(F.col("user_id")).cast("bigint"), login).alias("actor"),
-        F.struct(
-            k.alias("id"),
-            F.concat(org_login, F.lit("/repo"), k.cast("string")).alias("name"),
-            F.concat(F.lit("repos/"), k.cast("string")).alias("url"),
-        ).alias("repo"),
-        F.when(org_id.isNotNull(), _account(org_id, org_login)).alias("org"),
-        (F.col("event_id") % 1000 != 0).alias("public"),
-        F.concat(F.replace(stamp, F.lit(" "), F.lit("T")), F.lit("Z")).alias("created_at"),
-        _payload().alias("payload"),
-    )
-
-
-def _raw_type() -> Column:
-    out = F
-    for source, raw in TYPES.items():
-        out = out.when(F.col("event_type") == source, F.lit(raw))
-    return out
-
-
-def _account(account_id: Column, login: Column) -> Column:
-    return F.struct(
-        account_id.alias("id"),
-        login.alias("login"),
-        login.alias("display_login"),
-        F.concat(F.lit("avatars/"), account_id.cast("string")).alias("avatar_url"),
-        F.lit("").alias("gravatar_id"),
-        F.concat(F.lit("users/"), login).alias("url"),
-    )
-
-
-def _payload() -> Column:
-    k, number, kind = F.col("k"), F.col("event_id"), F.col("type")
-    push, create = kind == "PushEvent", kind == "CreateEvent"
-    thread = kind.isin("PullRequestEvent", "IssuesEvent")
-    label = lambda i: ((k + i) % 2).cast("string")
-    labels = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), k % 4),
-        lambda i: F.struct(
-            F.concat(F.lit("l"), label(i)).alias("name"),
-            F.concat(F.lit("c"), label(i)).alias("color"),
-        ),
-    )
-    people = F.transform(
-        F.sequence(F.lit(1).cast("bigint"), 1 + k % 2),
-        lambda i: F.struct(F.concat(F.lit("user"), i.cast("string")).alias("login")),
-    )
-    # to_json leaves NULL fields out, so each type shows only its own fields.
-    return F.to_json(
-        F.struct(
-            F.when(kind == "WatchEvent", F.lit("started"))
-            .when(thread, F.when(k % 2 == 0, F.lit("opened")).otherwise(F.lit("closed")))
-            .alias("action"),
-            F.when(thread & (k % 5 == 0), people).alias("assignees"),
-            F.when(push, F.concat(F.lit("b"), number.cast("string"))).alias("before"),
-            F.when(push & (k % 20 != 0), F.concat(F.lit("h"), number.cast("string"))).alias("head"),
-            F.when(thread & (k % 4 > 0), labels)
-            .when(thread & (k % 8 == 0), F.slice(labels, 1, 0))
-            .alias("labels"),
-            F.when(create, F.lit("main")).alias("master_branch"),
-            F.when(thread, number).alias("number"),
-            F.when(push, number).alias("push_id"),
-            F.when(create, F.lit("user")).alias("pusher_type"),
-            F.when(push | create, F.concat(F.lit("refs/heads/b"), (k % 5).cast("string"))).alias("ref"),
-            F.when(create, F.lit("branch")).alias("ref_type"),
-            F.when(push, k).alias("repository_id"),
-        )
+        f"{user} AS actor",
+        """named_struct('id', k, 'name', concat('org', k % 7, '/repo', k),
+             'url', concat('repos/', k)) AS repo""",
+        f"CASE WHEN event_id % 25 = 0 THEN {org} END AS org",
+        "event_id % 1000 <> 0 AS public",
+        "concat(replace(substr(string(ts), 1, 19), ' ', 'T'), 'Z') AS created_at",
+        f"{_PAYLOAD} AS payload",
     )
 
 
 def raw_lines(envelope_rows: DataFrame) -> DataFrame:
     """Raw rows as the text lines of a raw file, payload as a nested object."""
     names = [c for c in envelope_rows.columns if c != "payload"]
-    nested = F.struct(*names, F.parse_json("payload").alias("payload"))
-    return envelope_rows.select(F.to_json(nested).alias("value"), "id")
+    opened = F.rtrim(F.to_json(F.struct(*names)), F.lit("}"))
+    # created_at is the last named field and always there, so one brace was removed.
+    line = F.concat(opened, F.lit(',"payload":'), F.col("payload"), F.lit("}"))
+    return envelope_rows.select(line.alias("value"), "id")
 
 
 def write_raw_lines(lines: DataFrame, path: str) -> None:
@@ -138,6 +108,6 @@ def write_raw_lines(lines: DataFrame, path: str) -> None:
 
 def break_some_lines(lines: DataFrame) -> DataFrame:
     """Cuts the end off every hundredth line, as an interrupted download would."""
-    short = F.expr("substr(value, 1, length(value) - 5)")
-    hit = F.col("id").cast("bigint") % 100 == 7
-    return lines.withColumn("value", F.when(hit, short).otherwise(F.col("value")))
+    return lines.selectExpr(
+        "if(bigint(id) % 100 = 7, substr(value, 1, length(value) - 5), value) AS value", "id"
+    )

@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 from builders import event, label, plan, pull, raw_rows
-from pyspark.sql import functions as F
 
 from eventlake.operators import profile as P
 from eventlake.operators import quality as Q

@@ -141,6 +141,28 @@ def test_payload_is_read_for_pull_requests_only(spark, folder):
         assert "avatar_url" not in scan
 
 
+def test_gold_scans_only_what_it_needs(spark, folder):
+    write_by_date(S.silver(bronze_rows(spark, [event("1"), pull("2", label("x"))])), f"{folder}/s")
+    stored = read_layer(spark, f"{folder}/s")
+    starred = stored.filter(F.col("type") == "WatchEvent")
+    text = plan(G.top_repos_by_stars(S.event_grain(starred, "type", "repo_name")))
+    # The pull request path contradicts the filter and is gone, and with it the dedupe.
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert "EqualTo(type,WatchEvent)" in text
+    assert "ReadSchema: struct<type:string,repo_name:string>" in text
+    text = plan(G.top_actors(S.event_grain(stored, "actor_login")))
+    assert "ReadSchema: struct<type:string,actor_login:string>" in text
+    assert "ReadSchema: struct<event_id:string,type:string,actor_login:string>" in text
+
+
+def test_single_events_pass_into_silver_without_a_shuffle(spark, folder):
+    write_by_date(bronze_rows(spark, [event("1"), event("1"), pull("2", label("x"))]), f"{folder}/b")
+    stored = read_layer(spark, f"{folder}/b")
+    df = S.silver_around(stored, S.repeated_ids(S.id_counts(stored)))
+    first_path = plan(df).split("BroadcastExchange")[0]
+    assert "LeftAnti" in first_path and "Exchange hashpartitioning" not in first_path
+
+
 def test_reconciliation(spark):
     rows = [event("1"), pull("2", label("x"), label("y")), pull("3"), event(None)]
     s = S.silver(bronze_rows(spark, rows))
