@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.payload import key_seen, keys
@@ -69,13 +69,13 @@ def label_row_expectation(gated: DataFrame) -> DataFrame:
     """
     pulls = gated.filter(F.col("type") == PULL_REQUEST)
     names = F.transform("pr_labels", lambda x: x["name"])
-    size = F.size("pr_labels")
+    size = F.array_size("pr_labels")
     filled = F.when(size > 0, size)
     return pulls.agg(
         F.count(filled).alias("events_with_labels"),
         F.round(F.avg(filled), 4).alias("avg_labels"),
         F.coalesce(F.sum(filled), F.lit(0)).alias("expected_rows"),
-        F.coalesce(F.sum(F.size(F.array_distinct(names))), F.lit(0)).alias("distinct_label_rows"),
+        F.coalesce(F.sum(F.array_size(F.array_distinct(names))), F.lit(0)).alias("distinct_label_rows"),
     )
 
 
@@ -141,15 +141,22 @@ def missing_hours(
     return wanted.join(present.distinct(), ["event_date", "hour"], "left_anti")
 
 
-def key_skew_report(events: DataFrame, key: str = "actor_login", buckets: int = 8) -> DataFrame:
+def key_skew_report(
+    events: DataFrame,
+    key: str = "actor_login",
+    buckets: int = 8,
+    hashed: Column | None = None,
+) -> DataFrame:
     """Keys, rows and largest key per hash bucket.
 
     Buckets are computed from the key's hash, the way a shuffle assigns rows to that
-    many partitions, so the report does not depend on how the job itself ran.
+    many partitions, so the report does not depend on how the job itself ran. Another
+    integer hash of the key may be given.
     """
     counts = count_by(events, key, name="rows")
+    hashed = F.hash(key) if hashed is None else hashed
     return (
-        counts.withColumn("bucket", F.pmod(F.hash(key), F.lit(buckets)))
+        counts.withColumn("bucket", F.pmod(hashed, F.lit(buckets)))
         .groupBy("bucket")
         .agg(
             F.count(F.lit(1)).alias("keys"),

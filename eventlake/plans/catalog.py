@@ -260,5 +260,9 @@ QUERIES: dict[str, Query] = {
     "array_field_profile": lambda s, d: P.array_field_profile(raw(s, d)),
     # skew
     "key_skew_report": lambda s, d: Q.key_skew_report(events(s, d, "actor_login")),
+    "key_skew_by_digest": lambda s, d: Q.key_skew_report(
+        events(s, d, "actor_login"),
+        hashed=F.conv(F.substring(F.md5("actor_login"), 1, 8), 16, 10).cast("bigint"),
+    ),
     "heaviest_key": lambda s, d: Q.heaviest_key(events(s, d, "actor_login")),
 }

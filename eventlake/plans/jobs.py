@@ -24,8 +24,8 @@ from eventlake.sources.layers import read_layer, write_by_date, write_table
 from eventlake.sources.raw import read_raw
 from eventlake.sources.scratch import scratch_path
 
-# Repeated ids that still fit a broadcast: 8-byte keys, some 30 MB once hashed.
-BROADCAST_IDS = 1_000_000
+# Repeated ids that are still broadcast: 8-byte keys, about 100 MB once hashed.
+BROADCAST_IDS = 2_000_000
 
 GOLD_TABLES = ("top_repos_by_stars", "events_by_hour", "top_actors")
 
@@ -92,6 +92,7 @@ def run_silver(
     start: date | None = None,
     end: date | None = None,
     verify: bool = True,
+    broadcast_ids: int = BROADCAST_IDS,
 ) -> dict[str, int]:
     """Bronze to Silver. ``verify`` compares the distinct events of both layers.
 
@@ -106,7 +107,7 @@ def run_silver(
     counts = S.id_counts(source).observe(seen, F.count_if(F.col("n") == 1).alias("once"))
     write_table(S.repeated_ids(counts), listed)
     repeated = spark.read.parquet(listed)
-    few = repeated.count() <= BROADCAST_IDS
+    few = repeated.count() <= broadcast_ids
     rows = S.silver_around(source, repeated) if few else S.silver(source)
     write_by_date(rows, f"{lake}/silver", replace_dates_only=dated, gather=not few)
     if not verify:

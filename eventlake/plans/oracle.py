@@ -229,6 +229,10 @@ _BODIES: dict[str, str] = {
         UNION ALL
         SELECT type, 'assignees', count(*), round(avg(n_assignees), 4),
           CAST(max(n_assignees) AS INTEGER) FROM raw WHERE n_assignees IS NOT NULL GROUP BY 1""",
+    "key_skew_by_digest": """
+        SELECT CAST('0x' || substr(md5(actor_login), 1, 8) AS BIGINT) % 8 AS bucket,
+          count(*) AS keys, CAST(sum(n) AS BIGINT) AS rows, max(n) AS largest_key_rows
+        FROM (SELECT actor_login, count(*) AS n FROM raw GROUP BY 1) GROUP BY 1""",
     "heaviest_key": "SELECT * FROM actors ORDER BY event_count DESC, actor_login LIMIT 1",
 }
 

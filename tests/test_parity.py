@@ -30,6 +30,26 @@ def test_matches_oracle(spark, duck, any_zone, name):
     assert spark_rows(queries()[name](spark, SF)) == oracle_rows(duck, oracle_sql()[name])
 
 
+@pytest.fixture()
+def other_settings(spark):
+    changed = {"spark.sql.ansi.enabled": "false", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in changed}
+    for k, v in changed.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["array_field_profile", "array_sizes", "created_at_parsed", "label_gate",
+     "label_row_expectation", "org_null_ratio", "silver", "silver_with_broken_lines"],
+)
+def test_does_not_depend_on_ansi_or_adaptive_execution(spark, duck, other_settings, name):
+    assert spark_rows(queries()[name](spark, SF)) == oracle_rows(duck, oracle_sql()[name])
+
+
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only_queries_run(spark, name):
     assert queries()[name](spark, SF).count() > 0

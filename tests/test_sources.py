@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import json
 
+import pyarrow.parquet as pq
 import pytest
 from builders import bronze_rows, event, label, plan, pull, write_hour
 from pyspark.sql import functions as F
@@ -142,6 +144,16 @@ def test_gathered_write_makes_one_file_per_small_date(spark, folder):
     assert read_layer(spark, f"{folder}/gathered").count() == 4000
 
 
+def test_rows_are_sorted_by_type_inside_each_file(spark, folder):
+    rows = [event(str(i), type=f"T{i % 3}") for i in range(30)]
+    write_by_date(bronze_rows(spark, rows), f"{folder}/b")
+    files = glob.glob(f"{folder}/b/*/*.parquet")
+    for file in files:
+        types = pq.ParquetFile(file).read(["type"])["type"].to_pylist()
+        assert types == sorted(types)
+    assert files
+
+
 def test_scratch_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     path = scratch_path(spark, "x")
