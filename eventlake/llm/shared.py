@@ -45,8 +45,9 @@ def word_blocks(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
 
 
 def in_order(rows: DataFrame, *order: Column, weight: Column | None = None) -> DataFrame:
-    """Adds ``pos``, the gapless place of each row in a global order, from 0, and
-    ``before``, the sum of ``weight`` over all rows ahead of it.
+    """Adds ``pos``, the gapless place of each row in a global order, from 0,
+    ``before``, the sum of ``weight`` over all rows ahead of it, and ``total``, that
+    over all rows.
 
     The rows are range-partitioned and written once. A prefix sum over the totals of
     the partitions (a few numbers each) gives every partition its offset, and a window
@@ -69,6 +70,9 @@ def in_order(rows: DataFrame, *order: Column, weight: Column | None = None) -> D
         "part_",
         F.coalesce(F.sum("rows_").over(ahead), F.lit(0)).alias("first_"),
         F.coalesce(F.sum("sum_").over(ahead), F.lit(0)).alias("base_"),
+        F.sum("sum_").over(
+            Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ).alias("total"),
     )
     inside = Window.partitionBy("part_").orderBy(*order)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -79,3 +83,42 @@ def in_order(rows: DataFrame, *order: Column, weight: Column | None = None) -> D
         .withColumn("before", F.col("base_") + F.sum("weight_").over(upto) - F.col("weight_"))
         .drop("part_", "first_", "base_", "weight_")
     )
+
+
+def scan_array(items: Column, zero: Column, step, out_type: str, block: int = 128) -> Column:
+    """``step(state, item)`` gives struct(state, out) in turn; returns all outs in order.
+
+    Blocks keep it linear: appending to an array copies it.
+    """
+    none = F.array().cast(f"array<{out_type}>")
+    starts = F.sequence(F.lit(0), F.floor((F.size(items) - 1) / block).cast("int"))
+    blocks = F.transform(starts, lambda i: F.slice(items, i * block + 1, block))
+
+    def over_block(acc, chunk):
+        def one(a, x):
+            return _append(step(a["state"], x), a["out"])
+
+        return F.aggregate(
+            chunk,
+            F.struct(acc["state"].alias("state"), none.alias("out")),
+            one,
+            lambda a: F.struct(
+                a["state"].alias("state"), F.concat(acc["out"], F.array(a["out"])).alias("out")
+            ),
+        )
+
+    nested = F.aggregate(
+        blocks,
+        F.struct(zero.alias("state"), F.array().cast(f"array<array<{out_type}>>").alias("out")),
+        over_block,
+        lambda a: F.flatten(a["out"]),
+    )
+    return F.when(F.size(items) > 0, nested).otherwise(none)
+
+
+def _append(got: Column, out: Column) -> Column:
+    # transform over one element evaluates ``got`` once.
+    return F.transform(
+        F.array(got),
+        lambda g: F.struct(g["state"].alias("state"), F.concat(out, g["outs"]).alias("out")),
+    )[0]
