@@ -92,8 +92,9 @@ class WordEncoder:
     def encode(self, text: bytes) -> bytes:
         words = text.split()
         known = self.words
-        for word in set(words) - known.keys():
-            known[word] = self._word(word)
+        for word in set(words):
+            if word not in known:
+                known[word] = self._word(word)
         got = b"".join([known[w] for w in words])
         if len(known) >= self.most_words:
             known.clear()
@@ -115,34 +116,41 @@ def pack(pieces: list[tuple[int, int]], room: int, cost: Cost) -> Iterator[tuple
 
     Yields (document, start, length, sequence, offset); ``start`` counts from the
     piece's begin. Ties: the piece that came first, the sequence with the lower number.
+    Lengths fall, so a sequence that is too full for one piece waits, by what it has
+    left, until pieces are short enough for it.
     """
     total = sum(n for _, n in pieces)
-    count = -(-total // room)
-    free = [room] * count
-    heap = [(0.0, s) for s in range(count)]
+    free = [room] * -(-total // room)
+    spent = [0.0] * len(free)
+    ready = [(0.0, s) for s in range(len(free))]
+    waiting: list[tuple[int, int]] = []
+
+    def put(s: int, n: int) -> int:
+        offset = room - free[s]
+        free[s] -= n
+        spent[s] += cost.of(n)
+        if free[s]:
+            heapq.heappush(ready, (spent[s], s))
+        return offset
+
     for at in sorted(range(len(pieces)), key=lambda i: (-pieces[i][1], i)):
         document, left = pieces[at]
-        tried, start = [], 0
-        while heap:
-            spent, s = heapq.heappop(heap)
-            if free[s] >= left:
-                yield document, start, left, s, room - free[s]
-                free[s] -= left
-                if free[s]:
-                    heapq.heappush(heap, (spent + cost.of(left), s))
-                left = 0
-                break
-            tried.append((spent, s))
-        while left:  # no sequence has room for all of it: fill the cheapest gaps
-            spent, s = tried.pop(0)
+        while waiting and -waiting[0][0] >= left:
+            s = heapq.heappop(waiting)[1]
+            heapq.heappush(ready, (spent[s], s))
+        while ready and free[ready[0][1]] < left:
+            s = heapq.heappop(ready)[1]
+            heapq.heappush(waiting, (-free[s], s))
+        if ready:
+            s = heapq.heappop(ready)[1]
+            yield document, 0, left, s, put(s, left)
+            continue
+        start = 0
+        while left:  # none has room for all of it: the largest gaps share it
+            s = heapq.heappop(waiting)[1]
             n = min(free[s], left)
-            yield document, start, n, s, room - free[s]
-            free[s] -= n
+            yield document, start, n, s, put(s, n)
             start, left = start + n, left - n
-            if free[s]:
-                tried.append((spent + cost.of(n), s))
-        for entry in tried:
-            heapq.heappush(heap, entry)
 
 
 FIELDS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
