@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm import chat, decontaminate, lines, packing, secrets, sharding, simhash, warc
+from eventlake.llm import (
+    chat,
+    decontaminate,
+    lines,
+    packing,
+    pages,
+    secrets,
+    sharding,
+    simhash,
+    tokenfile,
+    warc,
+)
 from eventlake.llm.shared import table
 
 
@@ -39,6 +50,10 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"), packing.public_tokenizer())
 
 
+def op8_tokenfile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.counted(spark, table(spark, sf_dir, "documents"), tokenfile.public_ranks())
+
+
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All conversations, and one whose texts are control strings of a common template."""
     told = spark.range(1).select(
@@ -50,6 +65,10 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.formatted_digests(asked.unionByName(told))
 
 
+def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.main_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
@@ -58,7 +77,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sharding": op5_sharding,
     "op6_lines": op6_lines,
     "op7_packing": op7_packing,
+    "op8_tokenfile": op8_tokenfile,
     "op9_chat": op9_chat,
+    "op10_pages": op10_pages,
 }
 
 ORACLE_SQL: dict[str, str] = {}

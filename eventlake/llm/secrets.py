@@ -109,7 +109,7 @@ def _upper_tail(z: Column) -> Column:
 
 def _tests(value: Column, battery: Battery) -> Column:
     """The battery for one token: struct(n, encoding, p_random, p_word)."""
-    body = F.rtrim(F.lit("="), value)
+    body = F.rtrim(value, F.lit("="))
     alphabet = _chosen(value, lambda e: F.lit(e[2]))
     base = F.struct(
         F.split(body, "").alias("chars"), alphabet.alias("abc"),
@@ -219,8 +219,10 @@ def _all_spans(docs: DataFrame, battery: Battery) -> DataFrame:
     back = F.reverse(F.array_sort(F.concat("base_", "free_")))
     free_both = scan_array(back, F.lit(-(2**31) + 1), _free(lambda s: -s["end"], lambda s: -s["start"]), SPAN)
     docs = docs.withColumn("free_", F.when(F.size("free_") > 0, free_both).otherwise(F.col("free_")))
+    # Padding says nothing, so a token needs its length without it.
+    whole = F.filter("free_", lambda s: F.char_length(F.rtrim(s["value"], F.lit("="))) >= battery.least)
     tested = F.transform(
-        "free_", lambda s: F.struct(s.alias("span"), _tests(s["value"], battery).alias("test"))
+        whole, lambda s: F.struct(s.alias("span"), _tests(s["value"], battery).alias("test"))
     )
     docs = docs.withColumn(
         "tested_", F.filter(tested, lambda x: x["test"]["encoding"].isNotNull())

@@ -16,12 +16,11 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import stored
+from eventlake.llm.shared import file_system, stored
 from eventlake.sources.scratch import scratch_path
 
 #: Fixed values of the seekable format: magic numbers of skippable frames and the footer.
@@ -32,15 +31,6 @@ FOOTER = struct.Struct("<IBI")
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def file_system(uri: str) -> tuple[fs.FileSystem, str]:
-    """The store of a shared folder and the path in it: a URI, or a plain path."""
-    if "://" not in uri and not uri.startswith("file:"):
-        return fs.LocalFileSystem(), uri
-    if uri.startswith("file:"):
-        return fs.LocalFileSystem(), "/" + uri.removeprefix("file:").lstrip("/")
-    return fs.FileSystem.from_uri(uri)
-
-
 def record(row: dict) -> bytes:
     """One WARC record. A revisit has the HTTP header of its payload, not the payload."""
     payload = row["payload"]
@@ -174,7 +164,8 @@ def _write_task(folder: str, date: str, frame_bytes: int, bundle_bytes: int):
                 row = {k: batch.column(k)[at].as_py() for k in batch.schema.names}
                 if bundle is None:
                     path = f"{name}-{len(done):04d}.warc.zst"
-                    bundle = Bundle(store.open_output_stream(f"{root}/{path}"), frame_bytes)
+                    out = store.open_output_stream(f"{root}/{path}", compression=None)
+                    bundle = Bundle(out, frame_bytes)
                 row["record_id"] = f"urn:uuid:{uuid.uuid5(NAMESPACE, f'{name}/{n}')}"
                 row["date"] = date
                 n += 1
