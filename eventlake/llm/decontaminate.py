@@ -129,7 +129,7 @@ class Matcher:
                 else:
                     spans.append([low, high])
         found = []
-        for n, spans in windows.items():
+        for n, spans in sorted(windows.items()):
             number, item, edits = self.items[n]
             best = None
             for low, high in spans:
@@ -144,7 +144,7 @@ class Matcher:
                     best = (distance, start, low + end)
             if best:
                 found.append((number, *best))
-        return sorted(found)
+        return found
 
 
 def myers_start(item: str, head: str, distance: int) -> int:

@@ -250,10 +250,12 @@ def thresholds(spans: DataFrame, battery: Battery) -> DataFrame:
     Benjamini-Hochberg over counts by step of p-value: the largest p-value with
     p * tokens <= rate * tokens at or below it. At most bands x steps rows.
     """
-    tokens = spans.select(F.explode("tested_.test").alias("t")).select(
+    # The outer form: the inner one makes Catalyst put a filter on the array below all the
+    # steps that build it, which builds it several times over.
+    tokens = spans.select(F.explode_outer("tested_.test").alias("t")).select(
         _band(F.col("t.n")).alias("band"), _step(F.col("t.p_word")).alias("step")
     )
-    counts = tokens.groupBy("band", "step").agg(F.count(F.lit(1)).alias("n"))
+    counts = tokens.groupBy("band", "step").agg(F.count("band").alias("n")).filter("n > 0")
     by_band = Window.partitionBy("band")
     lower = by_band.orderBy(F.desc("step")).rowsBetween(Window.unboundedPreceding, 0)
     ranked = counts.select(
@@ -310,16 +312,16 @@ def scan(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     repeated results; an empty table gives no rows. Further columns are not looked at.
     """
     rows = with_spans(docs.select("doc_id", "text"), battery)
-    count = {
-        f"n_{k}": F.size(F.filter("spans_", lambda s, i=i: s["kind"] == i)).cast("long")
-        for i, k in enumerate(KINDS)
-    }
+
+    def count(kind: int) -> Column:
+        return F.size(F.filter("spans_", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
     return rows.select(
         "doc_id",
-        *[count[f"n_{k}"].alias(f"n_{k}") for k in KINDS[:3]],
+        *[count(k) for k in range(3)],
         F.sha2(_joined(F.col("base_")), 256).alias("base_sha256"),
         _joined(F.col("spans_")).alias("spans"),
-        count["n_random"].alias("n_random"),
+        count(3),
     )
 
 

@@ -1,0 +1,122 @@
+from __future__ import annotations
+
+import base64
+import hashlib
+import random
+import re
+import string
+
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+
+from eventlake.llm import secrets
+from eventlake.llm.catalog import QUERIES
+
+ASSIGN = re.compile(
+    r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A
+)
+
+
+def plain(text):
+    text = text or ""
+    spans = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    spans += [(m.start(), 1, m.end()) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    spans += [(m.start(), 2, m.end()) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24]
+    spans.sort()
+    joined = ",".join(f"{('assign', 'access', 'hex')[k]}:{s}:{e}" for s, k, e in spans)
+    counts = tuple(sum(k == i for _, k, _ in spans) for i in range(3))
+    return (*counts, hashlib.sha256(joined.encode()).hexdigest()), joined
+
+
+def base(df):
+    rows = df.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans").collect()
+    return {r.doc_id: (tuple(r)[1:5], r.spans) for r in rows}
+
+
+TEXTS = [
+    None, "", "token=abc", "token=abcdef", "Password : 'hunter22' and api_KEY=\"x.y-z_1=\"", "secret=token = abcdef1",
+    "é" * 5 + " AKIA" + "Z9" * 8 + "😀 " + "0a" * 12 + " tail", "AKIAAKIA" + "B" * 12, "AKIASHORT", "f" * 23 + " " + "f" * 24,
+    "passwd:" + "0123456789abcdef" * 2 + " APIKEY = " + "e" * 30, "token=token=token=abcdef", " ".join(["deadbeef" * 4] * 700),
+    "-" * 50 + " " + "=" * 40 + " a" + "=" * 30,
+]
+
+
+def test_base_spans(documents):
+    df = documents(list(enumerate(TEXTS)), ["spans", "n_hex", "start"])
+    got = base(secrets.scan(df))
+    for i, text in enumerate(TEXTS):
+        want, joined = plain(text)
+        assert got[i][0] == want, text
+        assert set(joined.split(",")) <= set(got[i][1].split(",")) or joined == ""
+
+
+def test_empty_table_and_repeated_rows(documents):
+    assert secrets.scan(documents([])).count() == 0
+    rows = secrets.scan(documents([(1, "token=abcdef")] * 3 + [(None, "token=abcdef")])).collect()
+    assert [r.spans for r in rows] == ["assign:0:12"] * 4
+
+
+def test_query_against_plain_patterns(spark):
+    rows = duckdb.sql("SELECT doc_id, text FROM '/root/testdata/sf0.001/documents.parquet'").fetchall()
+    got = base(QUERIES["op1_secrets"](spark, "/root/testdata/sf0.001"))
+    assert {i: g[0] for i, g in got.items()} == {i: plain(t)[0] for i, t in rows}
+
+
+def words(rng, n):
+    letters = "eeeeeeeetttttaaaaaooooiiiinnnnsssshhhrrrdddlllcumwfgypbvk"
+    return "".join(rng.choice(letters) for _ in range(n))
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_battery_tells_random_tokens_from_words(documents, seed):
+    rng = random.Random(seed)
+    texts, planted = [], set()
+    for i in range(300):
+        if i % 3 == 0:
+            token = base64.b64encode(rng.randbytes(rng.choice([30, 36, 48]))).decode().rstrip("=")
+            if i % 2 == 0:
+                token = token.replace("+", "-").replace("/", "_")
+            planted.add(i)
+        elif i % 3 == 1:
+            token = words(rng, rng.choice([22, 30, 40, 60]))
+        else:
+            token = rng.choice(["_" * 40, "ab" * 20, "https/www/example/" + words(rng, 20), "9" * 30, string.ascii_lowercase])
+        texts.append((i, f"before {token} after"))
+    rows = secrets.scan(documents(texts)).collect()
+    found = {r.doc_id for r in rows if r.n_random}
+    assert len(found & planted) >= 0.9 * len(planted)
+    assert len(found - planted) <= 0.03 * len(found) + 1
+    for r in rows:
+        if r.n_random and r.doc_id in planted:
+            kind, start, end = r.spans.split(":")
+            assert kind == "random" and texts[r.doc_id][1][int(start) : int(end)] in texts[r.doc_id][1].split()[1]
+
+
+def test_tokens_over_base_spans_are_not_reported(documents):
+    rng = random.Random(5)
+    token = base64.b64encode(rng.randbytes(60)).decode()
+    texts = [(i, f"secret = {token}") for i in range(50)] + [(100 + i, f"x {token} y") for i in range(50)]
+    rows = {r.doc_id: r for r in secrets.scan(documents(texts)).collect()}
+    assert rows[3].spans == f"assign:0:{9 + len(token)}"
+    assert rows[103].spans.startswith("random:2:")
+
+
+def test_normal_tail(spark):
+    values = spark.range(1).select(*[secrets._upper_tail(F.lit(float(z))).alias(str(i)) for i, z in enumerate((-3, -1, 0, 1.96, 5))])
+    got = values.first()
+    assert got[2] == pytest.approx(0.5, abs=1e-6) and got[3] == pytest.approx(0.0249979, abs=1e-6)
+    assert got[0] == pytest.approx(0.9986501, abs=1e-6) and got[4] == pytest.approx(2.867e-7, rel=0.05)
+
+
+def test_redaction(documents):
+    texts = [None, "", "a token=abcdef b", "😀 é " + "0a" * 15 + " tail", "nothing"]
+    out = {r.doc_id: r for r in secrets.redact(documents(list(enumerate(texts)), ["spans_"])).collect()}
+    assert [out[i].text for i in range(5)] == [None, "", "a [SECRET] b", "😀 é [SECRET] tail", "nothing"]
+    assert out[3].n_chars == len("😀 é [SECRET] tail") and out[0].n_chars is None
+
+
+def test_main_path_has_no_python(spark):
+    df = QUERIES["op1_secrets"](spark, "/root/testdata/sf0.001")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
