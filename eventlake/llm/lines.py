@@ -18,6 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from eventlake.llm.shared import stored, text_or_empty, word_blocks
 
@@ -211,18 +212,20 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
 
 def _rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Drops the last column, hashes of lines, and these lines from ``text``."""
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        drop = batch.column(batch.schema.get_field_index("removed_"))
         texts = []
-        for text, hashes in zip(batch.column(at), drop, strict=True):
+        for text, hashes in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
             gone = set(hashes.as_py() or ())
             text = text.as_py()
             if gone:
                 keep = (x for x in text.split("\n") if not x.encode().strip() or line_hash(x.encode()) not in gone)
                 text = "\n".join(keep)
             texts.append(text)
-        yield batch.set_column(at, "text", pa.array(texts, pa.string())).drop_columns(["removed_"])
+        columns = batch.columns[:-1]
+        columns[at] = pa.array(texts, pa.string())
+        yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:-1])
 
 
 def clean(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -235,15 +238,16 @@ def clean(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
         judged(rows, limits)
         .filter("kept")
         .groupBy("doc_id", "same")
-        .agg(F.first("removed").alias("removed_"))
-        .select(F.col("doc_id").alias("id_"), F.col("same").alias("verdict_"), "removed_")
+        .agg(F.first("removed").alias("removed"))
+        .select(F.col("doc_id").alias("id_"), F.col("same").alias("verdict_"), F.col("removed").alias("gone_"))
     )
-    marked = docs.withColumn("same_", _same())
+    # Packed into a struct, the columns of the documents can have any names.
+    whole = F.struct(*[docs[c] for c in docs.columns if c != "text"], F.col("text").cast("string").alias("text"))
+    marked = docs.select(F.col("doc_id").alias("own_"), _same().alias("same_"), whole.alias("row_"))
     kept = marked.join(
-        verdict, marked.doc_id.eqNullSafe(verdict.id_) & (marked.same_ == verdict.verdict_)
-    ).select(*docs.columns, "removed_")
-    kept = kept.withColumn("text", F.col("text").cast("string"))
-    done = kept.mapInArrow(_rewrite, kept.drop("removed_").schema)
+        verdict, marked.own_.eqNullSafe(verdict.id_) & (marked.same_ == verdict.verdict_)
+    ).select("row_.*", "gone_")
+    done = kept.mapInArrow(_rewrite, T.StructType(kept.schema.fields[:-1])).select(*docs.columns)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return done

@@ -331,7 +331,9 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", battery: Battery = Battery()
     Spans that overlap are replaced as one. ``n_chars``, where there is such a
     column, follows the text. Null texts stay null.
     """
-    rows = with_spans(docs, battery)
+    # Packed into a struct, the columns of the documents can have any names.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"), "text")
+    rows = with_spans(rows, battery)
     wide = F.encode(F.col("text").cast("string"), "UTF-32")  # four bytes each: places are offsets
 
     def step(reach, s):
@@ -342,11 +344,10 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", battery: Battery = Battery()
     last = F.array_max(F.transform("spans_", lambda s: s["end"]))
     rest = F.decode(F.substring(wide, 4 * last + 1, F.octet_length(wide)), "UTF-32")
     whole = F.concat(F.array_join(scan_array(F.col("spans_"), F.lit(0), step, "string"), ""), rest)
-    text = F.when(F.size("spans_") > 0, whole).otherwise(F.col("text").cast("string"))
-    done = rows.withColumn("text", text)
+    has = F.size("spans_") > 0
+    rows = rows.select("row_", has.alias("has_"), F.when(has, whole).otherwise(F.col("text").cast("string")).alias("text_"))
+    new = {"text": F.col("text_")}
     if "n_chars" in docs.columns:
-        done = done.withColumn(
-            "n_chars",
-            F.when(F.size("spans_") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars")),
-        )
-    return done.select(*docs.columns)
+        size = F.char_length("text_").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(F.col("has_"), size).otherwise(F.col("row_.n_chars"))
+    return rows.select(*[new.get(c, F.col(f"row_.`{c}`")).alias(c) for c in docs.columns])

@@ -288,7 +288,9 @@ def without_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     Rows that share doc_id and fingerprint count as one document. In a component
     whose doc_ids are all null, one row stays.
     """
-    marked = with_fingerprints(docs).withColumns(
+    # Packed into a struct, the columns of the documents can have any names.
+    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"), "doc_id", "text")
+    marked = with_fingerprints(packed).withColumns(
         {"null_": F.col("doc_id").isNull(), "id_": F.coalesce("doc_id", F.lit(0)).cast("long")}
     )
     rows = stored(marked.select("doc_id", F.col("fingerprint_").alias("fp")), "simhash")
@@ -304,4 +306,5 @@ def without_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
         )
     )
     key = ["null_", "id_", "fingerprint_"]
-    return marked.join(keep, key, "left_semi").dropDuplicates(key).select(*docs.columns)
+    kept = marked.select(*key, "row_").join(keep, key, "left_semi").dropDuplicates(key)
+    return kept.select("row_.*")
