@@ -8,6 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from eventlake.plans import jobs
+from eventlake.schema import BRONZE_SCHEMA
 from eventlake.sources.layers import partition_layout, read_layer
 from eventlake.sources.raw import missing_files, raw_glob
 
@@ -37,9 +38,13 @@ def parse_args(argv: list[str] | None = None) -> argparse.Namespace:
     return args
 
 
-def show(title: str, df: DataFrame, rows: int = 30) -> None:
+#: All rows: every report printed here has a row per hour, date, field or rank.
+ALL = 2**31 - 2
+
+
+def show(title: str, df: DataFrame) -> None:
     print(f"\n{title}")
-    df.show(rows, truncate=False)
+    df.show(ALL, truncate=False)
 
 
 def run(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -52,14 +57,14 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if "layout" in args.steps:
         show("bronze layout", partition_layout(spark, f"{args.lake}/bronze"))
     if "profile" in args.steps:
-        rows = read_layer(spark, f"{args.lake}/bronze", *dates)
+        rows = read_layer(spark, f"{args.lake}/bronze", *dates, BRONZE_SCHEMA)
         rows.printSchema()
         for title, table in jobs.profile(rows).items():
             show(title, table)
     if "silver" in args.steps:
         print("silver:", jobs.run_silver(spark, args.lake, *dates))
     if "gold" in args.steps:
-        jobs.run_gold(spark, args.lake, *dates)
+        jobs.run_gold(spark, args.lake)
     if "findings" in args.steps:
         for title, table in jobs.findings(jobs.read_gold(spark, args.lake)).items():
             show(title, table)

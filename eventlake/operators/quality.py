@@ -62,21 +62,36 @@ def label_sample(silver: DataFrame, n: int = 10) -> DataFrame:
     )
 
 
-def label_row_expectation(gated: DataFrame) -> DataFrame:
-    """Labelled rows predicted from array sizes against those the explode yields.
-
-    ``distinct_label_rows`` is what remains when a name repeats inside one event.
+def label_row_expectation(gated: DataFrame, silver: DataFrame) -> DataFrame:
+    """Label rows predicted from the arrays of ``gated`` events against those in Silver.
+
+    The first three columns are of the arrays as they come, copies included.
+    ``distinct_label_rows`` is the prediction: names in an event, repeats and NULL names
+    apart, over its copies of the earliest date. ``actual_rows`` counts labelled Silver
+    rows of any type, so a leak shows as a difference. Equal arrays of an event collapse
+    inside each task.
     """
     pulls = gated.filter(F.col("type") == PULL_REQUEST)
-    names = F.transform("pr_labels", lambda x: x["name"])
+    names = F.filter(F.transform("pr_labels", lambda x: x["name"]), lambda n: n.isNotNull())
     size = F.array_size("pr_labels")
     filled = F.when(size > 0, size)
-    return pulls.agg(
+    arrays = pulls.agg(
         F.count(filled).alias("events_with_labels"),
         F.round(F.avg(filled), 4).alias("avg_labels"),
         F.coalesce(F.sum(filled), F.lit(0)).alias("expected_rows"),
-        F.coalesce(F.sum(F.array_size(F.array_distinct(names))), F.lit(0)).alias("distinct_label_rows"),
     )
+    by_date = pulls.groupBy("event_id", "event_date").agg(F.collect_set(names).alias("names"))
+    day = F.struct(F.col("event_date").isNull().alias("undated"), "event_date", "names")
+    first = by_date.groupBy("event_id").agg(F.min(day).alias("first"))
+    predicted = first.agg(
+        F.coalesce(
+            F.sum(F.size(F.array_distinct(F.flatten("first.names")))), F.lit(0)
+        ).alias("distinct_label_rows")
+    )
+    actual = rows_with_label(silver).withColumnRenamed("rows_with_label", "actual_rows")
+    parts = arrays.unionByName(predicted, allowMissingColumns=True)
+    parts = parts.unionByName(actual, allowMissingColumns=True)
+    return parts.agg(*[F.max(c).alias(c) for c in parts.columns])
 
 
 def missing_payload_fields(
@@ -128,17 +143,39 @@ def missing_hours(
     present = events.select(
         stamp.cast("date").alias("event_date"), hour_of_day(stamp).alias("hour")
     )
-    present = present.filter(in_dates(start, end) & F.col("event_date").isNotNull())
+    present = present.filter(in_dates(start, end) & F.col("event_date").isNotNull()).distinct()
     if start is not None and end is not None:
         wanted = hour_manifest(events.sparkSession, start, end).drop("file_name")
-    else:
-        bounds = present.agg(
-            (F.lit(start) if start else F.min("event_date")).alias("first"),
-            (F.lit(end) if end else F.max("event_date")).alias("last"),
-        )
-        days = F.explode(F.sequence("first", "last")).alias("event_date")
-        wanted = _with_hours(bounds.select(days))
-    return wanted.join(present.distinct(), ["event_date", "hour"], "left_anti")
+        return wanted.join(present, ["event_date", "hour"], "left_anti")
+    bounds = present.agg(
+        (F.lit(start) if start else F.min("event_date")).alias("first"),
+        (F.lit(end) if end else F.max("event_date")).alias("last"),
+    )
+    days = F.explode(F.sequence("first", "last")).alias("event_date")
+    wanted = _with_hours(bounds.select(days))
+    return wanted.join(present, ["event_date", "hour"], "left_anti")
+
+
+def missing_hours_by(events: DataFrame, key: str) -> DataFrame:
+    """For each value of ``key``, hours without an event between its first and last day.
+
+    One pass over the events: distinct hours per key, at most 24 a day.
+    """
+    stamp = F.col("created_at")
+    seen = (
+        events.filter(stamp.isNotNull())
+        .groupBy(key, stamp.cast("date").alias("event_date"))
+        .agg(F.collect_set(hour_of_day(stamp)).alias("hours"))
+    )
+    days = seen.groupBy(key).agg(
+        F.min("event_date").alias("first"),
+        F.max("event_date").alias("last"),
+        F.map_from_entries(F.collect_list(F.struct("event_date", "hours"))).alias("seen"),
+    )
+    each = days.select(key, "seen", F.explode(F.sequence("first", "last")).alias("event_date"))
+    got = F.coalesce(F.element_at("seen", F.col("event_date")), F.array().cast("array<int>"))
+    wanted = F.sequence(F.lit(0), F.lit(23))
+    return each.select(key, "event_date", F.explode(F.array_except(wanted, got)).alias("hour"))
 
 
 def key_skew_report(

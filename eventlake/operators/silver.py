@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import date
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.payload import pr_labels
 from eventlake.functions.timestamps import parse_utc
-from eventlake.operators.keep import count_by, one_row_per
+from eventlake.operators.keep import one_row_per
 from eventlake.schema import EVENT_COLUMNS, PULL_REQUEST, SILVER_COLUMNS
 
 
@@ -63,75 +65,43 @@ def labels_inner(gated: DataFrame) -> DataFrame:
 def silver(bronze: DataFrame) -> DataFrame:
     """The Silver rows: unique by (event_id, pr_label_name), lowest colour kept.
 
-    Only pull requests can hold more than one row, so the two kinds of event take
-    separate paths. All others never touch the payload column, by far the widest in
-    Bronze, and the pull request path reads it only in the row groups that hold pull
-    requests (Bronze is sorted by type). This needs ``type`` to be the same in every
-    copy of an event.
+    An event belongs to the earliest date any of its copies has (NULL last), and only
+    its copies of that date count. Only pull requests can hold more than one row, so
+    the two kinds of event take separate paths. All others never touch the payload
+    column, by far the widest in Bronze, and the pull request path reads it only in the
+    row groups that hold pull requests (Bronze is sorted by type). This needs ``type``
+    to be the same in every copy of an event.
     """
-    others = one_row_per(flatten(bronze.filter(~_is_pull_request())), ["event_id"])
-    return _unlabelled(others).unionByName(_pull_rows(bronze))
-
-
-def _pull_rows(bronze: DataFrame) -> DataFrame:
-    exploded = explode_labels(gate_labels(bronze.filter(_is_pull_request())))
-    return one_row_per(
-        exploded, ["event_id", "pr_label_name"], lowest=["pr_label_color"]
-    ).select(*SILVER_COLUMNS)
+    return silver_marked(bronze).drop("opens_event")
 
 
-def _unlabelled(rows: DataFrame) -> DataFrame:
-    none = F.lit(None).cast("string")
-    return rows.select(
-        *EVENT_COLUMNS, none.alias("pr_label_name"), none.alias("pr_label_color")
+def silver_marked(bronze: DataFrame) -> DataFrame:
+    """``silver`` plus ``opens_event``, true in exactly one row of each event."""
+    others = one_row_per(
+        flatten(bronze.filter(~_is_pull_request())), ["event_id"], lowest=["event_date", "created_at"]
     )
-
-
-def id_counts(bronze: DataFrame) -> DataFrame:
-    """Rows per hash of the event id.
-
-    Eight bytes per event are shuffled, copies collapsing in each task first.
-    """
-    return count_by(bronze.select(_id_hash("id")), "id_hash", name="n")
-
-
-def repeated_ids(counts: DataFrame) -> DataFrame:
-    """Hashes of the event ids that may occur more than once, from ``id_counts``.
-
-    Two ids that share a hash are listed too, which costs a little work and changes
-    nothing, as ``silver_around`` compares the ids themselves.
-    """
-    return counts.filter(F.col("n") > 1).select("id_hash")
-
-
-def distinct_among(bronze: DataFrame, repeated: DataFrame) -> DataFrame:
-    """The distinct ids behind a list of repeated hashes; shuffles only those."""
-    return (
-        bronze.select("id", _id_hash("id"))
-        .join(F.broadcast(repeated), "id_hash", "left_semi")
-        .select("id")
-        .distinct()
+    none = F.lit(None).cast("string")
+    others = others.select(
+        *EVENT_COLUMNS, none.alias("pr_label_name"), none.alias("pr_label_color"),
+        F.lit(True).alias("opens_event"),
     )
-
-
-def silver_around(bronze: DataFrame, repeated: DataFrame) -> DataFrame:
-    """The rows of ``silver``, given ``repeated_ids`` small enough to broadcast.
-
-    Events that occur once go straight through, without a shuffle and in the files'
-    own date order; only repeated ones and pull requests are brought together.
-    """
-    others = flatten(bronze.filter(~_is_pull_request())).select("*", _id_hash("event_id"))
-    repeated = F.broadcast(repeated)
-    single = others.join(repeated, "id_hash", "left_anti").drop("id_hash")
-    copies = others.join(repeated, "id_hash", "left_semi").drop("id_hash")
-    gathered = _unlabelled(one_row_per(copies, ["event_id"])).unionByName(
-        _pull_rows(bronze)
+    exploded = explode_labels(gate_labels(bronze.filter(_is_pull_request())))
+    pulls = one_row_per(
+        exploded, ["event_id", "pr_label_name", "event_date"], lowest=["pr_label_color", "created_at"]
     )
-    return _unlabelled(single).unionByName(gathered.hint("rebalance", "event_date"))
+    # Copies have collapsed by now: an event has a row for each label and date.
+    copies = Window.partitionBy("event_id")
+    by_date = copies.orderBy(F.col("event_date").isNull(), "event_date")
+    first = F.first("event_date").over(by_date)
+    pulls = pulls.withColumn("first_date", first).filter(F.col("event_date").eqNullSafe(F.col("first_date")))
+    opens = F.row_number().over(copies.orderBy("pr_label_name")) == 1
+    return others.unionByName(pulls.select(*SILVER_COLUMNS, opens.alias("opens_event")))
 
 
-def _id_hash(column: str) -> Column:
-    return F.xxhash64(column).alias("id_hash")
+def before_others(rows: DataFrame, stored: DataFrame, start: date | None) -> DataFrame:
+    """Silver rows of a date range without events that an earlier stored date holds."""
+    earlier = stored.filter(F.col("event_date") < F.lit(start)).select(F.col("event_id").alias("held"))
+    return rows.join(earlier, rows.event_id.eqNullSafe(earlier.held), "left_anti")
 
 
 def events(bronze: DataFrame, *columns: str) -> DataFrame:
@@ -144,6 +114,7 @@ def events(bronze: DataFrame, *columns: str) -> DataFrame:
     return one_row_per(
         flatten(bronze).select("event_id", *(c for c in wanted if c != "event_id")),
         ["event_id"],
+        lowest=[c for c in ("event_date", "created_at") if c in wanted],
     )
 
 

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.functions.payload import labels, pr_labels
@@ -16,17 +16,14 @@ from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.plans import jobs
-from eventlake.schema import WATCH
+from eventlake.schema import BRONZE_SCHEMA, PUSH, SILVER_SCHEMA, WATCH
 from eventlake.sources import layers, sample
+from eventlake.sources.raw import missing_files as hours_without_file
 from eventlake.sources.raw import read_lines, read_raw
 from eventlake.sources.scratch import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# The day the partition-pruned query reads.
-ONE_DAY = date(2024, 1, 15)
-
-
 def raw(spark: SparkSession, sf: str, redelivered: bool = False) -> DataFrame:
     return sample.envelope(sample.read_events(spark, sf), redelivered)
 
@@ -59,26 +56,43 @@ def stored(df: DataFrame, name: str, **options: bool) -> DataFrame:
 
 
 def raw_files(spark: SparkSession, sf: str, broken: bool = False) -> DataFrame:
-    """The events written as gzip JSON lines and read back as raw files."""
+    """The events written as gzip JSON lines, a file per hour, and read back."""
     lines = sample.raw_lines(raw(spark, sf))
     if broken:
         lines = sample.break_some_lines(lines)
     path = scratch_path(spark, "raw")
     sample.write_raw_lines(lines, path)
-    return read_raw(spark, [path])
+    return read_raw(spark, [f"{path}/*.json.gz"])
+
+
+def stored_silver(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of redelivered events, written and read back as the jobs do."""
+    path = scratch_path(spark, "silver")
+    layers.write_by_date(S.silver(bronze(spark, sf, redelivered=True)), path, gather=True)
+    return layers.read_layer(spark, path, schema=SILVER_SCHEMA)
+
+
+def grain(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
+    """Event grain of stored Silver, the input of Gold."""
+    return S.event_grain(stored_silver(spark, sf), *columns)
 
 
 def stars(spark: SparkSession, sf: str) -> DataFrame:
-    starred = bronze(spark, sf).filter(F.col("type") == WATCH)
-    return G.top_repos_by_stars(S.events(starred, "type", "repo_name"))
+    starred = stored_silver(spark, sf).filter(F.col("type") == WATCH)
+    return G.top_repos_by_stars(S.event_grain(starred, "type", "repo_name"))
 
 
 def actors(spark: SparkSession, sf: str) -> DataFrame:
-    return G.top_actors(events(spark, sf, "actor_login"))
+    return G.top_actors(grain(spark, sf, "actor_login"))
 
 
 def hours(spark: SparkSession, sf: str) -> DataFrame:
-    return G.events_by_hour(events(spark, sf, "created_at"))
+    return G.events_by_hour(grain(spark, sf, "created_at"))
+
+
+def pushes(spark: SparkSession, sf: str) -> DataFrame:
+    pushed = stored_silver(spark, sf).filter(F.col("type") == PUSH)
+    return P.push_event_count(S.event_grain(pushed, "type"))
 
 
 # Sources and sinks
@@ -89,33 +103,21 @@ def raw_events(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def bronze_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Written and read-back rows of each date, failing on a difference."""
-    source = bronze(spark, sf)
-    back = stored(source, "bronze")
-    written = source.groupBy("event_date").agg(F.count(F.lit(1)).alias("written"))
-    read = back.groupBy("event_date").agg(F.count(F.lit(1)).alias("read_back"))
-    both = written.join(read, written.event_date.eqNullSafe(read.event_date), "full_outer")
-    n_written = F.coalesce("written", F.lit(0))
-    n_read = F.coalesce("read_back", F.lit(0))
-    return both.select(
-        F.coalesce(written.event_date, read.event_date).alias("event_date"),
-        n_written.alias("written"),
-        F.when(n_written == n_read, n_read)
-        .otherwise(F.raise_error(F.lit("bronze lost or gained rows")).cast("bigint"))
-        .alias("read_back"),
-    )
+    """Written and read-back rows of each date, failing on a difference in all."""
+    path = scratch_path(spark, "bronze")
+    seen = Observation()
+    written = F.count(F.lit(1)).alias("written")
+    layers.write_by_date(bronze(spark, sf).observe(seen, written), path)
+    back = layers.read_layer(spark, path, schema=BRONZE_SCHEMA)
+    Q.require_equal("bronze rows", seen.get["written"], back.count())
+    n = F.count(F.lit(1))
+    return back.groupBy("event_date").agg(n.alias("written"), n.alias("read_back"))
 
 
 def gold_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """The three Gold tables stored, read back and counted."""
-    lake = scratch_path(spark, "gold")
-    tables = {
-        "top_repos_by_stars": stars(spark, sf),
-        "events_by_hour": hours(spark, sf),
-        "top_actors": actors(spark, sf),
-    }
-    for name, table in tables.items():
-        layers.write_table(table, f"{lake}/gold/{name}")
+    """The three Gold tables, made from stored Silver by the job, read back and counted."""
+    lake = scratch_path(spark, "lake")
+    layers.write_by_date(S.silver(bronze(spark, sf, redelivered=True)), f"{lake}/silver", gather=True)
     measure = {"top_repos_by_stars": "star_count"}
     parts = [
         table.agg(
@@ -123,28 +125,76 @@ def gold_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
             F.count(F.lit(1)).alias("rows"),
             F.sum(measure.get(name, "event_count")).alias("total"),
         )
-        for name, table in jobs.read_gold(spark, lake).items()
+        for name, table in jobs.run_gold(spark, lake).items()
     ]
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
+def silver_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of redelivered events, loaded by runs over parts of the dates, later ones
+    first; each tenth event is delivered again a day later."""
+    lake = scratch_path(spark, "lake")
+    once = raw(spark, sf)
+    day_after = F.date_format(
+        F.to_timestamp_ntz("created_at", F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")) + F.expr("INTERVAL 1 DAY"),
+        "yyyy-MM-dd'T'HH:mm:ss'Z'",
+    )
+    again = once.filter(F.col("id").cast("bigint") % 10 == 0).withColumn("created_at", day_after)
+    layers.write_by_date(B.bronze(once.unionByName(again)), f"{lake}/bronze")
+    days = layers.read_layer(spark, f"{lake}/bronze", schema=BRONZE_SCHEMA).agg(
+        F.min("event_date").alias("first"), F.max("event_date").alias("last")
+    ).first()
+    if days.first is not None:
+        middle = days.first + (days.last - days.first) // 2
+        jobs.run_silver(spark, lake, middle + timedelta(days=1), days.last)
+        jobs.run_silver(spark, lake, days.first, middle)
+    return layers.read_layer(spark, f"{lake}/silver", schema=SILVER_SCHEMA)
+
+
+def bronze_layer(spark: SparkSession, sf: str) -> str:
     path = scratch_path(spark, "bronze")
     layers.write_by_date(bronze(spark, sf), path)
-    return layers.partition_layout(spark, path)
+    return path
+
+
+def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.partition_layout(spark, bronze_layer(spark, sf))
+
+
+def layout_check(spark: SparkSession, sf: str) -> DataFrame:
+    """Dates of a layer by its listing, with what a second engine can know of them."""
+    path = bronze_layer(spark, sf)
+    files = layers.file_layout(spark, path).groupBy("event_date").agg(
+        (F.count(F.lit(1)) > 0).alias("has_files"), (F.min("size_mb") > 0).alias("has_data")
+    )
+    rows = layers.read_layer(spark, path, schema=BRONZE_SCHEMA).groupBy("event_date").agg(
+        F.count(F.lit(1)).alias("rows")
+    )
+    same = files.event_date.eqNullSafe(rows.event_date)
+    return files.join(rows, same).select(files.event_date, "has_files", "has_data", "rows")
 
 
 def events_on_date(spark: SparkSession, sf: str) -> DataFrame:
-    path = scratch_path(spark, "bronze")
-    layers.write_by_date(bronze(spark, sf), path)
-    day = layers.read_layer(spark, path, ONE_DAY, ONE_DAY)
+    """Events of the last day stored; the scan reads that day's directory only."""
+    path = bronze_layer(spark, sf)
+    whole = layers.read_layer(spark, path, schema=BRONZE_SCHEMA)
+    last = whole.agg(F.max("event_date")).first()[0]
+    day = layers.read_layer(spark, path, last, last, BRONZE_SCHEMA)
     return day.select(F.col("id").alias("event_id"), "type", "event_date")
 
 
+def missing_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours without a raw file, looked for until two days after the last event."""
+    path = scratch_path(spark, "raw")
+    sample.write_raw_lines(sample.raw_lines(raw(spark, sf)), path)
+    days = bronze(spark, sf).agg(F.min("event_date").alias("first"), F.max("event_date").alias("last")).first()
+    return hours_without_file(spark, path, days.first, days.last + timedelta(days=2)).select("event_date", "hour")
+
+
 def top_level_fields(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "raw")
     sample.write_raw_lines(sample.raw_lines(raw(spark, sf)), path)
-    return P.top_level_fields(read_lines(spark, [path]))
+    return P.top_level_fields(read_lines(spark, [f"{path}/*.json.gz"]))
 
 
 def corrupt_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -159,9 +209,7 @@ def silver_with_broken_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def event_grain(spark: SparkSession, sf: str) -> DataFrame:
     """Event grain from stored Silver, the input holding redelivered events."""
-    return S.event_grain(
-        stored(S.silver(bronze(spark, sf, redelivered=True)), "silver", gather=True)
-    )
+    return grain(spark, sf)
 
 
 def created_at_parsed(spark: SparkSession, sf: str) -> DataFrame:
@@ -194,10 +242,13 @@ QUERIES: dict[str, Query] = {
     "bronze_roundtrip": bronze_roundtrip,
     "gold_roundtrip": gold_roundtrip,
     "partition_layout": partition_layout,
+    "layout_check": layout_check,
+    "missing_files": missing_files,
     "events_on_date": events_on_date,
     "corrupt_count": corrupt_count,
     "top_level_fields": top_level_fields,
     "missing_hours": lambda s, d: Q.missing_hours(S.flatten(bronze(s, d))),
+    "missing_hours_by_actor": lambda s, d: Q.missing_hours_by(S.flatten(bronze(s, d)), "actor_login"),
     # projections and scalar functions
     "nested_select": lambda s, d: P.nested_select(raw(s, d)),
     "core_projection": lambda s, d: core(s, d).select(
@@ -218,7 +269,10 @@ QUERIES: dict[str, Query] = {
     "label_sample": lambda s, d: Q.label_sample(silver(s, d)),
     "silver_reconcile": lambda s, d: Q.silver_reconcile(silver(s, d)),
     "silver_with_broken_lines": silver_with_broken_lines,
-    "label_row_expectation": lambda s, d: Q.label_row_expectation(gated(s, d)),
+    "label_row_expectation": lambda s, d: Q.label_row_expectation(
+        S.gate_labels(bronze(s, d, redelivered=True)), stored_silver(s, d)
+    ),
+    "silver_by_day": silver_by_day,
     # Gold and findings
     "top_repos_by_stars": stars,
     "events_by_hour": hours,
@@ -235,9 +289,9 @@ QUERIES: dict[str, Query] = {
     # profiling
     "total_events": lambda s, d: P.total_events(core(s, d)),
     "events_by_type": lambda s, d: P.events_by_type(core(s, d)),
-    "push_event_count": lambda s, d: P.push_event_count(events(s, d, "type")),
+    "push_event_count": pushes,
     "type_share": lambda s, d: P.type_share(core(s, d)),
-    "actor_share": lambda s, d: P.actor_share(events(s, d, "actor_login")),
+    "actor_share": lambda s, d: P.actor_share(grain(s, d, "actor_login")),
     "duplicate_ids": lambda s, d: P.duplicate_ids(
         P.core_projection(raw(s, d, redelivered=True))
     ),
@@ -259,10 +313,10 @@ QUERIES: dict[str, Query] = {
     "array_size_stats": lambda s, d: P.array_size_stats(raw(s, d)),
     "array_field_profile": lambda s, d: P.array_field_profile(raw(s, d)),
     # skew
-    "key_skew_report": lambda s, d: Q.key_skew_report(events(s, d, "actor_login")),
+    "key_skew_report": lambda s, d: Q.key_skew_report(grain(s, d, "actor_login")),
     "key_skew_by_digest": lambda s, d: Q.key_skew_report(
-        events(s, d, "actor_login"),
+        grain(s, d, "actor_login"),
         hashed=F.conv(F.substring(F.md5("actor_login"), 1, 8), 16, 10).cast("bigint"),
     ),
-    "heaviest_key": lambda s, d: Q.heaviest_key(events(s, d, "actor_login")),
+    "heaviest_key": lambda s, d: Q.heaviest_key(grain(s, d, "actor_login")),
 }

@@ -6,7 +6,7 @@ a run to those days and replaces only their directories.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from datetime import date
 
@@ -19,13 +19,11 @@ from eventlake.operators import gold as G
 from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
-from eventlake.schema import CORRUPT, PULL_REQUEST, WATCH
+from eventlake.operators.bronze import in_dates
+from eventlake.schema import BRONZE_SCHEMA, CORRUPT, PULL_REQUEST, SILVER_SCHEMA, WATCH
 from eventlake.sources.layers import read_layer, write_by_date, write_table
 from eventlake.sources.raw import read_raw
-from eventlake.sources.scratch import scratch_path
-
-# Repeated ids that are still broadcast: 8-byte keys, about 100 MB once hashed.
-BROADCAST_IDS = 2_000_000
+from eventlake.sources.scratch import file_store, scratch_path
 
 GOLD_TABLES = ("top_repos_by_stars", "events_by_hour", "top_actors")
 
@@ -68,7 +66,7 @@ def run_bronze(
         F.count_if(fits).alias("kept"),
     )
     write_by_date(
-        counted.filter(fits).drop(CORRUPT), f"{lake}/bronze", replace_dates_only=dated
+        counted.filter(fits).drop(CORRUPT), f"{lake}/bronze", only=_in_range(start, end)
     )
     counts = {k: int(v) for k, v in seen.get.items()}
 
@@ -77,7 +75,7 @@ def run_bronze(
         aside = spark.createDataFrame([], aside.schema)
     write_table(aside, f"{lake}/quarantine/{_range_name(start, end)}")
 
-    stored = read_layer(spark, f"{lake}/bronze", start, end).count()
+    stored = read_layer(spark, f"{lake}/bronze", start, end, BRONZE_SCHEMA).count()
     Q.require_equal("events read back from bronze", counts["kept"], stored)
     return counts
 
@@ -86,55 +84,96 @@ def _range_name(start: date | None, end: date | None) -> str:
     return f"range={start or 'first'}_{end or 'last'}"
 
 
+def _in_range(start: date | None, end: date | None) -> Callable[[date | None], bool] | None:
+    if start is None and end is None:
+        return None
+    return lambda day: day is not None and (start or day) <= day <= (end or day)
+
+
 def run_silver(
     spark: SparkSession,
     lake: str,
     start: date | None = None,
     end: date | None = None,
     verify: bool = True,
-    broadcast_ids: int = BROADCAST_IDS,
 ) -> dict[str, int]:
-    """Bronze to Silver. ``verify`` compares the distinct events of both layers.
+    """Bronze to Silver. ``verify`` compares what was written with what is stored, and
+    the labels with those the payloads promise.
 
-    The ids that occur more than once are listed first, in a table whose length
-    decides the way: few enough to broadcast, and all other events pass without a
-    shuffle; too many, and all events are brought together by id.
+    Silver as a whole is unique by event and label name, whatever the order of dated
+    runs: an event belongs to its earliest date. So a dated run leaves out events that
+    an earlier date holds, and takes those it does hold from later dates. For that it
+    reads the event ids of the other dates, one column.
     """
-    dated = start is not None or end is not None
-    source = read_layer(spark, f"{lake}/bronze", start, end)
-    listed = scratch_path(spark, "repeated", f"{lake}/_scratch")
+    only = _in_range(start, end)
+    source = read_layer(spark, f"{lake}/bronze", start, end, BRONZE_SCHEMA)
+    path = f"{lake}/silver"
+    rows = S.silver_marked(source)
+    others = only and _exists(spark, path)
+    if others and start is not None:
+        held = read_layer(spark, path, schema=SILVER_SCHEMA)
+        rows = S.before_others(rows, held, start)
     seen = Observation()
-    counts = S.id_counts(source).observe(seen, F.count_if(F.col("n") == 1).alias("once"))
-    write_table(S.repeated_ids(counts), listed)
-    repeated = spark.read.parquet(listed)
-    few = repeated.count() <= broadcast_ids
-    rows = S.silver_around(source, repeated) if few else S.silver(source)
-    write_by_date(rows, f"{lake}/silver", replace_dates_only=dated, gather=not few)
-    if not verify:
-        return {}
-
-    if few:
-        expected = int(seen.get["once"]) + S.distinct_among(source, repeated).count()
-    else:
-        expected = source.select("id").distinct().count()
-    stored = read_layer(spark, f"{lake}/silver", start, end)
-    found = Q.silver_reconcile(stored).first().asDict()
-    Q.require_equal("distinct events in silver", expected, found["distinct_events"])
-    leaked = Q.label_types(stored).filter(~F.col("type").eqNullSafe(PULL_REQUEST)).count()
-    Q.require_equal("event types with leaked labels", 0, leaked)
+    labelled = F.col("pr_label_name").isNotNull()
+    counted = rows.observe(
+        seen,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("opens_event").alias("distinct_events"),
+        F.count_if(labelled).alias("rows_with_label"),
+        F.count_if(labelled & ~F.col("type").eqNullSafe(PULL_REQUEST)).alias("leaked"),
+    )
+    write_by_date(counted.drop("opens_event"), path, only=only, gather=True)
+    found = {k: int(v) for k, v in seen.get.items()}
+    if others:
+        _take_from_later(spark, path, start, end)
+    found["surplus_rows"] = found["rows"] - found["distinct_events"]
+    leaked = found.pop("leaked")
+    if verify:
+        stored = read_layer(spark, path, start, end, SILVER_SCHEMA)
+        Q.require_equal("rows in silver", found["rows"], stored.count())
+        Q.require_equal("rows with leaked labels", 0, leaked)
+        if only is None:
+            labels = Q.label_row_expectation(S.gate_labels(source), stored).first()
+            Q.require_equal("label rows", labels.distinct_label_rows, labels.actual_rows)
     return found
 
 
-def run_gold(
-    spark: SparkSession, lake: str, start: date | None = None, end: date | None = None
-) -> dict[str, DataFrame]:
-    """Silver to the three Gold tables; returns the written tables.
+def _exists(spark: SparkSession, path: str) -> bool:
+    where, store = file_store(spark, path)
+    return store.exists(where)
+
+
+def _take_from_later(spark: SparkSession, path: str, start: date | None, end: date | None) -> None:
+    """Removes events of a date range from later dates; rewrites only dates that hold any."""
+    silver = read_layer(spark, path, schema=SILVER_SCHEMA)
+    own = silver.filter(in_dates(start, end)).select(F.col("event_id").alias("held")).distinct()
+    later = F.col("event_date").isNull()
+    if end is not None:
+        later = later | (F.col("event_date") > F.lit(end))
+    later = silver.filter(later)
+    same = later.event_id.eqNullSafe(own.held)
+    # One row per date at most.
+    days = {r[0] for r in later.join(own, same, "left_semi").select("event_date").distinct().collect()}
+    if not days:
+        return
+    touched = F.col("event_date").isin([d for d in days if d is not None])
+    if None in days:
+        touched = F.coalesce(touched, F.lit(True))
+    kept = later.filter(touched).join(own, same, "left_anti")
+    aside = scratch_path(spark, "later", f"{path}/../_scratch")
+    write_table(kept, aside)
+    again = spark.read.schema(SILVER_SCHEMA).parquet(aside)
+    write_by_date(again, path, only=lambda day: day in days, gather=True)
+
+
+def run_gold(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
+    """Silver, all of it, to the three Gold tables; returns the written tables.
 
     Each table scans only the columns it groups by, and event grain costs a shuffle
     of pull request rows only, so the three scans together read less than one cached
     copy of the events would.
     """
-    rows = read_layer(spark, f"{lake}/silver", start, end)
+    rows = read_layer(spark, f"{lake}/silver", schema=SILVER_SCHEMA)
     # Filtered before event grain is restored: type is the same in all rows of an
     # event, and the filter then reaches the scan.
     starred = rows.filter(F.col("type") == WATCH)

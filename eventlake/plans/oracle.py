@@ -87,6 +87,7 @@ _RECONCILE = """SELECT CAST(count(*) AS BIGINT) AS rows,
     count(DISTINCT event_id) AS distinct_events, count(pr_label_name) AS rows_with_label,
     CAST(count(*) - count(DISTINCT event_id) AS BIGINT) AS surplus_rows FROM silver"""
 
+# Payload field names.
 _PUSH_FIELDS = (
     "'push_id', 'ref', 'commits', 'size', 'distinct_size', 'before', 'head', "
     "'repository_id'"
@@ -107,8 +108,25 @@ _BODIES: dict[str, str] = {
           CAST(sum(star_count) AS BIGINT) AS total FROM stars
         UNION ALL SELECT 'events_by_hour', count(*), CAST(sum(event_count) AS BIGINT) FROM hours
         UNION ALL SELECT 'top_actors', count(*), CAST(sum(event_count) AS BIGINT) FROM actors""",
+    "layout_check": """SELECT event_date, true AS has_files, true AS has_data,
+        count(*) AS rows FROM raw GROUP BY 1""",
+    "missing_files": """
+        SELECT CAST(t AS DATE) AS event_date, CAST(hour(t) AS INTEGER) AS hour
+        FROM (SELECT unnest(generate_series(
+                CAST((SELECT min(event_date) FROM raw) AS TIMESTAMP),
+                CAST((SELECT max(event_date) FROM raw) AS TIMESTAMP) + INTERVAL 71 HOUR,
+                INTERVAL 1 HOUR)) AS t)
+        WHERE t NOT IN (SELECT date_trunc('hour', created_at) FROM raw)""",
+    "missing_hours_by_actor": """
+        SELECT actor_login, CAST(t AS DATE) AS event_date, CAST(hour(t) AS INTEGER) AS hour
+        FROM (SELECT actor_login, unnest(generate_series(
+                CAST(min(event_date) AS TIMESTAMP),
+                CAST(max(event_date) AS TIMESTAMP) + INTERVAL 23 HOUR, INTERVAL 1 HOUR)) AS t
+              FROM raw GROUP BY 1)
+        WHERE (actor_login, t) NOT IN
+          (SELECT (actor_login, date_trunc('hour', created_at)) FROM raw)""",
     "events_on_date": """SELECT event_id, type, event_date FROM raw
-        WHERE event_date = DATE '2024-01-15'""",
+        WHERE event_date = (SELECT max(event_date) FROM raw)""",
     "top_level_fields": """
         SELECT field, count(*) AS event_count FROM (
           SELECT unnest(['id', 'type', 'actor', 'repo', 'public', 'created_at', 'payload'])
@@ -155,8 +173,11 @@ _BODIES: dict[str, str] = {
     "label_row_expectation": """SELECT count(*) AS events_with_labels,
         round(avg(len(labels)), 4) AS avg_labels,
         CAST(sum(len(labels)) AS BIGINT) AS expected_rows,
-        (SELECT count(*) FROM silver WHERE pr_label_name IS NOT NULL) AS distinct_label_rows
-        FROM raw WHERE type = 'PullRequestEvent' AND len(labels) > 0""",
+        (SELECT count(*) FROM (SELECT DISTINCT event_id, unnest(labels).name FROM redelivered
+           WHERE type = 'PullRequestEvent')) AS distinct_label_rows,
+        (SELECT count(*) FROM silver WHERE pr_label_name IS NOT NULL) AS actual_rows
+        FROM redelivered WHERE type = 'PullRequestEvent' AND len(labels) > 0""",
+    "silver_by_day": "SELECT * FROM silver",
     "top_repos_by_stars": "SELECT * FROM stars",
     "events_by_hour": "SELECT * FROM hours ORDER BY hour",
     "events_by_date_and_hour": """SELECT event_date, hour, count(*) AS event_count

@@ -17,6 +17,8 @@ RAW_SCHEMA = (
     f"public boolean, created_at string, payload string, {CORRUPT} string"
 )
 
+BRONZE_SCHEMA = RAW_SCHEMA.removesuffix(f", {CORRUPT} string") + ", event_date date"
+
 LABELS_SCHEMA = "labels array<struct<name:string,color:string>>"
 
 SILVER_COLUMNS = (
@@ -36,6 +38,12 @@ SILVER_COLUMNS = (
 
 EVENT_COLUMNS = SILVER_COLUMNS[:-2]
 
+SILVER_SCHEMA = (
+    "event_id string, type string, actor_id bigint, actor_login string, repo_id bigint, "
+    "repo_name string, org_login string, public boolean, created_at timestamp_ntz, "
+    "event_date date, pr_label_name string, pr_label_color string"
+)
+
 # Event type names, list lengths and payload field names.
 PULL_REQUEST = "PullRequestEvent"
 WATCH = "WatchEvent"

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from eventlake.sources.scratch import file_store
+
 EVENTS_SCHEMA = (
     "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
     "value double, props string"
@@ -102,8 +104,33 @@ def raw_lines(envelope_rows: DataFrame) -> DataFrame:
 
 
 def write_raw_lines(lines: DataFrame, path: str) -> None:
-    """Lines as gzip text files."""
-    lines.select("value").write.mode("overwrite").option("compression", "gzip").text(path)
+    """Lines as gzip text, a file for each hour, with names as in the manifest.
+
+    An hour is brought together first and split again by size at run time; further files
+    of one hour get a number. Spark names files itself, so each is renamed after the
+    write: one call to the file system per file.
+    """
+    stamp = F.get_json_object("value", "$.created_at")
+    hour = F.concat(F.substring(stamp, 1, 10), F.lit("-"), F.substring(stamp, 12, 2).cast("int"))
+    (
+        lines.select("value", F.coalesce(hour, F.lit("unknown")).alias("of"))
+        .hint("rebalance", "of")
+        .sortWithinPartitions("of")
+        .write.mode("overwrite")
+        .partitionBy("of")
+        .option("compression", "gzip")
+        .text(path)
+    )
+    spark = lines.sparkSession
+    root, store = file_store(spark, path)
+    for folder in store.listStatus(root):
+        name = folder.getPath().getName()
+        if name.startswith("of="):
+            for n, file in enumerate(store.listStatus(folder.getPath())):
+                suffix = f".{n}" if n else ""
+                target, _ = file_store(spark, f"{path}/{name.removeprefix('of=')}{suffix}.json.gz")
+                store.rename(file.getPath(), target)
+            store.delete(folder.getPath(), True)
 
 
 def break_some_lines(lines: DataFrame) -> DataFrame:

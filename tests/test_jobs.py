@@ -44,11 +44,10 @@ def test_raw_to_findings(spark, raw, folder, any_zone):
     assert spark.read.parquet(f"{lake}/quarantine/range=first_last").count() == 1
 
 
-@pytest.mark.parametrize("limit", [jobs.BROADCAST_IDS, 1])
-def test_both_silver_ways_store_the_same(spark, raw, folder, limit):
+def test_counts_of_silver(spark, raw, folder):
     lake = f"{folder}/lake"
     assert jobs.run_bronze(spark, [f"{raw}/*.json.gz"], lake) == {"lines": 13, "broken": 1, "kept": 12}
-    assert jobs.run_silver(spark, lake, broadcast_ids=limit) == {
+    assert jobs.run_silver(spark, lake) == {
         "rows": 12, "distinct_events": 11, "rows_with_label": 2, "surplus_rows": 1,
     }
 
@@ -81,13 +80,76 @@ def test_a_dated_run_replaces_its_days_only(spark, raw, folder):
     assert [r.id for r in aside.collect()] == ["stray"]
 
 
-def test_gold_of_one_day(spark, raw, folder):
+TWO_DAYS = {
+    "2024-01-01-5.json.gz": [*(event(f"a{i}") for i in range(4)), event("both"), pull("p", label("x"))],
+    "2024-01-02-5.json.gz": [
+        *(event(f"b{i}", login="bob", at="2024-01-02T05:00:00Z") for i in range(2)),
+        event("both", at="2024-01-02T05:00:00Z"),
+        pull("p", label("x"), label("later"), at="2024-01-02T05:00:00Z"),
+    ],
+}
+
+
+@pytest.mark.parametrize("order", [[D1, D2], [D2, D1], [D1, D2, D1, D2]])
+def test_runs_by_day_give_what_one_run_gives(spark, folder, order):
+    for name, lines in TWO_DAYS.items():
+        write_hour(folder, name, lines)
+    whole, daily = f"{folder}/whole", f"{folder}/daily"
+    jobs.run_all(spark, [f"{folder}/*.json.gz"], whole)
+    for day in order:
+        args = ["--raw", folder, "--lake", daily, "--start", str(day)]
+        run(spark, parse_args(args))
+    silver = [table(read_layer(spark, f"{lake}/silver")) for lake in (whole, daily)]
+    assert silver[0] == silver[1]
+    gold = [{n: table(t) for n, t in jobs.read_gold(spark, lake).items()} for lake in (whole, daily)]
+    assert gold[0] == gold[1] and gold[0]["top_actors"] == [("ann", 6), ("bob", 2)]
+
+
+def test_gold_does_not_depend_on_the_entry_point(spark, folder):
+    for name, lines in TWO_DAYS.items():
+        write_hour(folder, name, lines)
     lake = f"{folder}/lake"
-    jobs.run_bronze(spark, [f"{raw}/*.json.gz"], lake)
-    jobs.run_silver(spark, lake)
-    gold = jobs.run_gold(spark, lake, D2, D2)
-    assert table(gold["top_actors"]) == [("ann", 1)]
-    assert table(gold["events_by_hour"]) == [(0, 1)]
+    run(spark, parse_args(["--raw", folder, "--lake", lake, "--start", "2024-01-01"]))
+    run(spark, parse_args(["--raw", folder, "--lake", lake, "--start", "2024-01-02"]))
+    by_command = table(jobs.read_gold(spark, lake)["top_actors"])
+    jobs.run_all(spark, [raw_glob(folder, D2, D2)], lake, D2, D2)
+    assert table(jobs.read_gold(spark, lake)["top_actors"]) == by_command == [("ann", 6), ("bob", 2)]
+
+
+def test_a_day_that_became_empty_is_removed(spark, folder):
+    for name, lines in TWO_DAYS.items():
+        write_hour(folder, name, lines)
+    lake = f"{folder}/lake"
+    jobs.run_all(spark, [f"{folder}/*.json.gz"], lake)
+    write_hour(folder, "2024-01-02-5.json.gz", [])
+    jobs.run_all(spark, [raw_glob(folder, D2, D2)], lake, D2, D2)
+    assert read_layer(spark, f"{lake}/bronze", D2, D2).count() == 0
+    assert table(jobs.read_gold(spark, lake)["top_actors"]) == [("ann", 6)]
+
+
+def test_undated_events_and_broken_lines_alone(spark, folder):
+    write_hour(folder, "2024-01-01-5.json.gz", [event("1", at="junk")])
+    assert jobs.run_all(spark, [f"{folder}/*.json.gz"], f"{folder}/u")["top10_actors"].count() == 1
+    write_hour(folder, "2024-01-01-5.json.gz", ["{broken"])
+    assert jobs.run_all(spark, [f"{folder}/*.json.gz"], f"{folder}/x")["top10_actors"].count() == 0
+
+
+def test_a_leaking_gate_fails_the_job(spark, folder, monkeypatch):
+    write_hour(folder, "2024-01-01-5.json.gz", [event("1", type="IssuesEvent", payload={"labels": [label("x")]}), pull("2", label("y"))])
+    lake = f"{folder}/lake"
+    jobs.run_bronze(spark, [f"{folder}/*.json.gz"], lake)
+    real = jobs.S.silver_marked
+    leak = F.when(F.col("event_id") == "1", "x").otherwise(F.col("pr_label_name"))
+    monkeypatch.setattr(jobs.S, "silver_marked", lambda b: real(b).withColumn("pr_label_name", leak))
+    with pytest.raises(CheckFailed, match="leaked"):
+        jobs.run_silver(spark, lake)
+
+
+def test_every_row_of_a_report_is_printed(spark, folder, capsys):
+    write_hour(folder, "2024-01-01-5.json.gz", [event("1")])
+    write_hour(folder, "2024-01-02-5.json.gz", [event("2")])
+    run(spark, parse_args(["--raw", folder, "--lake", "x", "--start", "2024-01-01", "--end", "2024-01-02", "--steps", "missing"]))
+    assert capsys.readouterr().out.count(".json.gz") == 46
 
 
 def test_a_lost_row_fails_the_job(spark, raw, folder, monkeypatch):

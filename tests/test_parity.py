@@ -7,7 +7,9 @@ import os
 import pytest
 from parity import oracle_connection, oracle_rows, spark_rows
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from eventlake.plans.catalog import QUERIES
+from eventlake.plans.oracle import ORACLE_SQL
 
 SF = os.environ.get("PARITY_SF_DIR", "/root/testdata/sf0.001")
 SF_MEDIUM = "/root/testdata/sf0.01"
@@ -21,13 +23,13 @@ def duck():
 
 
 def test_every_query_has_an_oracle_or_a_reason():
-    assert set(queries()) - set(oracle_sql()) == ROWS_ONLY
-    assert set(oracle_sql()) <= set(queries())
+    assert set(QUERIES) - set(ORACLE_SQL) == ROWS_ONLY
+    assert set(ORACLE_SQL) <= set(QUERIES)
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_matches_oracle(spark, duck, any_zone, name):
-    assert spark_rows(queries()[name](spark, SF)) == oracle_rows(duck, oracle_sql()[name])
+    assert spark_rows(QUERIES[name](spark, SF)) == oracle_rows(duck, ORACLE_SQL[name])
 
 
 @pytest.fixture()
@@ -47,12 +49,12 @@ def other_settings(spark):
      "label_row_expectation", "org_null_ratio", "silver", "silver_with_broken_lines"],
 )
 def test_does_not_depend_on_ansi_or_adaptive_execution(spark, duck, other_settings, name):
-    assert spark_rows(queries()[name](spark, SF)) == oracle_rows(duck, oracle_sql()[name])
+    assert spark_rows(QUERIES[name](spark, SF)) == oracle_rows(duck, ORACLE_SQL[name])
 
 
 @pytest.mark.parametrize("name", sorted(ROWS_ONLY))
 def test_rows_only_queries_run(spark, name):
-    assert queries()[name](spark, SF).count() > 0
+    assert QUERIES[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
@@ -61,7 +63,7 @@ def test_entry(spark):
 
 def test_published_sample_figures(spark):
     """Figures of FIXTURES.md section 3."""
-    run = lambda n: queries()[n](spark, SF_MEDIUM)
+    run = lambda n: QUERIES[n](spark, SF_MEDIUM)
     assert run("silver_exploded").count() == 11514
     assert run("silver").count() == 10992
     assert run("event_grain").count() == 10000
@@ -75,8 +77,8 @@ def test_published_sample_figures(spark):
 
 
 def test_key_skew_report_adds_up(spark):
-    rows = queries()["key_skew_report"](spark, SF).collect()
-    actors = {r.column_name: r.distinct_values for r in queries()["cardinalities"](spark, SF).collect()}
+    rows = QUERIES["key_skew_report"](spark, SF).collect()
+    actors = {r.column_name: r.distinct_values for r in QUERIES["cardinalities"](spark, SF).collect()}
     assert sum(r.rows for r in rows) == 1000
     assert sum(r["keys"] for r in rows) == actors["actor_login"]
-    assert max(r.largest_key_rows for r in rows) == queries()["heaviest_key"](spark, SF).first().event_count
+    assert max(r.largest_key_rows for r in rows) == QUERIES["heaviest_key"](spark, SF).first().event_count

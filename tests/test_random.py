@@ -73,10 +73,7 @@ def test_silver(made):
     names = ["event_id", "type", "actor_login", "pr_label_name", "pr_label_color"]
     expected = silver_rows(events)
     plainly = [tuple(r) for r in S.silver(bronze).select(names).collect()]
-    repeated = S.repeated_ids(S.id_counts(bronze))
-    around = [tuple(r) for r in S.silver_around(bronze, repeated).select(names).collect()]
-    assert len(plainly) == len(around) == len(expected)
-    assert set(plainly) == set(around) == expected
+    assert len(plainly) == len(expected) and set(plainly) == expected
 
 
 def test_event_grain_and_summaries(made):

@@ -13,7 +13,8 @@ from eventlake.operators import bronze as B
 from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
-from eventlake.sources.layers import partition_layout, read_layer, write_by_date
+from eventlake.schema import BRONZE_SCHEMA
+from eventlake.sources.layers import file_layout, partition_layout, read_layer, write_by_date
 from eventlake.sources.raw import missing_files, raw_glob, read_lines, read_raw
 from eventlake.sources.scratch import scratch_path
 
@@ -120,7 +121,7 @@ def test_one_day_can_be_replaced_and_rerun(spark, folder):
     both = [event("1"), event("2", at="2024-01-02T00:00:00Z")]
     write_by_date(bronze_rows(spark, both), f"{folder}/b")
     for _ in range(2):
-        write_by_date(bronze_rows(spark, [event("3"), event("4")]), f"{folder}/b", replace_dates_only=True)
+        write_by_date(bronze_rows(spark, [event("3"), event("4")]), f"{folder}/b", only=lambda day: day == D1)
         assert sorted(r.id for r in read_layer(spark, f"{folder}/b").collect()) == ["2", "3", "4"]
 
 
@@ -160,3 +161,36 @@ def test_scratch_follows_the_session(spark):
     assert path != scratch_path(spark, "x")
     if root:
         assert path.startswith(root.rstrip("/"))
+
+
+def test_a_layer_of_undated_rows_and_an_empty_one_can_be_read(spark, folder):
+    write_by_date(bronze_rows(spark, [event("1", at="junk")]), f"{folder}/u")
+    write_by_date(bronze_rows(spark, []), f"{folder}/e")
+    undated = read_layer(spark, f"{folder}/u", schema=BRONZE_SCHEMA)
+    assert [(r.id, r.event_date) for r in undated.collect()] == [("1", None)]
+    assert read_layer(spark, f"{folder}/e", schema=BRONZE_SCHEMA).count() == 0
+
+
+def test_a_date_without_rows_loses_its_directory(spark, folder):
+    both = bronze_rows(spark, [event("1"), event("2", at="2024-01-02T00:00:00Z"), event("3", at="junk")])
+    write_by_date(both, f"{folder}/b")
+    write_by_date(both.filter("id = '1'"), f"{folder}/b", only=lambda day: day in (D1, D2))
+    assert {r.id for r in read_layer(spark, f"{folder}/b").collect()} == {"1", "3"}
+    write_by_date(both.limit(0), f"{folder}/b", only=lambda day: day is None)
+    assert {r.id for r in read_layer(spark, f"{folder}/b", schema=BRONZE_SCHEMA).collect()} == {"1"}
+
+
+def test_a_truncated_file_stops_the_job(spark, folder):
+    path = write_hour(folder, "2024-01-01-5.json.gz", [event(str(i)) for i in range(2000)])
+    with open(path, "rb") as f:
+        data = f.read()
+    with open(path, "wb") as f:
+        f.write(data[: len(data) // 2])
+    with pytest.raises(Exception, match="FAILED_READ_FILE|Unexpected end"):
+        read_raw(spark, path).count()
+
+
+def test_files_of_a_layer(spark, folder):
+    write_by_date(bronze_rows(spark, [event("1"), event("2", at="2024-01-02T00:00:00Z")]), f"{folder}/b")
+    rows = file_layout(spark, f"{folder}/b").collect()
+    assert {r.event_date for r in rows} == {D1, D2} and all(r.file_name.endswith(".parquet") for r in rows)
