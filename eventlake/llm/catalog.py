@@ -19,6 +19,7 @@ from eventlake.llm import (
     tokenfile,
     warc,
 )
+from eventlake.llm.oracle import ORACLE_SQL  # noqa: F401  for the entry point
 from eventlake.llm.shared import table
 
 
@@ -81,5 +82,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_pages": op10_pages,
 }
-
-ORACLE_SQL: dict[str, str] = {}
