@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import stored, text_or_empty
+from eventlake.llm.shared import map_batches, stored, text_or_empty
 
 
 @dataclass(frozen=True)
@@ -246,7 +246,7 @@ def leaks(
     for block in blocks(items, budget, block_bytes):
         shared = spark.sparkContext.broadcast(block)
         name = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
-        found = found.union(stored(rows.mapInArrow(_search(name, shared, budget), schema), "leaks"))
+        found = found.union(stored(rows.transform(map_batches, _search(name, shared, budget), schema), "leaks"))
         shared.unpersist()
     return found
 
@@ -263,7 +263,7 @@ def decontaminate(
     for block in blocks(items, budget, block_bytes):
         shared = spark.sparkContext.broadcast(block)
         name = f"{spark.sparkContext.applicationId}-{shared._jbroadcast.id()}"
-        docs = docs.mapInArrow(_keep_clean(name, shared, budget), docs.schema)
+        docs = docs.transform(map_batches, _keep_clean(name, shared, budget), docs.schema)
     return docs
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.shared import stored, text_or_empty, word_blocks
+from eventlake.llm.shared import map_batches, stored, text_or_empty, word_blocks
 
 SYMBOLS = b"#*$%&|<>"
 
@@ -141,8 +141,8 @@ def measured(docs: DataFrame, window: int = 5) -> DataFrame:
         text_or_empty().cast("binary").alias("text"),
     )
     counts = ", ".join(f"{c} long" for c in COUNTS)
-    return rows.mapInArrow(
-        _measure(window),
+    return rows.transform(
+        map_batches, _measure(window),
         f"doc_id long, source string, same long, {counts}, sig long, line array<long>, line_words array<long>",
     )
 
@@ -247,7 +247,7 @@ def clean(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     kept = marked.join(
         verdict, marked.own_.eqNullSafe(verdict.id_) & (marked.same_ == verdict.verdict_)
     ).select("row_.*", "gone_")
-    done = kept.mapInArrow(_rewrite, T.StructType(kept.schema.fields[:-1])).select(*docs.columns)
+    done = kept.transform(map_batches, _rewrite, T.StructType(kept.schema.fields[:-1])).select(*docs.columns)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
     return done

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import text_or_empty
+from eventlake.llm.shared import map_batches, text_or_empty
 
 END = 1
 _WIDTH = 4
@@ -230,7 +230,7 @@ def packed(
         F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().cast("binary").alias("text")
     )
     schema = ", ".join([f"`{f}` long" for f in FIELDS] + (["ids binary"] if ids else []))
-    return rows.mapInArrow(_pack_task(tokenizer, room, group, cost, ids), schema)
+    return rows.transform(map_batches, _pack_task(tokenizer, room, group, cost, ids), schema)
 
 
 def public_tokenizer(name: str = "word_bpe_49k.json") -> str:

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
+from pathlib import Path
 
 from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import eventlake
 from eventlake.sources.scratch import scratch_path
 
 #: Bytes of white space that end a word: space and tab to carriage return. This is
@@ -26,6 +29,25 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def share_code(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it.
+
+    It matters in local mode and where all machines see the same folders; elsewhere the
+    package is shipped with the application, as with ``--py-files``.
+    """
+    root = str(Path(eventlake.__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([root, *paths])
+
+
+def map_batches(df: DataFrame, task: Callable, schema) -> DataFrame:
+    """``mapInArrow`` with code of this package; for ``DataFrame.transform``."""
+    share_code(df.sparkSession)
+    return df.mapInArrow(task, schema)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

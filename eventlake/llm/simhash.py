@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from eventlake.llm.shared import stored, text_or_empty, word_blocks
+from eventlake.llm.shared import map_batches, share_code, stored, text_or_empty, word_blocks
 
 BITS = 64
 _FULL = np.uint64(0xFFFF_FFFF_FFFF_FFFF)
@@ -62,6 +62,7 @@ def _fingerprints(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 def with_fingerprints(docs: DataFrame, column: str = "fingerprint_") -> DataFrame:
     """Adds the fingerprint of ``text`` as a signed long; a null text counts as empty."""
+    share_code(docs.sparkSession)
     return docs.withColumn(column, _fingerprints(text_or_empty().cast("binary")))
 
 
@@ -223,7 +224,7 @@ def links(nodes: DataFrame, radius: int = 3, chunk: int = 2048) -> DataFrame:
         F.col("t").cast("long").alias("t"), "key", F.explode(pairs).alias("pair"), "fp"
     )
     groups = dealt.repartition("t", "key", "pair").sortWithinPartitions("t", "key", "pair", "fp")
-    return groups.mapInArrow(_compare(radius, 2 * chunk), "a long, b long").distinct()
+    return groups.transform(map_batches, _compare(radius, 2 * chunk), "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import file_system, stored, text_or_empty
+from eventlake.llm.shared import file_system, map_batches, stored, text_or_empty
 from eventlake.sources.scratch import scratch_path
 
 #: End of document in the 50k byte-level vocabulary, an identifier no text encodes to.
@@ -93,7 +93,7 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer: str, file_bytes: int =
     store.create_dir(root, recursive=True)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
     task = _write_task(folder, tokenizer, file_bytes)
-    return stored(rows.mapInArrow(task, "file string, ordinal long, doc_id long, bytes long"), "tokens")
+    return stored(rows.transform(map_batches, task, "file string, ordinal long, doc_id long, bytes long"), "tokens")
 
 
 def _scan_task(end: int):
@@ -124,7 +124,7 @@ def scan_files(files: DataFrame, end: int = END, block: int = 1 << 22) -> DataFr
     blocks = files.filter("bytes > 0").select("file", F.explode(starts).alias("start"), size.alias("size"))
     blocks = blocks.select("file", "start", F.least(F.col("start") + block, F.col("size")).alias("stop"))
     found = stored(
-        blocks.repartition("file", "start").mapInArrow(_scan_task(end), "file string, start long, ends array<long>"),
+        blocks.repartition("file", "start").transform(map_batches, _scan_task(end), "file string, start long, ends array<long>"),
         "ends",
     )
     before = Window.partitionBy("file").orderBy("start").rowsBetween(Window.unboundedPreceding, -1)

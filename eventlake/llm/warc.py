@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import file_system, stored
+from eventlake.llm.shared import file_system, map_batches, stored
 from eventlake.sources.scratch import scratch_path
 
 #: Fixed values of the seekable format: magic numbers of skippable frames and the footer.
@@ -233,7 +233,7 @@ def write_bundles(
     store, root = file_system(folder)
     store.create_dir(root, recursive=True)
     task = _write_task(folder, date, frame_bytes, bundle_bytes)
-    listed = with_record_types(pages, least).mapInArrow(task, "bundle string, records long, frames long")
+    listed = with_record_types(pages, least).transform(map_batches, task, "bundle string, records long, frames long")
     return stored(listed, "bundles")
 
 
@@ -270,8 +270,8 @@ def read_bundles(bundles: DataFrame, frames: int = 64) -> DataFrame:
     ranges = bundles.filter("frames > 0").select("bundle", F.explode(starts).alias("first"), "frames").select(
         "bundle", "first", F.least(F.col("first") + frames, F.col("frames")).alias("last")
     )
-    return ranges.repartition("bundle", "first").mapInArrow(
-        _read_task,
+    return ranges.repartition("bundle", "first").transform(
+        map_batches, _read_task,
         "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long,"
         " url string, record_id string, payload binary",
     )
