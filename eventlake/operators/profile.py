@@ -120,7 +120,7 @@ def _with_share(counts: DataFrame) -> DataFrame:
 def top_level_fields(lines: DataFrame) -> DataFrame:
     """Top-level fields of raw text lines and how many lines have each.
 
-    The fixed schema skips fields it does not know; this report shows them.
+    The fixed schema keeps fields it does not know apart; this report shows all.
     """
     return count_by(lines.select(F.explode(P.keys("value")).alias("field")), "field")
 
@@ -157,6 +157,32 @@ def payload_field_kinds(raw: DataFrame) -> DataFrame:
     )
 
 
+def record_union_schema(lines: DataFrame) -> DataFrame:
+    """Every field of whole lines and of their accounts and repositories, with its type
+    merged over all records; nested names are dotted."""
+    parsed = F.try_parse_json("value")
+    parts = F.array(
+        F.struct(F.lit("").alias("prefix"), parsed.alias("v")),
+        *(
+            F.struct(F.lit(f"{n}.").alias("prefix"), F.try_variant_get(parsed, f"$.{n}", "variant").alias("v"))
+            for n in ("actor", "repo", "org")
+        ),
+    )
+    rows = lines.select(F.inline(parts)).filter(F.col("v").isNotNull())
+    fields = rows.lateralJoin(rows.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    return fields.groupBy(F.concat("prefix", "key").alias("field")).agg(
+        F.schema_of_variant_agg("value").alias("field_type"),
+        F.count(F.lit(1)).alias("event_count"),
+    )
+
+
+def record_union_kinds(lines: DataFrame) -> DataFrame:
+    """The same with the outermost kind only."""
+    return record_union_schema(lines).select(
+        "field", F.regexp_extract("field_type", "^[A-Z]+", 0).alias("kind"), "event_count"
+    )
+
+
 def payload_field_presence(
     raw: DataFrame, type_name: str = PUSH, names: Sequence[str] = PUSH_CANDIDATES
 ) -> DataFrame:

@@ -16,7 +16,7 @@ from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.plans import jobs
-from eventlake.schema import BRONZE_SCHEMA, PUSH, SILVER_SCHEMA, WATCH
+from eventlake.schema import BRONZE_SCHEMA, PUSH, REST, SILVER_SCHEMA, WATCH
 from eventlake.sources import layers, sample
 from eventlake.sources.raw import missing_files as hours_without_file
 from eventlake.sources.raw import read_lines, read_raw
@@ -197,6 +197,18 @@ def top_level_fields(spark: SparkSession, sf: str) -> DataFrame:
     return P.top_level_fields(read_lines(spark, [f"{path}/*.json.gz"]))
 
 
+def unknown_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """What the schema does not know of raw files, kept by Bronze and read back."""
+    path = scratch_path(spark, "raw")
+    sample.write_raw_lines(sample.add_unknown_fields(sample.raw_lines(raw(spark, sf))), path)
+    kept = stored(B.bronze(read_raw(spark, [f"{path}/*.json.gz"])), "bronze")
+    return kept.filter(F.col(REST).isNotNull()).select(F.col("id").alias("event_id"), REST)
+
+
+def record_union_kinds(spark: SparkSession, sf: str) -> DataFrame:
+    return P.record_union_kinds(sample.raw_lines(raw(spark, sf)))
+
+
 def corrupt_count(spark: SparkSession, sf: str) -> DataFrame:
     return B.corrupt_count(raw_files(spark, sf, broken=True))
 
@@ -246,6 +258,7 @@ QUERIES: dict[str, Query] = {
     "missing_files": missing_files,
     "events_on_date": events_on_date,
     "corrupt_count": corrupt_count,
+    "unknown_fields": unknown_fields,
     "top_level_fields": top_level_fields,
     "missing_hours": lambda s, d: Q.missing_hours(S.flatten(bronze(s, d))),
     "missing_hours_by_actor": lambda s, d: Q.missing_hours_by(S.flatten(bronze(s, d)), "actor_login"),
@@ -307,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "cardinalities": lambda s, d: P.cardinalities(core(s, d)),
     "payload_keys_by_type": lambda s, d: P.payload_keys_by_type(raw(s, d)),
     "payload_union_schema": lambda s, d: P.payload_union_schema(raw(s, d)),
+    "record_union_kinds": record_union_kinds,
     "payload_field_kinds": lambda s, d: P.payload_field_kinds(raw(s, d)),
     "payload_field_presence": lambda s, d: P.payload_field_presence(raw(s, d)),
     "missing_payload_fields": lambda s, d: Q.missing_payload_fields(raw(s, d)),

@@ -132,6 +132,26 @@ _BODIES: dict[str, str] = {
           SELECT unnest(['id', 'type', 'actor', 'repo', 'public', 'created_at', 'payload'])
             AS field FROM raw
           UNION ALL SELECT 'org' FROM raw WHERE org_login IS NOT NULL) GROUP BY 1""",
+    "unknown_fields": """SELECT event_id,
+        '{"event":{"novel":' || event_id || '},"actor":{"plan":"p"}}' AS rest
+        FROM raw WHERE n % 50 = 0""",
+    "record_union_kinds": """
+        SELECT field, kind, count(*) AS event_count FROM (
+          SELECT unnest([
+            {'field': 'id', 'kind': 'STRING', 'org': false}, {'field': 'type', 'kind': 'STRING', 'org': false},
+            {'field': 'actor', 'kind': 'OBJECT', 'org': false}, {'field': 'repo', 'kind': 'OBJECT', 'org': false},
+            {'field': 'org', 'kind': 'OBJECT', 'org': true}, {'field': 'public', 'kind': 'BOOLEAN', 'org': false},
+            {'field': 'created_at', 'kind': 'STRING', 'org': false}, {'field': 'payload', 'kind': 'OBJECT', 'org': false},
+            {'field': 'actor.id', 'kind': 'BIGINT', 'org': false}, {'field': 'actor.login', 'kind': 'STRING', 'org': false},
+            {'field': 'actor.display_login', 'kind': 'STRING', 'org': false}, {'field': 'actor.avatar_url', 'kind': 'STRING', 'org': false},
+            {'field': 'actor.gravatar_id', 'kind': 'STRING', 'org': false}, {'field': 'actor.url', 'kind': 'STRING', 'org': false},
+            {'field': 'repo.id', 'kind': 'BIGINT', 'org': false}, {'field': 'repo.name', 'kind': 'STRING', 'org': false},
+            {'field': 'repo.url', 'kind': 'STRING', 'org': false},
+            {'field': 'org.id', 'kind': 'BIGINT', 'org': true}, {'field': 'org.login', 'kind': 'STRING', 'org': true},
+            {'field': 'org.display_login', 'kind': 'STRING', 'org': true}, {'field': 'org.avatar_url', 'kind': 'STRING', 'org': true},
+            {'field': 'org.gravatar_id', 'kind': 'STRING', 'org': true}, {'field': 'org.url', 'kind': 'STRING', 'org': true}],
+            recursive := true), org_login FROM raw)
+        WHERE NOT org OR org_login IS NOT NULL GROUP BY 1, 2""",
     "corrupt_count": """SELECT count(*) AS lines,
         count(*) FILTER (n % 100 = 7) AS broken_lines,
         count(*) FILTER (n % 100 <> 7) AS events FROM raw""",

@@ -17,7 +17,16 @@ RAW_SCHEMA = (
     f"public boolean, created_at string, payload string, {CORRUPT} string"
 )
 
-BRONZE_SCHEMA = RAW_SCHEMA.removesuffix(f", {CORRUPT} string") + ", event_date date"
+# What a line holds beside these fields is kept as JSON in this column.
+REST = "rest"
+KNOWN_FIELDS = {
+    "event": ("id", "type", "actor", "repo", "org", "public", "created_at", "payload"),
+    "actor": ("id", "login", "display_login", "avatar_url", "gravatar_id", "url"),
+    "repo": ("id", "name", "url"),
+    "org": ("id", "login", "display_login", "avatar_url", "gravatar_id", "url"),
+}
+
+BRONZE_SCHEMA = RAW_SCHEMA.removesuffix(f", {CORRUPT} string") + f", {REST} string, event_date date"
 
 LABELS_SCHEMA = "labels array<struct<name:string,color:string>>"
 

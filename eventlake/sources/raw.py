@@ -5,29 +5,54 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.quality import hour_manifest
-from eventlake.schema import CORRUPT, RAW_SCHEMA
+from eventlake.schema import CORRUPT, KNOWN_FIELDS, RAW_SCHEMA, REST
 
 
 def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """All files as one table, by the fixed schema, broken lines in one column.
 
-    No inference pass runs, and the schema does not depend on what a day contains.
-    gzip cannot be split: one task reads at least one whole file.
+    No inference pass runs, and the schema does not depend on what a day contains; what
+    it does not know goes to ``rest``. gzip cannot be split: one task reads at least one
+    whole file.
     """
     if isinstance(paths, str):
         paths = [paths]
     if not paths:
         raise FileNotFoundError("no raw files given")
-    return (
-        spark.read.schema(RAW_SCHEMA)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(sorted(paths))
+    return parse_lines(read_lines(spark, sorted(paths)))
+
+
+def parse_lines(lines: DataFrame, *keep: str) -> DataFrame:
+    """Raw rows from text lines in ``value``; blank lines are none."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    rows = lines.filter(F.trim("value") != "").select(
+        *keep, F.from_json("value", RAW_SCHEMA, options).alias("row"), unknown_fields("value").alias(REST)
     )
+    names = [f.name for f in rows.schema["row"].dataType.fields if f.name != CORRUPT]
+    return rows.select(*keep, *(f"row.{n}" for n in names), REST, f"row.{CORRUPT}")
+
+
+def unknown_fields(line: str) -> Column:
+    """JSON of all fields of a line that the schema does not name; NULL if there are none.
+
+    Looks at the event and the objects whose fields the schema lists; the payload is kept
+    whole anyway. Values keep their JSON types.
+    """
+    parsed = F.try_parse_json(F.col(line))
+
+    def strange(part: str) -> Column:
+        path = "$" if part == "event" else f"$.{part}"
+        fields = F.try_variant_get(parsed, path, "map<string,variant>")
+        unknown = F.map_filter(fields, lambda k, _: ~k.isin(*KNOWN_FIELDS[part]))
+        return F.when(F.size(unknown) > 0, unknown)
+
+    parts = {part: strange(part) for part in KNOWN_FIELDS}
+    found = F.to_json(F.struct(*(c.alias(part) for part, c in parts.items())))
+    return F.when(found != "{}", found)
 
 
 def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

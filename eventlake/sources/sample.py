@@ -138,3 +138,10 @@ def break_some_lines(lines: DataFrame) -> DataFrame:
     return lines.selectExpr(
         "if(bigint(id) % 100 = 7, substr(value, 1, length(value) - 5), value) AS value", "id"
     )
+
+
+def add_unknown_fields(lines: DataFrame) -> DataFrame:
+    """Gives every fiftieth line a field the schema does not know, and one in its actor."""
+    more = F.regexp_replace(F.substring("value", 2, 2**30), '"actor":\\{', '"actor":{"plan":"p",')
+    more = F.concat(F.lit('{"novel":'), F.col("id"), F.lit(","), more)
+    return lines.withColumn("value", F.when(F.col("id").cast("bigint") % 50 == 0, more).otherwise(F.col("value")))

@@ -10,50 +10,66 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from eventlake.operators.bronze import bronze, broken_lines
-from eventlake.schema import CORRUPT, RAW_SCHEMA
+from eventlake.operators.bronze import bronze, broken_lines, is_broken
+from eventlake.schema import CORRUPT
+from eventlake.sources.raw import parse_lines
+
+BATCH = "batch"
 
 
 def new_raw_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000) -> DataFrame:
     """Raw files of a folder as a stream, by the fixed schema."""
-    return (
-        spark.readStream.schema(RAW_SCHEMA)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .option("pathGlobFilter", "*.json.gz")
+    lines = (
+        spark.readStream.option("pathGlobFilter", "*.json.gz")
         .option("maxFilesPerTrigger", files_per_batch)
-        .json(folder)
+        .text(folder)
     )
+    return parse_lines(lines.withColumn("source_file", F.col("_metadata.file_name")), "source_file")
+
+
+def store_batch(target: str):
+    """Writes one batch of parsed lines: events to Bronze, broken lines aside.
+
+    Both tables have a directory per batch number and the batch replaces its own, so a
+    batch that is run again after a failure leaves nothing twice.
+    """
+
+    def run(rows: DataFrame, number: int) -> None:
+        marked = rows.withColumn("broken", is_broken(rows)).persist()
+        try:
+            good = bronze(marked.filter(~F.col("broken")).drop("broken", CORRUPT, "source_file"))
+            aside = broken_lines(marked.filter("broken").drop("broken"))
+            for part, name in ((good, "bronze"), (aside, "quarantine")):
+                (
+                    part.withColumn(BATCH, F.lit(number))
+                    .sortWithinPartitions(*(c for c in ("event_date", "type") if c in part.columns))
+                    .write.mode("overwrite")
+                    .option("partitionOverwriteMode", "dynamic")
+                    .partitionBy(*(["event_date"] if name == "bronze" else []), BATCH)
+                    .parquet(f"{target}/{name}")
+                )
+        finally:
+            marked.unpersist()
+
+    return run
 
 
 def ingest_new_files(
     spark: SparkSession, folder: str, target: str, checkpoint: str
-) -> list[StreamingQuery]:
+) -> StreamingQuery:
     """Reads everything new once: events to ``target/bronze``, broken lines aside.
 
-    Both sinks commit each batch as a whole, files and progress together, so no line
-    is stored twice or lost. The tables belong to this stream alone; the batch jobs
-    read them like any other layer but must not overwrite them. Duplicates between
-    files stay, as in batch Bronze, and are removed by Silver.
+    One query, so each file is listed and parsed once; the parsed batch is kept while its
+    two parts are written. The tables belong to this stream alone; the batch jobs read
+    them like any other layer but must not overwrite them. Duplicates between files
+    stay, as in batch Bronze, and are removed by Silver.
     """
-    raw = new_raw_lines(spark, folder)
-    events = (
-        bronze(raw)
-        .writeStream.format("parquet")
-        .partitionBy("event_date")
-        .option("path", f"{target}/bronze")
-        .option("checkpointLocation", f"{checkpoint}/bronze")
-        .trigger(availableNow=True)
-        .start()
-    )
-    aside = (
-        broken_lines(raw.withColumn("source_file", F.col("_metadata.file_name")))
-        .writeStream.format("parquet")
-        .option("path", f"{target}/quarantine")
-        .option("checkpointLocation", f"{checkpoint}/quarantine")
+    query = (
+        new_raw_lines(spark, folder)
+        .writeStream.foreachBatch(store_batch(target))
+        .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
-    started = [events, aside]
-    for query in started:
-        query.awaitTermination()
-    return started
+    query.awaitTermination()
+    return query

@@ -11,7 +11,7 @@ from eventlake.operators.quality import CheckFailed
 from eventlake.plans import jobs
 from eventlake.sources.layers import read_layer
 from eventlake.sources.raw import raw_glob, read_raw
-from eventlake.streaming.ingest import ingest_new_files
+from eventlake.streaming.ingest import ingest_new_files, store_batch
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
@@ -205,3 +205,12 @@ def test_new_files_are_added_once(spark, raw, folder):
     stored = read_layer(spark, f"{target}/bronze", D2, D2)
     assert sorted(r.id for r in stored.collect()) == ["late", "t"]
     assert jobs.run_silver(spark, target)["distinct_events"] == 12
+
+
+def test_a_batch_that_is_stored_again_leaves_nothing_twice(spark, raw, folder):
+    rows = read_raw(spark, f"{raw}/*.json.gz").withColumn("source_file", F.lit("f"))
+    for _ in range(2):
+        store_batch(f"{folder}/t")(rows, 7)
+    store_batch(f"{folder}/t")(rows.limit(0), 8)
+    assert spark.read.parquet(f"{folder}/t/bronze").count() == 12
+    assert spark.read.parquet(f"{folder}/t/quarantine").count() == 1

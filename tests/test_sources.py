@@ -194,3 +194,15 @@ def test_files_of_a_layer(spark, folder):
     write_by_date(bronze_rows(spark, [event("1"), event("2", at="2024-01-02T00:00:00Z")]), f"{folder}/b")
     rows = file_layout(spark, f"{folder}/b").collect()
     assert {r.event_date for r in rows} == {D1, D2} and all(r.file_name.endswith(".parquet") for r in rows)
+
+
+def test_bronze_keeps_fields_it_does_not_know(spark, folder):
+    odd = event("2", novel={"a": [1, "1", None]}, more=None)
+    odd["actor"]["plan"] = 1.5
+    odd["repo"]["x"] = "y"
+    path = write_hour(folder, "2024-01-01-5.json.gz", [event("1"), odd, "{broken", "  ", event("3", org="o")])
+    rows = {r.id: r.rest for r in B.bronze(read_raw(spark, path)).collect()}
+    assert rows["1"] is None and rows["3"] is None and len(rows) == 3
+    assert json.loads(rows["2"]) == {
+        "event": {"novel": {"a": [1, "1", None]}, "more": None}, "actor": {"plan": 1.5}, "repo": {"x": "y"},
+    }
