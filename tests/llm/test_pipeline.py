@@ -61,13 +61,13 @@ def test_decontamination(stages):
     assert gone
     for r in gone:
         text = decontaminate.normal(r.text)
-        assert any(nearest(i, text) <= decontaminate.Budget().edits(len(i)) for i in items if i[:12] in text or i[-12:] in text or True)
+        assert any(nearest(i, text) <= decontaminate.Budget().edits(len(i)) for i in items)
     assert not any(i in decontaminate.normal(r.text) for r in after for i in items)
 
 
 def test_secrets(stages):
     before, after, _ = stages[3]
-    assert [r.doc_id for r in before] == [r.doc_id for r in after] or {r.doc_id for r in before} == {r.doc_id for r in after}
+    assert {r.doc_id for r in before} == {r.doc_id for r in after} and len(before) == len(after)
     text = {r.doc_id: r.text for r in after}
     for r in before:
         new = text[r.doc_id]
