@@ -2,9 +2,8 @@
 
 Normalised lines are hashed, and for each host (``source``) and line the distinct
 documents are counted. Lines over the limit are removed; a document that loses too
-much is rejected. Copies must not make each other's lines frequent, so documents are
-told apart by a MinHash of their word shingles, which copies and most near copies
-share; a line counts as frequent only if it occurs in enough documents that differ.
+much is rejected. Copies must not make each other's lines frequent, so the near copies of
+a text (five-word Jaccard of 0.8 or more, see ``nearcopies``) count as one document.
 """
 
 from __future__ import annotations
@@ -20,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from eventlake.llm import nearcopies
 from eventlake.llm.shared import map_batches, stored, text_or_empty, word_blocks
 
 SYMBOLS = b"#*$%&|<>"
@@ -28,15 +28,13 @@ SYMBOLS = b"#*$%&|<>"
 @dataclass(frozen=True)
 class Limits:
     """What fails a document. ``max_documents``: a line in more distinct documents of
-    its host than this is removed, if also ``min_distinct`` of the rows with the line
-    are distinct (else it belongs to a group of copies). ``min_left``: the share of
-    its words that a document must keep."""
+    its host than this is removed. ``min_left``: the share of its words that a document
+    must keep."""
 
     min_words: int = 10
     window: int = 5
     max_repeat_percent: int = 20
     max_documents: int = 20
-    min_distinct: float = 0.5
     min_left: float = 0.3
 
 
@@ -105,23 +103,22 @@ def _row(data: bytes, window: int) -> tuple:
         sum(data.count(SYMBOLS[i : i + 1]) for i in range(len(SYMBOLS))),
         len(lines) - len(set(lines)),
         n_repeat,
-        signature(data),
         list(words),
         list(words.values()),
     )
 
 
 def _measure(window: int):
-    types = [pa.int64()] * 6 + [pa.list_(pa.int64())] * 2
+    types = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                got = [_row(t.as_buffer().to_pybytes(), window) for t in part.column(3)]
+                got = [_row(t.as_buffer().to_pybytes(), window) for t in part.column(4)]
                 columns = zip(*got, strict=True)
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
-                    ["doc_id", "source", "same", *COUNTS, "sig", "line", "line_words"],
+                    [*part.columns[:4], *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
+                    ["doc_id", "source", "same", "node", *COUNTS, "line", "line_words"],
                 )
 
     return run
@@ -131,19 +128,27 @@ def measured(docs: DataFrame, window: int = 5) -> DataFrame:
     """The figures of each text and its lines by hash, without the text.
 
     ``same`` is a hash of source and text: with doc_id it names a row, and rows for
-    which all three are equal get equal decisions.
+    which all three are equal get equal decisions. ``sig`` is the same for near copies.
     """
     source = F.col("source").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         source.alias("source"),
         _same().alias("same"),
+        nearcopies.node().alias("node"),
         text_or_empty().cast("binary").alias("text"),
     )
     counts = ", ".join(f"{c} long" for c in COUNTS)
-    return rows.transform(
+    figures = rows.transform(
         map_batches, _measure(window),
-        f"doc_id long, source string, same long, {counts}, sig long, line array<long>, line_words array<long>",
+        f"doc_id long, source string, same long, node long, {counts}, line array<long>, line_words array<long>",
+    )
+    # Only texts that have near copies are in this list.
+    copies = nearcopies.classes(docs.select("doc_id", "text")).filter("root != node").select(
+        F.col("node").alias("node_"), "root"
+    )
+    return figures.join(copies, figures.node == copies.node_, "left").select(
+        "doc_id", "source", "same", *COUNTS, F.coalesce("root", "node").alias("sig"), "line", "line_words"
     )
 
 
@@ -153,18 +158,12 @@ def _same() -> Column:
 
 def frequent_lines(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(source, line) of the lines over the limit, with their documents counted."""
-    by_document = (
-        rows.select("source", "sig", F.explode("line").alias("line"))
-        .groupBy("source", "line", "sig")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
     return (
-        by_document.groupBy("source", "line")
-        .agg(F.count(F.lit(1)).alias("documents"), F.sum("n").alias("rows"))
-        .filter(
-            (F.col("documents") > limits.max_documents)
-            & (F.col("documents") >= limits.min_distinct * F.col("rows"))
-        )
+        rows.select("source", "sig", F.explode("line").alias("line"))
+        .distinct()
+        .groupBy("source", "line")
+        .agg(F.count(F.lit(1)).alias("documents"))
+        .filter(F.col("documents") > limits.max_documents)
     )
 
 

@@ -103,3 +103,13 @@ def test_hosts_are_apart(spark, documents):
     )
     out = lines.quality(rows, lines.Limits(max_documents=20)).collect()
     assert {r.doc_id for r in out if r.n_removed_lines} == set(range(0, 60, 2))
+
+
+def test_documents_of_a_template_differ_and_copies_do_not(documents):
+    template = "\n".join(prose(f"t{k}", 16) for k in "abcde")
+    rows = [(i, f"{template}\n{prose(f'own{i}', 20)}") for i in range(200)]  # 80 % template
+    copy = f"{prose('ta', 16)}\n{prose('page', 80)}\n{prose('only', 20)}"
+    rows += [(1000 + i, copy) for i in range(1500)]
+    out = {r.doc_id: r for r in lines.quality(documents(rows)).collect()}
+    assert all(out[i].n_removed_lines == 5 and not out[i].kept for i in range(200))
+    assert all(out[1000 + i].n_removed_lines == 1 and out[1000 + i].kept for i in range(1500))
