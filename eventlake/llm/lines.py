@@ -3,7 +3,8 @@
 Normalised lines are hashed, and for each host (``source``) and line the distinct
 documents are counted. Lines over the limit are removed; a document that loses too
 much is rejected. Copies must not make each other's lines frequent, so the near copies of
-a text (five-word Jaccard of 0.8 or more, see ``nearcopies``) count as one document.
+a text (five-word Jaccard of 0.8 or more, see ``nearcopies``) count as one document. The limit
+grows with the host, so that a verdict does not depend on how much of a host is at hand.
 """
 
 from __future__ import annotations
@@ -27,14 +28,17 @@ SYMBOLS = b"#*$%&|<>"
 
 @dataclass(frozen=True)
 class Limits:
-    """What fails a document. ``max_documents``: a line in more distinct documents of
-    its host than this is removed. ``min_left``: the share of its words that a document
+    """What fails a document. A line is removed if it is in more than ``max_documents``
+    and more than ``max_share`` of the distinct documents of its host, and has
+    ``min_line_words`` words or more. ``min_left``: the share of its words that a document
     must keep."""
 
     min_words: int = 10
     window: int = 5
     max_repeat_percent: int = 20
     max_documents: int = 20
+    max_share: float = 0.04
+    min_line_words: int = 3
     min_left: float = 0.3
 
 
@@ -90,13 +94,15 @@ def signature(data: bytes, shingle: int = 5) -> int:
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def _row(data: bytes, window: int) -> tuple:
+def _row(data: bytes, window: int, min_line_words: int) -> tuple:
     n_words, n_repeat = repeated_words(data, window)
     lines = [x for x in data.split(b"\n") if x.strip()]
     words: dict[int, int] = {}
     for x in lines:
-        h = line_hash(x)
-        words[h] = words.get(h, 0) + len(x.split())
+        n = len(x.split())
+        if n >= min_line_words:
+            h = line_hash(x)
+            words[h] = words.get(h, 0) + n
     return (
         n_words,
         sum(len(b"".join(block).decode()) for block in word_blocks(data)),
@@ -108,13 +114,13 @@ def _row(data: bytes, window: int) -> tuple:
     )
 
 
-def _measure(window: int):
+def _measure(window: int, min_line_words: int):
     types = [pa.int64()] * 5 + [pa.list_(pa.int64())] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                got = [_row(t.as_buffer().to_pybytes(), window) for t in part.column(4)]
+                got = [_row(t.as_buffer().to_pybytes(), window, min_line_words) for t in part.column(4)]
                 columns = zip(*got, strict=True)
                 yield pa.RecordBatch.from_arrays(
                     [*part.columns[:4], *(pa.array(c, t) for c, t in zip(columns, types, strict=True))],
@@ -124,8 +130,9 @@ def _measure(window: int):
     return run
 
 
-def measured(docs: DataFrame, window: int = 5) -> DataFrame:
-    """The figures of each text and its lines by hash, without the text.
+def measured(docs: DataFrame, window: int = 5, min_line_words: int = 3) -> DataFrame:
+    """The figures of each text and its lines by hash, without the text; shorter lines than
+    ``min_line_words`` are not listed.
 
     ``same`` is a hash of source and text: with doc_id it names a row, and rows for
     which all three are equal get equal decisions. ``sig`` is the same for near copies.
@@ -140,7 +147,7 @@ def measured(docs: DataFrame, window: int = 5) -> DataFrame:
     )
     counts = ", ".join(f"{c} long" for c in COUNTS)
     figures = rows.transform(
-        map_batches, _measure(window),
+        map_batches, _measure(window, min_line_words),
         f"doc_id long, source string, same long, node long, {counts}, line array<long>, line_words array<long>",
     )
     # Only texts that have near copies are in this list.
@@ -158,13 +165,19 @@ def _same() -> Column:
 
 def frequent_lines(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """(source, line) of the lines over the limit, with their documents counted."""
-    return (
+    hosts = rows.groupBy("source").agg(F.count_distinct("sig").alias("all_")).select(
+        F.col("source").alias("host_"), "all_"
+    )
+    by_line = (
         rows.select("source", "sig", F.explode("line").alias("line"))
         .distinct()
         .groupBy("source", "line")
         .agg(F.count(F.lit(1)).alias("documents"))
         .filter(F.col("documents") > limits.max_documents)
     )
+    return by_line.join(hosts, F.col("source").eqNullSafe(F.col("host_"))).filter(
+        F.col("documents") > limits.max_share * F.col("all_")
+    ).select("source", "line", "documents")
 
 
 def judged(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
@@ -204,7 +217,7 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     Each row is a document; rows equal in doc_id, source and text are judged alike, and
     so are tied lines. An empty table gives no rows. Further columns are not looked at.
     """
-    rows = stored(measured(docs, limits.window), "quality")
+    rows = stored(measured(docs, limits.window, limits.min_line_words), "quality")
     return judged(rows, limits).select(
         "doc_id", *COUNTS, "base_failed", "kept", "n_left", F.size("removed").cast("long").alias("n_removed_lines")
     )
@@ -232,7 +245,7 @@ def clean(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
 
     ``n_chars``, where there is such a column, follows the text.
     """
-    rows = stored(measured(docs, limits.window), "quality")
+    rows = stored(measured(docs, limits.window, limits.min_line_words), "quality")
     verdict = (
         judged(rows, limits)
         .filter("kept")

@@ -113,3 +113,20 @@ def test_documents_of_a_template_differ_and_copies_do_not(documents):
     out = {r.doc_id: r for r in lines.quality(documents(rows)).collect()}
     assert all(out[i].n_removed_lines == 5 and not out[i].kept for i in range(200))
     assert all(out[1000 + i].n_removed_lines == 1 and out[1000 + i].kept for i in range(1500))
+
+
+def test_verdicts_do_not_depend_on_the_size_of_the_host(documents):
+    def verdicts(n):
+        rows = []
+        for i in range(n):
+            text = [prose(f"own{i}", 14)]
+            text += ["the banner of this site"] * (i % 10 == 0)  # 10 % of the host
+            text += ["they all laughed at that"] * (i % 40 == 1)  # 2.5 %
+            text += ["Fin.", "Fin.", "Fin."] * (i % 2)
+            rows.append((i, "\n".join(text)))
+        out = lines.quality(documents(rows)).filter("doc_id < 500").collect()
+        return {(r.doc_id, r.n_removed_lines, r.n_left, r.kept) for r in out}
+
+    small = verdicts(500)
+    assert small == verdicts(5000)
+    assert {i for i, removed, *_ in small if removed} == set(range(0, 500, 10))
