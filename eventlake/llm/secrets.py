@@ -11,7 +11,9 @@ with the next character. A token is reported as ``random`` if
 - it is too even for a word: words draw letters unevenly, so their chi-squared statistic
   follows a noncentral law whose centre grows with their length. The p-value of a
   statistic this low has to pass a Benjamini-Hochberg step over all tokens of the
-  same length band in the whole corpus. Bands keep the many short words from
+  same length band in the whole corpus. In hex and base32 that statistic hardly tells
+  words from random tokens; there the changes between letters and digits count, of which a
+  name or number has about one in twenty characters, and both have bands of their own. Bands keep the many short words from
   lending their weight to, or taking it from, the few long tokens.
 """
 
@@ -43,12 +45,14 @@ class Battery:
     ``rate``: share of false discoveries. ``reject``: level at which a token is not
     random. ``repeat``: chance that two letters of natural text are equal (English
     0.0667, French 0.0746, German 0.0762, Spanish 0.0775; the lowest is the strictest).
+    ``changes``: changes between letters and digits for each character of a name or number.
     """
 
     least: int = 20
     rate: float = 0.01
     reject: float = 0.001
     repeat: float = 0.0667
+    changes: float = 0.05
 
 
 def _spans(text: Column, pattern: str, kind: int) -> Column:
@@ -80,9 +84,9 @@ def _spans(text: Column, pattern: str, kind: int) -> Column:
 
 #: Encodings by rising size, the characters that show them, their alphabets.
 ENCODINGS = (
-    ("decimal", r"^[0-9]+$", "0123456789"),
-    ("hex", r"^[0-9a-f]+$", "0123456789abcdef"),
-    ("hex_upper", r"^[0-9A-F]+$", "0123456789ABCDEF"),
+    ("decimal", r"^[0-9]+=*$", "0123456789"),
+    ("hex", r"^[0-9a-f]+=*$", "0123456789abcdef"),
+    ("hex_upper", r"^[0-9A-F]+=*$", "0123456789ABCDEF"),
     ("base32", r"^[A-Z2-7]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
     ("base64", r"^[A-Za-z0-9+/]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64_url", r"^[A-Za-z0-9_-]+=*$", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
@@ -107,6 +111,18 @@ def _upper_tail(z: Column) -> Column:
     return F.when(z >= 0, tail).otherwise(1 - tail)
 
 
+def _at_least(x: Column, mean: Column) -> Column:
+    """Chance of ``x`` or more from a Poisson law; the normal law for large means."""
+    zero = F.struct(F.exp(-mean).alias("term"), F.lit(0.0).alias("sum"))
+
+    def step(a, i):
+        return F.struct((a["term"] * mean / i).alias("term"), (a["sum"] + a["term"]).alias("sum"))
+
+    less = F.aggregate(F.sequence(F.lit(1), x.cast("int")), zero, step)["sum"]
+    few = F.when(x < 1, F.lit(1.0)).otherwise(F.greatest(F.lit(1e-15), 1 - less))
+    return F.when(mean > 50, _upper_tail((x - mean) / F.sqrt(mean))).otherwise(few)
+
+
 def _tests(value: Column, battery: Battery) -> Column:
     """The battery for one token: struct(n, encoding, p_random, p_word)."""
     body = F.rtrim(value, F.lit("="))
@@ -125,19 +141,23 @@ def _tests(value: Column, battery: Battery) -> Column:
         )
         k = F.char_length(b["abc"]).cast("double")
         mid = (k - 1) / 2
+        # The last digit of hex, the last letter of base32.
+        cut = F.when(k == 16, F.lit(9.0)).otherwise(F.lit(25.0))
         zero = F.struct(
             F.lit(-1.0).alias("last"), F.lit(0.0).alias("runs"), F.lit(0.0).alias("high"),
-            F.lit(0.0).alias("products"),
+            F.lit(0.0).alias("products"), F.lit(0.0).alias("changes"),
         )
 
         def step(a, v):
             v = v.cast("double")
+            changed = (a["last"] >= 0) & ((a["last"] > cut) != (v > cut))
             turned = (a["last"] < 0) | ((a["last"] > mid) != (v > mid))
             return F.struct(
                 v.alias("last"),
                 (a["runs"] + turned.cast("double")).alias("runs"),
                 (a["high"] + (v > mid).cast("double")).alias("high"),
                 (a["products"] + F.when(a["last"] < 0, F.lit(0.0)).otherwise((a["last"] - mid) * (v - mid))).alias("products"),
+                (a["changes"] + changed.cast("double")).alias("changes"),
             )
 
         return F.struct(
@@ -157,6 +177,7 @@ def _tests(value: Column, battery: Battery) -> Column:
             c["encoding"].alias("encoding"), n.alias("n"), k.alias("k"), chi.alias("chi"),
             F.when(var_runs > 0, (c["walk"]["runs"] - mean_runs) / F.sqrt(var_runs)).otherwise(F.sqrt(n)).alias("z_runs"),
             (c["walk"]["products"] / (spread * F.sqrt(n - 1))).alias("z_serial"),
+            c["walk"]["changes"].alias("changes"),
         )
 
     def p_values(s):
@@ -167,6 +188,11 @@ def _tests(value: Column, battery: Battery) -> Column:
         extra = n * F.greatest(F.lit(0.0), battery.repeat * s["k"] - 1)
         z_word = (s["chi"] - df - extra) / F.sqrt(2 * (df + 2 * extra))
         floor = F.lit(1e-300)
+        uneven = F.greatest(floor, _upper_tail(-z_word))
+        changes = F.when(s["k"].isin(16.0, 32.0), _at_least(s["changes"], battery.changes * n))
+        # Fisher's method over two p-values: four degrees of freedom.
+        both = uneven * changes
+        p_word = F.when(s["k"] == 16, changes).when(s["k"] == 32, both * (1 - F.log(both))).otherwise(uneven)
         ps = [
             F.greatest(floor, _upper_tail(z_chi)),
             F.greatest(floor, 2 * _upper_tail(F.abs(s["z_runs"]))),
@@ -177,16 +203,18 @@ def _tests(value: Column, battery: Battery) -> Column:
         fisher = F.exp(-half) * (1 + half + half * half / 2)
         return F.struct(
             s["encoding"].alias("encoding"), n.cast("int").alias("n"), fisher.alias("p_random"),
-            F.greatest(floor, _upper_tail(-z_word)).alias("p_word"),
+            F.greatest(floor, p_word).alias("p_word"),
         )
 
     chain = F.transform(F.array(base), counts)
     return F.transform(F.transform(chain, statistics), p_values)[0]
 
 
-def _band(n: Column) -> Column:
-    """Length band: doubling, two to an octave; some 40 for any length there can be."""
-    return F.floor(2 * F.log2(n)).cast("int")
+def _band(t: Column) -> Column:
+    """Length band of a test: doubling, two to an octave; some 40 for any length there can
+    be. Hex and base32 have bands from 100 and 200."""
+    law = F.when(t["encoding"].isin("hex", "hex_upper"), 100).when(t["encoding"] == "base32", 200).otherwise(0)
+    return F.floor(2 * F.log2(t["n"])).cast("int") + law
 
 
 #: p-values are counted in steps of a tenth of a decade, up to this many.
@@ -253,7 +281,7 @@ def thresholds(spans: DataFrame, battery: Battery) -> DataFrame:
     # The outer form: the inner one makes Catalyst put a filter on the array below all the
     # steps that build it, which builds it several times over.
     tokens = spans.select(F.explode_outer("tested_.test").alias("t")).select(
-        _band(F.col("t.n")).alias("band"), _step(F.col("t.p_word")).alias("step")
+        _band(F.col("t")).alias("band"), _step(F.col("t.p_word")).alias("step")
     )
     counts = tokens.groupBy("band", "step").agg(F.count("band").alias("n")).filter("n > 0")
     by_band = Window.partitionBy("band")
@@ -272,7 +300,7 @@ def with_spans(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
     """Adds ``spans_``: array of (start, end, kind, value), sorted by start, then kind.
 
     Two passes: one counts p-values over the whole corpus and leaves one number for each
-    length band (some 40 at most, the only thing the driver sees), the other decides.
+    length band (some 120 at most, the only thing the driver sees), the other decides.
     Nothing but those counts is shuffled.
     """
     spans = _all_spans(docs, battery)
@@ -282,7 +310,7 @@ def with_spans(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
 
     def secret(x):
         t = x["test"]
-        passed = F.element_at(known, _band(t["n"]))
+        passed = F.element_at(known, _band(t))
         return (
             (t["encoding"] != "decimal")
             & (t["p_random"] >= battery.reject)

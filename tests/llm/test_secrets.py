@@ -120,3 +120,17 @@ def test_main_path_has_no_python(spark):
     df = QUERIES["op1_secrets"](spark, "/root/testdata/sf0.001")
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
+
+
+@pytest.mark.parametrize("kind, size, least", [("hex_upper", 32, 0.95), ("hex_upper", 40, 0.95), ("base32", 20, 0.6), ("base32", 24, 0.8), ("base32", 32, 0.9)])
+def test_random_tokens_of_small_alphabets(documents, kind, size, least):
+    rng = random.Random(7)
+    abc = "0123456789ABCDEF" if kind == "hex_upper" else string.ascii_uppercase + "234567"
+    texts = [(i, f"see {''.join(rng.choice(abc) for _ in range(size))} there") for i in range(200)]
+    texts += [(1000 + i, f"see {words(rng, size).upper()} there") for i in range(200)]
+    texts += [(2000 + i, f"see 2024{rng.randrange(10**16):016d}{'A' * (size - 20)}B there") for i in range(50)]
+    found = {r.doc_id for r in secrets.scan(documents(texts)).collect() if r.n_random}
+    recall = sum(i < 1000 for i in found) / 200
+    print(kind, size, recall, len(found))
+    assert recall >= least
+    assert sum(i >= 1000 for i in found) <= 0.03 * len(found) + 1
