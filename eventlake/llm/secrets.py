@@ -225,51 +225,71 @@ def _step(p: Column) -> Column:
     return F.least(F.lit(_STEPS), F.floor(-10 * F.log10(p)).cast("int"))
 
 
+def _replaced(text: Column, spans: Column, put) -> Column:
+    """The text with ``put(reach, span)`` for each of the sorted spans; ``reach`` is the
+    furthest end before it. What overlaps is left out once."""
+    wide = F.encode(text, "UTF-32")  # four bytes each: places are offsets
+
+    def step(reach, s):
+        gap = F.decode(F.substring(wide, 4 * reach + 1, 4 * (s["start"] - reach)), "UTF-32")
+        before = F.when(s["start"] > reach, gap).otherwise(F.lit(""))
+        return F.struct(F.greatest(reach, s["end"]).alias("state"), F.array(F.concat(before, put(reach, s))).alias("outs"))
+
+    last = F.array_max(F.transform(spans, lambda s: s["end"]))
+    rest = F.decode(F.substring(wide, 4 * last + 1, F.octet_length(wide)), "UTF-32")
+    whole = F.concat(F.array_join(scan_array(spans, F.lit(0), step, "string"), ""), rest)
+    return F.when(F.size(spans) > 0, whole).otherwise(text)
+
+
 def _all_spans(docs: DataFrame, battery: Battery) -> DataFrame:
-    """Adds ``base_`` (fixed kinds, sorted) and ``tested_`` (other tokens with p-values)."""
+    """Adds ``base_`` (fixed kinds, sorted) and ``tested_`` (other tokens with p-values).
+
+    Tokens are the runs of each of the two alphabets of base64 in what the base spans leave,
+    and the runs of letters and digits inside of them. ``=`` is part of a token as padding only.
+    """
     text = F.col("whole_")
-    token = f"[A-Za-z0-9+/_=-]{{{battery.least},}}"
     docs = docs.withColumn("whole_", text_or_empty())
     docs = docs.withColumns(
-        {"assign_": _spans(text, ASSIGN, 0), "access_": _spans(text, ACCESS, 1),
-         "hex_": _spans(text, HEX, 2), "token_": _spans(text, token, 3)}
+        {"assign_": _spans(text, ASSIGN, 0), "access_": _spans(text, ACCESS, 1), "hex_": _spans(text, HEX, 2)}
     )
     long_enough = F.filter(
         "assign_", lambda s: F.char_length(F.regexp_extract(s["value"], ASSIGN, 2)) >= ASSIGN_LEAST
     )
     docs = docs.withColumn("assign_", long_enough)
     docs = docs.withColumn("base_", F.array_sort(F.concat("assign_", "access_", "hex_")))
-    # Tokens apart from base spans: one walk by start with the furthest end so far, once
-    # from the left and once from the right.
-    merged = F.array_sort(F.concat("base_", "token_"))
-    free_left = scan_array(merged, F.lit(0), _free(lambda s: s["start"], lambda s: s["end"]), SPAN)
-    docs = docs.withColumn("free_", F.when(F.size("token_") > 0, free_left).otherwise(F.col("token_")))
-    back = F.reverse(F.array_sort(F.concat("base_", "free_")))
-    free_both = scan_array(back, F.lit(-(2**31) + 1), _free(lambda s: -s["end"], lambda s: -s["start"]), SPAN)
-    docs = docs.withColumn("free_", F.when(F.size("free_") > 0, free_both).otherwise(F.col("free_")))
-    # Padding says nothing, so a token needs its length without it.
-    whole = F.filter("free_", lambda s: F.char_length(F.rtrim(s["value"], F.lit("="))) >= battery.least)
+    # Spaces in place of base spans, so that places stay.
+    spaces = _replaced(
+        text, F.col("base_"),
+        lambda reach, s: F.repeat(F.lit(" "), F.greatest(F.lit(0), s["end"] - F.greatest(reach, s["start"]))),
+    )
+    docs = docs.withColumn("whole_", spaces)
+    n = battery.least
+    # A run without ``_`` and ``-`` is a run of the other alphabet, or a part of one.
+    url = F.filter(_spans(text, f"[A-Za-z0-9_-]{{{n},}}=*", 3), lambda s: s["value"].rlike("[_-]"))
+    part = f"(?<=[+/])[A-Za-z0-9]{{{n},}}=*|(?<![A-Za-z0-9])[A-Za-z0-9]{{{n},}}+(?=[+/])"
+    docs = docs.withColumn(
+        "token_", F.concat(_spans(text, f"[A-Za-z0-9+/]{{{n},}}=*", 3), url, _spans(text, part, 3))
+    )
     tested = F.transform(
-        whole, lambda s: F.struct(s.alias("span"), _tests(s["value"], battery).alias("test"))
+        "token_", lambda s: F.struct(s.alias("span"), _tests(s["value"], battery).alias("test"))
     )
     docs = docs.withColumn(
         "tested_", F.filter(tested, lambda x: x["test"]["encoding"].isNotNull())
     )
-    return docs.drop("assign_", "access_", "hex_", "token_", "free_", "whole_")
+    return docs.drop("assign_", "access_", "hex_", "token_", "whole_")
 
 
-def _free(near, far):
-    """Step that passes on tokens which begin after all base spans so far."""
+def _outer(spans: Column) -> Column:
+    """Spans that lie in no other, by start."""
+    order = F.array_sort(
+        F.transform(spans, lambda s: F.struct(s["start"].alias("start"), (-s["end"]).alias("far"), s.alias("span")))
+    )
 
-    def step(reach, s):
-        base = s["kind"] < 3
-        passed = ~base & (near(s) >= reach)
-        return F.struct(
-            F.when(base, F.greatest(reach, far(s))).otherwise(reach).alias("state"),
-            F.when(passed, F.array(s)).otherwise(F.array().cast(f"array<{SPAN}>")).alias("outs"),
-        )
+    def step(reach, x):
+        out = F.when(-x["far"] > reach, F.array(x["span"])).otherwise(F.array().cast(f"array<{SPAN}>"))
+        return F.struct(F.greatest(reach, -x["far"]).alias("state"), out.alias("outs"))
 
-    return step
+    return scan_array(order, F.lit(0), step, SPAN)
 
 
 def thresholds(spans: DataFrame, battery: Battery) -> DataFrame:
@@ -318,7 +338,8 @@ def with_spans(docs: DataFrame, battery: Battery = Battery()) -> DataFrame:
         )
 
     found = F.transform(F.filter("tested_", secret), lambda x: x["span"])
-    return spans.withColumn("spans_", F.array_sort(F.concat("base_", found))).drop("tested_")
+    spans = spans.withColumn("found_", found).withColumn("found_", _outer(F.col("found_")))
+    return spans.withColumn("spans_", F.array_sort(F.concat("base_", "found_"))).drop("tested_", "found_")
 
 
 def _joined(spans: Column) -> Column:
@@ -362,18 +383,12 @@ def redact(docs: DataFrame, mark: str = "[SECRET]", battery: Battery = Battery()
     # Packed into a struct, the columns of the documents can have any names.
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"), "text")
     rows = with_spans(rows, battery)
-    wide = F.encode(F.col("text").cast("string"), "UTF-32")  # four bytes each: places are offsets
-
-    def step(reach, s):
-        gap = F.decode(F.substring(wide, 4 * reach + 1, 4 * (s["start"] - reach)), "UTF-32")
-        part = F.when(s["start"] >= reach, F.concat(gap, F.lit(mark))).otherwise(F.lit(""))
-        return F.struct(F.greatest(reach, s["end"]).alias("state"), F.array(part).alias("outs"))
-
-    last = F.array_max(F.transform("spans_", lambda s: s["end"]))
-    rest = F.decode(F.substring(wide, 4 * last + 1, F.octet_length(wide)), "UTF-32")
-    whole = F.concat(F.array_join(scan_array(F.col("spans_"), F.lit(0), step, "string"), ""), rest)
+    whole = _replaced(
+        F.col("text").cast("string"), F.col("spans_"),
+        lambda reach, s: F.when(s["start"] >= reach, F.lit(mark)).otherwise(F.lit("")),
+    )
     has = F.size("spans_") > 0
-    rows = rows.select("row_", has.alias("has_"), F.when(has, whole).otherwise(F.col("text").cast("string")).alias("text_"))
+    rows = rows.select("row_", has.alias("has_"), whole.alias("text_"))
     new = {"text": F.col("text_")}
     if "n_chars" in docs.columns:
         size = F.char_length("text_").cast(docs.schema["n_chars"].dataType)

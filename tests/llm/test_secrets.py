@@ -134,3 +134,21 @@ def test_random_tokens_of_small_alphabets(documents, kind, size, least):
     print(kind, size, recall, len(found))
     assert recall >= least
     assert sum(i >= 1000 for i in found) <= 0.03 * len(found) + 1
+
+
+def test_parts_of_runs_are_tested(documents):
+    rng = random.Random(9)
+    forms = ["AWS_SECRET_ACCESS_KEY={}", "sig={}", "auth={}&x=1", "my_path/{}", "deadbeef" * 3 + "_{}", "dir/{}/more_of-it"]
+    texts, tokens = [], {}
+    for i in range(120):
+        token = base64.b64encode(rng.randbytes(45)).decode()
+        tokens[i] = token
+        texts.append((i, f"see {forms[i % len(forms)].format(token)} there"))
+    texts += [(1000 + i, f"my_path/{words(rng, 12)}_of/{words(rng, 25)}={words(rng, 25)}") for i in range(120)]
+    found = {r.doc_id for r in secrets.scan(documents(texts)).collect() if r.n_random}
+    for k in range(len(forms)):
+        assert sum(i % len(forms) == k for i in found if i < 1000) >= 18, forms[k]
+    assert sum(i >= 1000 for i in found) <= 0.03 * len(found) + 1
+    out = {r.doc_id: r.text for r in secrets.redact(documents(texts)).collect()}
+    left = [i for i, t in tokens.items() if any(t[j : j + 20] in out[i] for j in range(len(t) - 19))]
+    assert len(left) <= 12
