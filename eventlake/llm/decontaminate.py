@@ -9,6 +9,7 @@ every block; no document is shuffled.
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,8 +25,8 @@ from eventlake.llm.shared import map_batches, stored, text_or_empty
 @dataclass(frozen=True)
 class Budget:
     """``error_rate``: edits allowed per character of an item. ``min_piece``: no piece
-    is shorter, so short items get a smaller budget. ``min_item``: shorter items say
-    nothing about where a text comes from and are not searched for."""
+    is shorter, so short items get a smaller budget. ``min_item``: shorter items have
+    to occur unchanged and as whole words."""
 
     error_rate: float = 0.08
     min_piece: int = 12
@@ -62,6 +63,20 @@ def original_places(text: str) -> list[int]:
     return places
 
 
+#: Letters of scripts that put no spaces between words: Thai to Lao, Myanmar, Khmer, CJK.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
+
+
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether no word goes on over either end of a passage."""
+
+    def inside(i: int) -> bool:
+        pair = text[i - 1 : i + 1] if i else ""
+        return len(pair) == 2 and pair.isalnum() and not _UNSPACED.search(pair)
+
+    return not inside(start) and not inside(end)
+
+
 def pieces(item: str, edits: int) -> list[tuple[int, str]]:
     """``edits + 1`` pieces of nearly equal length with their places."""
     cuts = [len(item) * i // (edits + 1) for i in range(edits + 2)]
@@ -100,7 +115,8 @@ class Matcher:
     """Finds the items of one block in texts."""
 
     def __init__(self, items: list[tuple[int, str]], budget: Budget):
-        self.items = [(i, t, budget.edits(len(t))) for i, t in items]
+        self.items = [(i, t, budget.edits(len(t)) if len(t) >= budget.min_item else 0) for i, t in items]
+        self.min_item = budget.min_item
         places: dict[str, list[tuple[int, int]]] = {}
         for n, (_, text, edits) in enumerate(self.items):
             for offset, piece in pieces(text, edits):
@@ -118,9 +134,14 @@ class Matcher:
         if self.empty:
             return []
         windows: dict[int, list[list[int]]] = {}
+        short: dict[int, int] = {}
         for end, (length, where) in self.automaton.iter(text):
             for n, offset in where:
                 _, item, edits = self.items[n]
+                if len(item) < self.min_item:
+                    if n not in short and whole_words(text, end + 1 - length, end + 1):
+                        short[n] = end + 1
+                    continue
                 low = end + 1 - length - offset - edits
                 high = low + len(item) + 2 * edits
                 spans = windows.setdefault(n, [])
@@ -128,7 +149,7 @@ class Matcher:
                     spans[-1] = [min(low, spans[-1][0]), max(high, spans[-1][1])]
                 else:
                     spans.append([low, high])
-        found = []
+        found = [(self.items[n][0], 0, end - len(self.items[n][1]), end) for n, end in sorted(short.items())]
         for n, spans in sorted(windows.items()):
             number, item, edits = self.items[n]
             best = None
@@ -211,12 +232,17 @@ def _search(name: str, items, budget: Budget):
 
 
 def blocks(items: DataFrame, budget: Budget, size: int) -> Iterator[list[tuple[int, str]]]:
-    """Normalised items in blocks of about ``size`` bytes; only one is held at a time."""
+    """Normalised items in blocks of about ``size`` bytes; only one is held at a time.
+
+    Items without any text match nothing; their number is logged.
+    """
     block: list[tuple[int, str]] = []
-    held = 0
-    for row in items.select("item_id", "text").filter("text IS NOT NULL").toLocalIterator():
-        text = normal(row.text)
-        if len(text) >= budget.min_item:
+    held = empty = 0
+    for row in items.select("item_id", "text").toLocalIterator():
+        text = normal(row.text or "")
+        if not text:
+            empty += 1
+        else:
             block.append((row.item_id, text))
             held += len(text.encode()) + 100
         if held >= size:
@@ -224,6 +250,8 @@ def blocks(items: DataFrame, budget: Budget, size: int) -> Iterator[list[tuple[i
             block, held = [], 0
     if block:
         yield block
+    if empty:
+        logging.getLogger(__name__).warning("%d benchmark items have no text", empty)
 
 
 def leaks(

@@ -94,3 +94,11 @@ def test_query_against_search_by_hand(spark):
     text, item = dict(docs), dict(items)
     for r in got:
         assert nearest(D.normal(item[r.item_id]), D.normal(text[r.doc_id][r.start : r.end])) == r.distance
+
+
+def test_short_items_are_found_as_whole_words(spark, documents):
+    items = spark.createDataFrame([(1, "Who is Ada?"), (2, "art"), (3, "日本の首都"), (4, " "), (5, None)], "item_id long, text string")
+    rows = [(1, "x who  is ada? y"), (2, "the party starts"), (3, "party of art, art"), (4, "これは日本の首都です"), (5, "who is adam")]
+    got = D.leaks(documents(rows), items).collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 0, 2, 14), (3, 2, 0, 9, 12), (4, 3, 0, 3, 8)]
+    assert {r.doc_id for r in D.decontaminate(documents(rows), items).collect()} == {2, 5}
