@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from eventlake.llm import (
     chat,
+    collocations,
     decontaminate,
     lines,
     packing,
@@ -70,6 +71,10 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
@@ -81,4 +86,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokenfile": op8_tokenfile,
     "op9_chat": op9_chat,
     "op10_pages": op10_pages,
+    "op12_collocations": op12_collocations,
 }

@@ -41,4 +41,37 @@ ORACLE_SQL: dict[str, str] = {
               THEN 'conversations'
             ELSE 'messages' END AS layout
         FROM g""",
+    "op12_collocations": r"""
+        WITH pieces AS (
+          SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]')) AS piece FROM documents WHERE text IS NOT NULL),
+        words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+        grams AS (
+          SELECT lang, m, unnest(list_transform(range(1, len(w) - m + 2), lambda i: list_slice(w, i, i + m - 1))) AS g
+          FROM words, range(1, 5) AS lengths(m) WHERE len(w) >= m),
+        f AS (
+          SELECT lang, CAST(m AS INTEGER) AS m, g, count(*) AS n FROM grams GROUP BY ALL),
+        totals AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+        candidates AS (SELECT lang, m, g, n AS a FROM f WHERE m > 1 AND n >= 30),
+        cuts AS (
+          SELECT c.lang, c.g, c.m, c.a, k, CAST(l.n AS BIGINT) AS l, CAST(r.n AS BIGINT) AS r,
+            CAST(CAST(2000000 AS HUGEINT) * c.a // (CAST(l.n AS HUGEINT) + r.n) AS BIGINT) AS score
+          FROM (SELECT *, unnest(range(1, m)) AS k FROM candidates) AS c
+          JOIN f AS l ON l.lang = c.lang AND l.g = list_slice(c.g, 1, k)
+          JOIN f AS r ON r.lang = c.lang AND r.g = list_slice(c.g, k + 1, c.m)),
+        best AS (
+          SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+        inner_parts AS (
+          SELECT lang, a, unnest([list_slice(g, i, i + n - 1) FOR i IN range(1, m - n + 2)]) AS g
+          FROM (SELECT *, unnest(range(2, m)) AS n FROM candidates WHERE m > 2)),
+        longer AS (SELECT lang, g, max(a) AS most FROM inner_parts GROUP BY lang, g),
+        kept AS (
+          SELECT b.* FROM best AS b LEFT JOIN longer AS x ON x.lang = b.lang AND x.g = b.g
+          WHERE most IS NULL OR CAST(most AS HUGEINT) * 100 < CAST(a AS HUGEINT) * 80),
+        ranked AS (
+          SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS INTEGER) AS rank,
+            array_to_string(g, ' ') AS phrase, CAST(a AS BIGINT) AS a, l, r, score FROM kept)
+        SELECT lang, rank, phrase, a, l, r, totals.n, score FROM ranked JOIN totals USING (lang)
+        WHERE rank <= 2000""",
 }
