@@ -11,6 +11,7 @@ from eventlake.llm import (
     chat,
     collocations,
     decontaminate,
+    divergence,
     lines,
     packing,
     pages,
@@ -75,6 +76,10 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secrets": op1_secrets,
     "op2_simhash": op2_simhash,
@@ -87,4 +92,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_chat": op9_chat,
     "op10_pages": op10_pages,
     "op12_collocations": op12_collocations,
+    "op13_divergence": op13_divergence,
 }

@@ -74,4 +74,44 @@ ORACLE_SQL: dict[str, str] = {
             array_to_string(g, ' ') AS phrase, CAST(a AS BIGINT) AS a, l, r, score FROM kept)
         SELECT lang, rank, phrase, a, l, r, totals.n, score FROM ranked JOIN totals USING (lang)
         WHERE rank <= 2000""",
+    "op13_divergence": r"""
+        WITH d AS (
+          SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w,
+            row_number() OVER () AS doc
+          FROM documents),
+        groups AS (SELECT DISTINCT lang, source FROM d),
+        tf AS (
+          SELECT lang, source, doc, term, count(*) AS n
+          FROM (SELECT lang, source, doc, unnest(w) AS term FROM d) GROUP BY ALL),
+        kept AS (
+          SELECT lang, term, CAST(sum(n) AS HUGEINT) AS total FROM tf GROUP BY ALL HAVING count(*) >= 10),
+        v AS (SELECT lang, count(*) AS v, sum(total) AS n FROM kept GROUP BY lang),
+        c AS (
+          SELECT lang, source, term, CAST(sum(n) AS HUGEINT) AS n
+          FROM tf JOIN kept USING (lang, term) GROUP BY ALL),
+        sizes AS (SELECT lang, source, sum(n) AS n FROM c GROUP BY ALL),
+        p AS (
+          SELECT lang, source, term, coalesce(c.n, 0) AS n,
+            1 + (1000000000 * (coalesce(c.n, 0) + 2)) // (coalesce(sizes.n, 0) + 2 * v.v) AS p,
+            1 + (1000000000 * (total + 2)) // (v.n + 2 * v.v) AS q
+          FROM groups JOIN kept USING (lang) JOIN v USING (lang)
+          LEFT JOIN sizes USING (lang, source) LEFT JOIN c USING (lang, source, term)),
+        sums AS (
+          SELECT a.lang, a.source, b.source AS item,
+            sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+          FROM p AS a JOIN p AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source
+          GROUP BY ALL),
+        results AS (
+          SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+            CAST(coalesce(value, 0) AS BIGINT) AS value
+          FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN sums ON sums.lang = a.lang AND sums.source = a.source AND sums.item = b.source
+          UNION ALL
+          SELECT lang, source, 'term', term, CAST((p - q) * (p - q) // (p + q) AS BIGINT)
+          FROM p WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value,
+          CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS INTEGER) AS rank
+        FROM results QUALIFY part = 'pair' OR rank <= 10""",
 }
