@@ -12,6 +12,7 @@ from eventlake.llm import (
     collocations,
     decontaminate,
     divergence,
+    hashing,
     lines,
     packing,
     pages,
@@ -72,6 +73,10 @@ def op10_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.main_text(table(spark, sf_dir, "pages"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hashing.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_tokenfile": op8_tokenfile,
     "op9_chat": op9_chat,
     "op10_pages": op10_pages,
+    "op11_neighbours": op11_neighbours,
     "op12_collocations": op12_collocations,
     "op13_divergence": op13_divergence,
 }
