@@ -1,0 +1,121 @@
+from __future__ import annotations
+
+import numpy as np
+import pytest
+
+from eventlake.llm import hashing as H
+
+SMALL = H.Settings(block_rows=200, sample_rows=128, at_once=1 << 12)
+
+
+def brute(vec_ids, vectors, every=50, found=5):
+    """Nearest by cosine, in the same double-precision measure."""
+    out = {}
+    for i, q in enumerate(vec_ids):
+        if q is not None and q % every == 0:
+            others = [j for j in range(len(vec_ids)) if j != i]
+            score = H.cosines(np.repeat(vectors[i][None], len(others), axis=0), vectors[others])
+            order = sorted(zip(-score, [vec_ids[j] for j in others], strict=True))[:found]
+            out[q] = [(v, -s) for s, v in order]
+    return out
+
+
+def answers(df):
+    got = {}
+    for r in df.orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r["rank"] == len(got[r.query_id])
+    return got
+
+
+def table(spark, rows):
+    types = "vec_id long, embedding array<float>, label int, code long, row_id long, block long, vector long"
+    return spark.createDataFrame([(i, v, 1, 2, 3, 4, 5) for i, v in rows], types)
+
+
+def clusters(n=1000, size=24, seed=2):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(size=(20, size))
+    return (centres[rng.integers(0, 20, n)] + 0.4 * rng.normal(size=(n, size))).astype(np.float32)
+
+
+def test_recall_and_scores(spark):
+    v = clusters()
+    ids = list(range(len(v)))
+    got = answers(H.nearest(table(spark, [(i, x.tolist()) for i, x in zip(ids, v, strict=True)]), settings=SMALL))
+    want = brute(ids, v.astype(float))
+    assert got.keys() == want.keys()
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert hits >= 0.9 * 5 * len(want)
+    for q, found in got.items():
+        assert len(found) == 5
+        for i, score in found:
+            a, b = v[q].astype(float), v[i].astype(float)
+            assert score == pytest.approx(a @ b / np.sqrt((a @ a) * (b @ b)), abs=1e-12)
+
+
+def test_recall_on_given_vectors(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()]
+    want = brute([i for i, _ in rows], np.array([x for _, x in rows], dtype=float))
+    got = answers(H.nearest(table(spark, rows)))
+    hits = sum(len({i for i, _ in got[q]} & {i for i, _ in want[q]}) for q in want)
+    assert got.keys() == want.keys() and hits >= 0.9 * 5 * len(want)
+
+
+def test_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    good = [
+        (0, [1.0, 0.0, 0.0]), (50, [1e30, 0.0, 1e30]), (7, [1.0, 0.0, 0.0]), (3, [2.0, 0.0, 0.0]),
+        (7, [1.0, 0.0, 0.0]), (None, [0.0, 1.0, 1e-30]), (100, [-1.0, 0.0, 0.0]), (0, [0.0, 0.0, 5e-39]),
+    ]
+    bad = [(1, None), (50, []), (2, [0.0, 0.0, 0.0]), (4, [nan, 1.0, 0.0]), (5, [inf, 0.0, 1.0]), (6, [None, 1.0, 0.0]), (150, [1.0, 2.0])]
+    got = H.nearest(table(spark, good + bad)).collect()
+    # Two rows with id 0 ask, each for itself.
+    assert sorted((r.query_id, r["rank"]) for r in got) == sorted(
+        [(q, k) for q in (0, 0, 50, 100) for k in range(1, 6)]
+    )
+    first = {(r["rank"], r.vec_id, r.score) for r in got if r.query_id == 0}
+    assert (1, 3, 1.0) in first and (2, 7, 1.0) in first and (3, 7, 1.0) in first
+    hundred = [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r["rank"]) if r.query_id == 100]
+    assert hundred[:2] == [(0, 0.0), (None, 0.0)] and hundred[2][0] == 50 and hundred[3] == (0, -1.0)
+
+
+def test_few_and_no_rows(spark):
+    assert H.nearest(table(spark, [])).collect() == []
+    assert H.nearest(table(spark, [(0, [1.0, 2.0])])).collect() == []
+    two = H.nearest(table(spark, [(0, [1.0, 2.0]), (1, [1.0, 2.5])])).collect()
+    assert [(r.query_id, r["rank"], r.vec_id) for r in two] == [(0, 1, 1)]
+
+
+def test_group_of_copies(spark):
+    v = clusters(600)
+    v[:200] = v[0]
+    ids = list(range(len(v)))
+    got = answers(H.nearest(table(spark, [(i, x.tolist()) for i, x in zip(ids, v, strict=True)]), settings=SMALL))
+    want = brute(ids, v.astype(float))
+    for q in (0, 50, 100, 150):
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+
+
+@pytest.mark.parametrize("radius", [0, 5, 9, 31, 63, 128])
+def test_probing_finds_every_code_within_the_radius(radius):
+    rng = np.random.default_rng(radius)
+    codes = rng.integers(0, 2**64, (400, 2), dtype=np.uint64)
+    codes[200:] = codes[:200] ^ (rng.integers(0, 2**64, (200, 2), dtype=np.uint64) & rng.integers(0, 2**64, (200, 2), dtype=np.uint64)
+                                & rng.integers(0, 2**64, (200, 2), dtype=np.uint64))
+    ids = np.arange(400)
+    block = H.Block(ids, (ids, ids >= 0), codes, np.ones((400, 1)), H.Settings())
+    query, row = block.probe(codes, radius)
+    near = np.argwhere(H.distances(codes[:, None], codes[None]) <= radius)
+    assert sorted(zip(query.tolist(), row.tolist(), strict=True)) == sorted(map(tuple, near.tolist()))
+
+
+def test_learned_rotation_keeps_more_than_a_random_one():
+    v = clusters(2000, 32)
+    unit = H.units(v.astype(float))
+    model = H.fitted(unit[:500], H.Settings(bits=64))
+    turn = H.rotation(unit - unit.mean(axis=0), 30, 0)
+    assert np.allclose(turn @ turn.T, np.eye(32))
+    loss = lambda r: np.abs(np.abs((unit - unit.mean(axis=0)) @ r) - 1 / np.sqrt(32)).sum()
+    assert loss(turn) < loss(np.linalg.qr(np.random.default_rng(9).normal(size=(32, 32)))[0])
+    assert 0 < model.radius < 64

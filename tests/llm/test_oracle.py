@@ -11,7 +11,7 @@ from eventlake.llm.oracle import ORACLE_SQL
 def test_every_operator_is_registered():
     names = set(queries())
     assert set(QUERIES) | {"pipeline"} <= names and set(ORACLE_SQL) <= set(oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
