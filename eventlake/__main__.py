@@ -7,7 +7,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.plans import jobs
+from eventlake.plans import daily, jobs
 from eventlake.schema import BRONZE_SCHEMA
 from eventlake.sources.layers import partition_layout, read_layer
 from eventlake.sources.raw import missing_files, raw_glob
@@ -64,7 +64,8 @@ def run(spark: SparkSession, args: argparse.Namespace) -> None:
     if "silver" in args.steps:
         print("silver:", jobs.run_silver(spark, args.lake, *dates))
     if "gold" in args.steps:
-        jobs.run_gold(spark, args.lake)
+        # By day, only the dates that have changed are read.
+        (daily.run_gold_by_day if args.start else jobs.run_gold)(spark, args.lake)
     if "findings" in args.steps:
         for title, table in jobs.findings(jobs.read_gold(spark, args.lake)).items():
             show(title, table)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -98,12 +96,6 @@ def silver_marked(bronze: DataFrame) -> DataFrame:
     return others.unionByName(pulls.select(*SILVER_COLUMNS, opens.alias("opens_event")))
 
 
-def before_others(rows: DataFrame, stored: DataFrame, start: date | None) -> DataFrame:
-    """Silver rows of a date range without events that an earlier stored date holds."""
-    earlier = stored.filter(F.col("event_date") < F.lit(start)).select(F.col("event_id").alias("held"))
-    return rows.join(earlier, rows.event_id.eqNullSafe(earlier.held), "left_anti")
-
-
 def events(bronze: DataFrame, *columns: str) -> DataFrame:
     """Event grain straight from Bronze: one row per event_id.
 

@@ -15,7 +15,7 @@ from eventlake.operators import gold as G
 from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
-from eventlake.plans import jobs
+from eventlake.plans import daily, jobs
 from eventlake.schema import BRONZE_SCHEMA, PUSH, REST, SILVER_SCHEMA, WATCH
 from eventlake.sources import layers, sample
 from eventlake.sources.raw import missing_files as hours_without_file
@@ -130,9 +130,9 @@ def gold_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
-def silver_by_day(spark: SparkSession, sf: str) -> DataFrame:
+def lake_by_day(spark: SparkSession, sf: str, done=lambda lake: None) -> str:
     """Silver of redelivered events, loaded by runs over parts of the dates, later ones
-    first; each tenth event is delivered again a day later."""
+    first; each tenth event is delivered again a day later. ``done`` follows each run."""
     lake = scratch_path(spark, "lake")
     once = raw(spark, sf)
     day_after = F.date_format(
@@ -146,9 +146,26 @@ def silver_by_day(spark: SparkSession, sf: str) -> DataFrame:
     ).first()
     if days.first is not None:
         middle = days.first + (days.last - days.first) // 2
-        jobs.run_silver(spark, lake, middle + timedelta(days=1), days.last)
-        jobs.run_silver(spark, lake, days.first, middle)
-    return layers.read_layer(spark, f"{lake}/silver", schema=SILVER_SCHEMA)
+        for part in ((middle + timedelta(days=1), days.last), (days.first, middle)):
+            jobs.run_silver(spark, lake, *part)
+            done(lake)
+    return lake
+
+
+def silver_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.read_layer(spark, f"{lake_by_day(spark, sf)}/silver", schema=SILVER_SCHEMA)
+
+
+def gold_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    """Gold kept up after each of these runs: the second moves events to earlier dates."""
+    lake = lake_by_day(spark, sf, done=lambda lake: daily.run_gold_by_day(spark, lake))
+    parts = [
+        jobs.read_gold(spark, lake)[name].select(
+            F.lit(name).alias("table_name"), F.col(t.key).cast("string").alias("key"), F.col(t.measure).alias("n")
+        )
+        for name, t in daily.gold_tables().items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
 def bronze_layer(spark: SparkSession, sf: str) -> str:
@@ -287,6 +304,7 @@ QUERIES: dict[str, Query] = {
     ),
     "silver_by_day": silver_by_day,
     # Gold and findings
+    "gold_by_day": gold_by_day,
     "top_repos_by_stars": stars,
     "events_by_hour": hours,
     "events_by_date_and_hour": lambda s, d: G.events_by_date_and_hour(

@@ -21,7 +21,9 @@ from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.operators.bronze import in_dates
 from eventlake.schema import BRONZE_SCHEMA, CORRUPT, PULL_REQUEST, SILVER_SCHEMA, WATCH
+from eventlake.sources.ids import BUCKETS, KEY, IdIndex, not_in
 from eventlake.sources.layers import read_layer, write_by_date, write_table
+from eventlake.sources.manifest import in_days
 from eventlake.sources.raw import read_raw
 from eventlake.sources.scratch import file_store, scratch_path
 
@@ -96,23 +98,27 @@ def run_silver(
     start: date | None = None,
     end: date | None = None,
     verify: bool = True,
+    buckets: int = BUCKETS,
 ) -> dict[str, int]:
     """Bronze to Silver. ``verify`` compares what was written with what is stored, and
     the labels with those the payloads promise.
 
     Silver as a whole is unique by event and label name, whatever the order of dated
     runs: an event belongs to its earliest date. So a dated run leaves out events that
-    an earlier date holds, and takes those it does hold from later dates. For that it
-    reads the event ids of the other dates, one column.
+    an earlier date holds, and takes those it does hold from later dates. Which date
+    holds an event is looked up in the id index, which lies in buckets: the history is
+    read there, one column, and not shuffled.
     """
     only = _in_range(start, end)
     source = read_layer(spark, f"{lake}/bronze", start, end, BRONZE_SCHEMA)
     path = f"{lake}/silver"
     rows = S.silver_marked(source)
     others = only and _exists(spark, path)
-    if others and start is not None:
-        held = read_layer(spark, path, schema=SILVER_SCHEMA)
-        rows = S.before_others(rows, held, start)
+    if others:
+        index = IdIndex(spark, lake, buckets)
+        index.refresh()
+        if start is not None:
+            rows = not_in(rows, index.rows().filter(F.col("event_date") < F.lit(start)))
     seen = Observation()
     labelled = F.col("pr_label_name").isNotNull()
     counted = rows.observe(
@@ -125,7 +131,9 @@ def run_silver(
     write_by_date(counted.drop("opens_event"), path, only=only, gather=True)
     found = {k: int(v) for k, v in seen.get.items()}
     if others:
-        _take_from_later(spark, path, start, end)
+        index.refresh()
+        if _take_from_later(spark, path, index.rows(), start, end):
+            index.refresh()
     found["surplus_rows"] = found["rows"] - found["distinct_events"]
     leaked = found.pop("leaked")
     if verify:
@@ -143,27 +151,33 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
-def _take_from_later(spark: SparkSession, path: str, start: date | None, end: date | None) -> None:
+def _take_from_later(
+    spark: SparkSession, path: str, ids: DataFrame, start: date | None, end: date | None
+) -> bool:
     """Removes events of a date range from later dates; rewrites only dates that hold any."""
-    silver = read_layer(spark, path, schema=SILVER_SCHEMA)
-    own = silver.filter(in_dates(start, end)).select(F.col("event_id").alias("held")).distinct()
-    later = F.col("event_date").isNull()
-    if end is not None:
-        later = later | (F.col("event_date") > F.lit(end))
-    later = silver.filter(later)
-    same = later.event_id.eqNullSafe(own.held)
-    # One row per date at most.
-    days = {r[0] for r in later.join(own, same, "left_semi").select("event_date").distinct().collect()}
+    days = dates_that_hold_again(ids, start, end)
     if not days:
-        return
-    touched = F.col("event_date").isin([d for d in days if d is not None])
-    if None in days:
-        touched = F.coalesce(touched, F.lit(True))
-    kept = later.filter(touched).join(own, same, "left_anti")
+        return False
+    silver = read_layer(spark, path, schema=SILVER_SCHEMA)
+    own = ids.filter(in_dates(start, end))
     aside = scratch_path(spark, "later", f"{path}/../_scratch")
-    write_table(kept, aside)
+    write_table(not_in(silver.filter(in_days(days)), own), aside)
     again = spark.read.schema(SILVER_SCHEMA).parquet(aside)
     write_by_date(again, path, only=lambda day: day in days, gather=True)
+    return True
+
+
+def dates_that_hold_again(ids: DataFrame, start: date | None, end: date | None) -> set[date | None]:
+    """Later dates, or no date, that hold an event of the date range too: one row a date."""
+    return {r[0] for r in held_again(ids, start, end).collect()}
+
+
+def held_again(ids: DataFrame, start: date | None, end: date | None) -> DataFrame:
+    later = F.col("event_date").isNull()
+    if end is not None:
+        later = later | (F.col("event_date") > F.lit(end))
+    own = ids.filter(in_dates(start, end)).select(KEY)
+    return ids.filter(later).join(own, KEY, "left_semi").select("event_date").distinct()
 
 
 def run_gold(spark: SparkSession, lake: str) -> dict[str, DataFrame]:

@@ -198,6 +198,10 @@ _BODIES: dict[str, str] = {
         (SELECT count(*) FROM silver WHERE pr_label_name IS NOT NULL) AS actual_rows
         FROM redelivered WHERE type = 'PullRequestEvent' AND len(labels) > 0""",
     "silver_by_day": "SELECT * FROM silver",
+    "gold_by_day": """
+        SELECT 'top_repos_by_stars' AS table_name, repo_name AS key, star_count AS n FROM stars
+        UNION ALL SELECT 'events_by_hour', CAST(hour AS VARCHAR), event_count FROM hours
+        UNION ALL SELECT 'top_actors', actor_login, event_count FROM actors""",
     "top_repos_by_stars": "SELECT * FROM stars",
     "events_by_hour": "SELECT * FROM hours ORDER BY hour",
     "events_by_date_and_hour": """SELECT event_date, hour, count(*) AS event_count

@@ -31,7 +31,7 @@ def write_by_date(
     """
     if gather:
         df = df.hint("rebalance", "event_date")
-    before = _date_files(df.sparkSession, path) if only else {}
+    before = date_files(df.sparkSession, path) if only else {}
     (
         df.sortWithinPartitions("event_date", *sort_by)
         .write.mode("overwrite")
@@ -40,19 +40,19 @@ def write_by_date(
         .parquet(path)
     )
     if only:
-        after = _date_files(df.sparkSession, path)
+        after = date_files(df.sparkSession, path)
         for day, files in before.items():
             # A date that was written again has new files; one that was not is stale.
             if only(day) and after.get(day) == files:
-                where, store = file_store(df.sparkSession, f"{path}/{_folder(day)}")
+                where, store = file_store(df.sparkSession, f"{path}/{date_folder(day)}")
                 store.delete(where, True)
 
 
-def _folder(day: date | None) -> str:
+def date_folder(day: date | None) -> str:
     return f"event_date={day or '__HIVE_DEFAULT_PARTITION__'}"
 
 
-def _date_files(spark: SparkSession, path: str) -> dict[date | None, frozenset[str]]:
+def date_files(spark: SparkSession, path: str) -> dict[date | None, frozenset[str]]:
     """Names of the files of each date; a listing, no data is read."""
     where, store = file_store(spark, path)
     if not store.exists(where):
