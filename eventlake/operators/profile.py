@@ -122,7 +122,7 @@ def top_level_fields(lines: DataFrame) -> DataFrame:
 
     The fixed schema keeps fields it does not know apart; this report shows all.
     """
-    return count_by(lines.select(F.explode(P.keys("value")).alias("field")), "field")
+    return count_by(lines.select(F.explode(F.json_object_keys("value")).alias("field")), "field")
 
 
 # Payload
@@ -139,7 +139,7 @@ def payload_union_schema(raw: DataFrame) -> DataFrame:
 
     Types merge partially per task; the state is one schema per field.
     """
-    fields = raw.select(F.try_parse_json("payload").alias("v")).lateralJoin(
+    fields = raw.select(F.col("payload").alias("v")).lateralJoin(
         raw.sparkSession.tvf.variant_explode(F.col("v").outer())
     )
     return fields.groupBy(F.col("key").alias("field")).agg(

@@ -174,6 +174,10 @@ def bronze_layer(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def stored_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return layers.read_layer(spark, bronze_layer(spark, sf), schema=BRONZE_SCHEMA)
+
+
 def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
     return layers.partition_layout(spark, bronze_layer(spark, sf))
 
@@ -248,7 +252,7 @@ def created_at_parsed(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def array_sizes(spark: SparkSession, sf: str) -> DataFrame:
-    sizes = P.array_sizes(raw(spark, sf), ["labels"], "id")
+    sizes = P.array_sizes(stored_bronze(spark, sf), ["labels"], "id")
     return sizes.select(
         F.col("id").alias("event_id"), "type", F.col("labels").alias("n_labels")
     )
@@ -336,14 +340,14 @@ QUERIES: dict[str, Query] = {
     "public_counts": lambda s, d: P.public_counts(core(s, d)),
     "org_null_ratio": lambda s, d: P.org_null_ratio(core(s, d)),
     "cardinalities": lambda s, d: P.cardinalities(core(s, d)),
-    "payload_keys_by_type": lambda s, d: P.payload_keys_by_type(raw(s, d)),
-    "payload_union_schema": lambda s, d: P.payload_union_schema(raw(s, d)),
+    "payload_keys_by_type": lambda s, d: P.payload_keys_by_type(stored_bronze(s, d)),
+    "payload_union_schema": lambda s, d: P.payload_union_schema(stored_bronze(s, d)),
     "record_union_kinds": record_union_kinds,
-    "payload_field_kinds": lambda s, d: P.payload_field_kinds(raw(s, d)),
-    "payload_field_presence": lambda s, d: P.payload_field_presence(raw(s, d)),
-    "missing_payload_fields": lambda s, d: Q.missing_payload_fields(raw(s, d)),
-    "array_size_stats": lambda s, d: P.array_size_stats(raw(s, d)),
-    "array_field_profile": lambda s, d: P.array_field_profile(raw(s, d)),
+    "payload_field_kinds": lambda s, d: P.payload_field_kinds(stored_bronze(s, d)),
+    "payload_field_presence": lambda s, d: P.payload_field_presence(stored_bronze(s, d)),
+    "missing_payload_fields": lambda s, d: Q.missing_payload_fields(stored_bronze(s, d)),
+    "array_size_stats": lambda s, d: P.array_size_stats(stored_bronze(s, d)),
+    "array_field_profile": lambda s, d: P.array_field_profile(stored_bronze(s, d)),
     # skew
     "key_skew_report": lambda s, d: Q.key_skew_report(grain(s, d, "actor_login")),
     "key_skew_by_digest": lambda s, d: Q.key_skew_report(

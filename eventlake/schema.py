@@ -9,13 +9,15 @@ _ACCOUNT = (
 
 CORRUPT = "_corrupt_record"
 
-# Payload stays JSON text: its shape depends on the event type, so nothing is
-# gained from a union struct, and a day without some field keeps the same schema.
-RAW_SCHEMA = (
+# The payload is a variant: its shape depends on the event type, so nothing is gained
+# from a union struct, and a day without some field keeps the same schema. It is parsed
+# when the line is read, and never again.
+LINE_COLUMNS = (
     f"id string, type string, actor {_ACCOUNT}, "
     f"repo struct<id:bigint,name:string,url:string>, org {_ACCOUNT}, "
-    f"public boolean, created_at string, payload string, {CORRUPT} string"
+    "public boolean, created_at string"
 )
+RAW_SCHEMA = f"{LINE_COLUMNS}, payload variant, {CORRUPT} string"
 
 # What a line holds beside these fields is kept as JSON in this column.
 REST = "rest"
@@ -28,7 +30,7 @@ KNOWN_FIELDS = {
 
 BRONZE_SCHEMA = RAW_SCHEMA.removesuffix(f", {CORRUPT} string") + f", {REST} string, event_date date"
 
-LABELS_SCHEMA = "labels array<struct<name:string,color:string>>"
+LABELS_TYPE = "array<struct<name:string,color:string>>"
 
 SILVER_COLUMNS = (
     "event_id",

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from eventlake.operators.quality import hour_manifest
-from eventlake.schema import CORRUPT, KNOWN_FIELDS, RAW_SCHEMA, REST
+from eventlake.schema import CORRUPT, KNOWN_FIELDS, LINE_COLUMNS, REST
 
 
 def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
@@ -27,23 +27,62 @@ def read_raw(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def parse_lines(lines: DataFrame, *keep: str) -> DataFrame:
-    """Raw rows from text lines in ``value``; blank lines are none."""
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = lines.filter(F.trim("value") != "").select(
-        *keep, F.from_json("value", RAW_SCHEMA, options).alias("row"), unknown_fields("value").alias(REST)
+    """Raw rows from text lines in ``value``; blank lines are none.
+
+    A line is parsed once, to a variant; all columns are taken from that. It is broken if it
+    is no JSON object, holds a field twice, or if a field has another kind than the schema.
+    """
+    line = lines.filter(F.trim("value") != "").select(*keep, "value", _once(F.try_parse_json("value")).alias("v"))
+    row = F.try_variant_get("v", "$", f"struct<{LINE_COLUMNS}>")
+    typed = line.select(*keep, "value", "v", _once(row).alias("row"))
+    names = typed.schema["row"].dataType.names
+    payload = F.try_variant_get("v", "$.payload", "variant")
+    return typed.select(
+        *keep,
+        *(f"row.{n}" for n in names),
+        F.when(~F.is_variant_null(payload), payload).alias("payload"),
+        unknown_fields("v").alias(REST),
+        F.when(~_fits(), F.col("value")).alias(CORRUPT),
     )
-    names = [f.name for f in rows.schema["row"].dataType.fields if f.name != CORRUPT]
-    return rows.select(*keep, *(f"row.{n}" for n in names), REST, f"row.{CORRUPT}")
 
 
-def unknown_fields(line: str) -> Column:
+def _once(value: Column) -> Column:
+    """The value as the output of a generator: a filter on it is not pushed below, where
+    the optimizer would put a copy of the expression wherever the filter names it."""
+    return F.explode(F.array(value))
+
+
+def _fits() -> Column:
+    """Whether every field of the line has the kind its column has, or is absent or null.
+
+    Only what a cast would bend is looked at: numbers and booleans. Text may be written as
+    anything, and what should be an object is NULL if it is none.
+    """
+    def given(path: str) -> Column:
+        return F.try_variant_get("v", path, "variant")
+
+    def absent(path: str) -> Column:
+        return given(path).isNull() | F.is_variant_null(given(path))
+
+    def of_kind(path: str, kind: str) -> Column:
+        return absent(path) | (F.schema_of_variant(given(path)) == kind)
+
+    parts = [F.col("row").isNotNull()]
+    parts += [F.col(f"row.{n}").isNotNull() | absent(f"$.{n}") for n in ("actor", "repo", "org")]
+    parts += [of_kind(f"$.{n}.id", "BIGINT") for n in ("actor", "repo", "org")]
+    parts.append(of_kind("$.public", "BOOLEAN"))
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole & p
+    return F.coalesce(whole, F.lit(False))
+
+
+def unknown_fields(parsed: str) -> Column:
     """JSON of all fields of a line that the schema does not name; NULL if there are none.
 
     Looks at the event and the objects whose fields the schema lists; the payload is kept
     whole anyway. Values keep their JSON types.
     """
-    parsed = F.try_parse_json(F.col(line))
-
     def strange(part: str) -> Column:
         path = "$" if part == "event" else f"$.{part}"
         fields = F.try_variant_get(parsed, path, "map<string,variant>")

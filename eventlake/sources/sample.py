@@ -67,7 +67,7 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope(events: DataFrame, redelivered: bool = False) -> DataFrame:
-    """Raw rows (without the broken-line column); payload is JSON text.
+    """Raw rows (without the broken-line column).
 
     ``redelivered`` repeats every tenth event, as when two files hold it.
     """
@@ -90,7 +90,7 @@ def envelope(events: DataFrame, redelivered: bool = False) -> DataFrame:
         f"CASE WHEN event_id % 25 = 0 THEN {org} END AS org",
         "event_id % 1000 <> 0 AS public",
         "concat(replace(substr(string(ts), 1, 19), ' ', 'T'), 'Z') AS created_at",
-        f"{_PAYLOAD} AS payload",
+        f"parse_json({_PAYLOAD}) AS payload",
     )
 
 
@@ -99,7 +99,7 @@ def raw_lines(envelope_rows: DataFrame) -> DataFrame:
     names = [c for c in envelope_rows.columns if c != "payload"]
     opened = F.rtrim(F.to_json(F.struct(*names)), F.lit("}"))
     # created_at is the last named field and always there, so one brace was removed.
-    line = F.concat(opened, F.lit(',"payload":'), F.col("payload"), F.lit("}"))
+    line = F.concat(opened, F.lit(',"payload":'), F.to_json("payload"), F.lit("}"))
     return envelope_rows.select(line.alias("value"), "id")
 
 

@@ -6,6 +6,8 @@ import gzip
 import json
 import os
 
+from pyspark.sql import functions as F
+
 from eventlake.operators.bronze import bronze
 from eventlake.schema import RAW_SCHEMA
 
@@ -51,7 +53,8 @@ def raw_rows(spark, events):
                 None,
             )
         )
-    return spark.createDataFrame(rows, RAW_SCHEMA)
+    text = spark.createDataFrame(rows, RAW_SCHEMA.replace("payload variant", "payload string"))
+    return text.withColumn("payload", F.try_parse_json("payload"))
 
 
 def _account(a):

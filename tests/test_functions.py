@@ -43,7 +43,7 @@ def test_labels_only_of_pull_requests(spark):
         [("PullRequestEvent", payload), ("IssuesEvent", payload), (None, payload),
          ("PullRequestEvent", "{}"), ("PullRequestEvent", "junk"), ("PullRequestEvent", None)],
         "type string, payload string",
-    )
+    ).withColumn("payload", F.try_parse_json("payload"))
     got = [r.x for r in df.select(pr_labels().alias("x")).collect()]
     assert [tuple(e) for e in got[0]] == [("bug", "f00"), (None, None)]
     assert got[1:] == [None] * 5
@@ -51,10 +51,10 @@ def test_labels_only_of_pull_requests(spark):
 
 def test_fields_and_keys(spark):
     text = '{"a":1,"b":null,"c":{"d":[1, 2]}}'
-    assert one(spark, text, keys(F.col("v"))) == ["a", "b", "c"]
-    got = one(spark, text, fields(["a", "b", "c", "z"], F.col("v")))
+    assert one(spark, text, keys(F.try_parse_json("v"))) == ["a", "b", "c"]
+    got = one(spark, text, fields(["a", "b", "c", "z"], F.try_parse_json("v")))
     assert (got.a, got.b, got.z) == ("1", None, None) and '"d"' in got.c
-    assert one(spark, "[1]", keys(F.col("v"))) is None
+    assert one(spark, "[1]", keys(F.try_parse_json("v"))) is None
 
 
 def test_bots(spark):

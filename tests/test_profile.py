@@ -1,10 +1,12 @@
 from __future__ import annotations
 
-from builders import event, label, plan, pull, raw_rows
+from builders import bronze_rows, event, label, plan, pull, raw_rows
 
 from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
-from eventlake.schema import PAYLOAD_FIELDS
+from eventlake.operators import silver as S
+from eventlake.schema import BRONZE_SCHEMA, PAYLOAD_FIELDS
+from eventlake.sources.layers import read_layer, write_by_date
 
 
 def rows(df):
@@ -65,9 +67,17 @@ def test_array_profile_per_field_and_type(spark):
     ]
 
 
-def test_array_profile_decodes_the_payload_once(spark):
-    df = P.array_field_profile(raw_rows(spark, [event()]))
-    assert plan(df).count("from_json") == 1
+def test_reports_do_not_parse_the_payload(spark, folder):
+    write_by_date(bronze_rows(spark, [event("1", payload={"ref": "a"}), pull("2", label("x"))]), f"{folder}/b")
+    stored = read_layer(spark, f"{folder}/b", schema=BRONZE_SCHEMA)
+    reports = [
+        P.array_field_profile(stored), P.array_size_stats(stored), P.payload_field_presence(stored),
+        P.payload_union_schema(stored), P.payload_keys_by_type(stored), Q.missing_payload_fields(stored),
+    ]
+    for df in reports:
+        assert "payload:" in plan(df) and df.collect() is not None
+    for df in [*reports, S.silver(stored)]:
+        assert "from_json" not in plan(df) and "parseJson" not in plan(df)
 
 
 def test_field_presence(spark):

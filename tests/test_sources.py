@@ -26,13 +26,13 @@ def test_no_files_is_an_error(spark):
         read_raw(spark, [])
 
 
-def test_reads_nested_fields_and_keeps_the_payload_text(spark, folder):
+def test_reads_nested_fields_and_keeps_the_payload_whole(spark, folder):
     path = write_hour(folder, "2024-01-01-5.json.gz", [pull("1", label("ü"), org="acme", extra=1), "", event("2")])
     raw = read_raw(spark, path)
     first = raw.orderBy("id").first()
     assert B.bronze(raw).count() == raw.count() == 2
     assert (first.actor.login, first.repo.name, first.org.login, first.public) == ("ann", "o/r", "acme", True)
-    assert json.loads(first.payload)["labels"][0] == label("ü")
+    assert json.loads(first.payload.toJson())["labels"][0] == label("ü")
     silver = S.silver(B.bronze(raw)).orderBy("event_id").collect()
     assert [(r.event_id, r.pr_label_name, r.org_login) for r in silver] == [("1", "ü", "acme"), ("2", None, None)]
 
@@ -68,6 +68,42 @@ def test_a_badly_typed_field_is_a_broken_line_everywhere(spark, folder):
     assert [r.id for r in B.broken_lines(raw).collect()] == ["9"]
 
 
+@pytest.mark.parametrize("change", [
+    {"public": "true"}, {"public": 1}, {"actor": "ann"}, {"repo": [1]}, {"org": 5},
+    {"repo": {"id": "2", "name": "r"}}, {"repo": {"id": 2.5}}, {"org": {"id": 10**20}}, {"actor": {"id": True}},
+])
+def test_no_field_is_bent_to_its_type(spark, folder, change):
+    path = write_hour(folder, "2024-01-01-5.json.gz", [event("1"), event("9") | change])
+    raw = read_raw(spark, path)
+    assert tuple(B.corrupt_count(raw).first()) == (2, 1, 1)
+    (broken,) = B.broken_lines(raw).collect()
+    assert json.loads(broken._corrupt_record) == event("9") | change
+
+
+def test_nulls_and_absent_fields_are_not_broken(spark, folder):
+    lines = [dict.fromkeys(event("1")), {}, {"id": 5, "type": None, "payload": [1], "actor": {}}, {"payload": "s"}]
+    raw = read_raw(spark, write_hour(folder, "2024-01-01-5.json.gz", lines))
+    assert tuple(B.corrupt_count(raw).first()) == (4, 0, 4)
+    got = {r.id: r.payload and r.payload.toJson() for r in raw.filter("id IS NOT NULL").collect()}
+    assert got == {"5": "[1]"}
+    assert raw.filter("payload IS NULL").count() == 2
+
+
+@pytest.mark.parametrize("line", ["[1]", "5", '"x"', "null", '{"id":"1","id":"2"}', "{"])
+def test_what_is_no_event_is_broken(spark, folder, line):
+    raw = read_raw(spark, write_hour(folder, "2024-01-01-5.json.gz", [line, "  "]))
+    assert [r._corrupt_record for r in B.broken_lines(raw).collect()] == [line] and raw.count() == 1
+
+
+def test_a_line_is_parsed_once(spark, folder):
+    path = write_hour(folder, "2024-01-01-5.json.gz", [event("1", novel=1)])
+    whole = B.bronze(read_raw(spark, path))
+    text = whole._jdf.queryExecution().executedPlan().toString()
+    # The filter on broken lines and the columns all stand on one parse.
+    assert text.count("parseJson") == 1 and text.count("FileScan") == 1
+    assert whole.count() == 1
+
+
 def test_same_event_in_two_files(spark, folder):
     paths = [write_hour(folder, f"2024-01-01-{h}.json.gz", [event("1")]) for h in (4, 5)]
     b = B.bronze(read_raw(spark, paths))
