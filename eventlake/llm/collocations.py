@@ -10,6 +10,11 @@ its parts are known to be frequent.
 A round needs to know which parts have reached the threshold. Tasks get that as two Bloom
 filters of fixed size, whatever the corpus: they let through every active phrase, and a
 few others, which a join with the exact table then removes.
+
+Almost all pairs of frequent words are rare. So during the first circle all pairs are
+also counted by hash, in a fixed number of buckets, and a pair is active only once its
+bucket has reached the threshold too. A bucket never holds less than any of its pairs, so
+no frequent pair is lost; it only keeps rare ones out of the exact counts.
 """
 
 from __future__ import annotations
@@ -27,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from eventlake.llm.shared import map_batches, stored, text_or_empty
+from eventlake.llm.shared import map_batches, share_code, stored, text_or_empty
 from eventlake.llm.words import blocks, byte_classes, gathered, split_words
 from eventlake.sources.scratch import file_store, scratch_path
 
@@ -39,8 +44,9 @@ _PROBES = tuple(np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0
 
 @dataclass(frozen=True)
 class Settings:
-    """``filter_bits``: size of a Bloom filter as a power of two. It bounds what is
-    broadcast (two filters); if more phrases are frequent than it can tell apart, more
+    """``filter_bits``, ``bucket_bits``: size of a Bloom filter, and number of buckets, as
+    powers of two. They bound what is broadcast (two filters, two bits a bucket) and what a
+    task holds (a byte a bucket); if the corpus has more than they can tell apart, more
     rows are shuffled, and the result is the same."""
 
     threshold: int = 30
@@ -49,6 +55,7 @@ class Settings:
     contained_percent: int = 80
     first: int = 2000
     filter_bits: int = 26
+    bucket_bits: int = 24
     block: int = 4 << 20
 
 
@@ -100,8 +107,84 @@ class PhraseFilter:
         return found
 
 
-def _counted(data: bytes, limit: int, lang: str, words_too: bool, known, fresh, longest: int):
-    """(length, phrases, counts) of the active phrases that begin before ``limit``."""
+class Buckets:
+    """For each bucket the round in which it reached the threshold; ``never`` before that."""
+
+    NEVER = 255
+
+    def __init__(self, bits: int):
+        self.bits, self.rounds = bits, None
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        return (hashes * _PROBES[0]) >> np.uint64(64 - self.bits)
+
+    def reached(self, t: int, bitmaps: dict[int, bytes]) -> None:
+        """Notes all buckets that have reached the threshold by round ``t``."""
+        if self.rounds is None:
+            self.rounds = np.full(1 << self.bits, self.NEVER, dtype=np.uint8)
+        for block, bits in bitmaps.items():
+            part = self.rounds[block * BLOCK : (block + 1) * BLOCK]
+            now = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(part)).astype(bool)
+            part[now & (part == self.NEVER)] = t
+
+    def __getstate__(self):
+        return self.bits, None if self.rounds is None else zlib.compress(self.rounds, 1)
+
+    def __setstate__(self, state):
+        self.bits = state[0]
+        self.rounds = None if state[1] is None else np.frombuffer(zlib.decompress(state[1]), np.uint8)
+
+    def since(self, hashes: np.ndarray) -> np.ndarray:
+        if self.rounds is None:
+            return np.full(len(hashes), self.NEVER, dtype=np.uint8)
+        return self.rounds[self.of(hashes)]
+
+
+#: Buckets that are sent and added up together.
+BLOCK = 4096
+
+
+def _bucket_task(settings: Settings):
+    """Counts of all pairs by bucket, as blocks of bytes that stop at 255."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        buckets = Buckets(settings.bucket_bits)
+        counts = np.zeros(1 << settings.bucket_bits, dtype=np.uint8)
+
+        def work(key: tuple, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
+            whole = b"\n".join(texts).lower()
+            for data, limit in blocks(whole, 2 * settings.block, CLASSES, 1):
+                w = split_words(data, CLASSES)
+                both = (w.piece[1:] == w.piece[:-1]) & (w.starts[:-1] < limit)
+                by_word = word_hashes(w.names.to_pylist(), key[0])[w.ids]
+                at, n = np.unique(buckets.of(glued(by_word[:-1], by_word[1:])[both]), return_counts=True)
+                counts[at] = np.minimum(counts[at] + n, 255)
+            yield from ()
+
+        yield from gathered(batches, settings.block, work)
+        for block, part in enumerate(counts.reshape(-1, min(BLOCK, len(counts)))):
+            if part.any():
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part.tobytes()])], ["block", "counts"])
+
+    return run
+
+
+def _add_blocks(threshold: int):
+    """The sum of one block's counts, and a bit for each bucket that has the threshold."""
+
+    def run(rows: pa.Table) -> pa.Table:
+        total = sum(np.frombuffer(c.as_buffer(), np.uint8).astype(np.int64) for c in rows.column("counts"))
+        total = np.minimum(total, 255).astype(np.uint8)
+        full = np.packbits(total >= min(threshold, 255)).tobytes()
+        return pa.table([rows.column("block")[:1], pa.array([total.tobytes()]), pa.array([full])], ["block", "counts", "full"])
+
+    return run
+
+
+def _counted(data: bytes, limit: int, lang: str, words_too: bool, t: int, known, fresh, buckets, settings: Settings):
+    """(length, phrases, counts, rounds of their buckets) of the active phrases that
+    begin before ``limit``."""
+    longest = settings.max_words
     w = split_words(data, CLASSES)
     n = len(w.ids)
     if not n:
@@ -110,7 +193,7 @@ def _counted(data: bytes, limit: int, lang: str, words_too: bool, known, fresh,
     if words_too:
         count = np.bincount(w.ids[begins], minlength=len(w.names))
         at = np.flatnonzero(count)
-        yield 1, w.names.take(pa.array(at)), count[at]
+        yield 1, w.names.take(pa.array(at)), count[at], None
     if not known.parts:
         return
     by_word = word_hashes(w.names.to_pylist(), lang)
@@ -124,6 +207,10 @@ def _counted(data: bytes, limit: int, lang: str, words_too: bool, known, fresh,
         whole = is_known[:m] & is_known[1 : m + 1] & (w.piece[:m] == w.piece[length - 1 :])
         new = is_fresh[:m] | is_fresh[1 : m + 1]
         hashes = glued(hashes[:m], by_word[w.ids[length - 1 :]])
+        if length == 2:
+            since = buckets.since(hashes)
+            whole &= since < t
+            new |= since >= t - min(t, settings.shards)
         at = np.flatnonzero(whole & new & begins[:m])
         if len(at):
             code = w.ids[at]
@@ -133,7 +220,7 @@ def _counted(data: bytes, limit: int, lang: str, words_too: bool, known, fresh,
                     code = np.unique(code, return_inverse=True)[1]
             _, first, count = np.unique(code, return_index=True, return_counts=True)
             parts = [w.names.take(pa.array(w.ids[at[first] + k])) for k in range(length)]
-            yield length, pc.binary_join_element_wise(*parts, b" "), count
+            yield length, pc.binary_join_element_wise(*parts, b" "), count, since[at[first]] if length == 2 else None
         if length < longest:
             here = np.flatnonzero(whole)
             is_known, is_fresh = np.zeros(m, dtype=bool), np.zeros(m, dtype=bool)
@@ -143,23 +230,24 @@ def _counted(data: bytes, limit: int, lang: str, words_too: bool, known, fresh,
                 return
 
 
-def _count_task(filters, words_too: bool, settings: Settings):
+def _count_task(filters, words_too: bool, t: int, settings: Settings):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, fresh = filters.value
+        known, fresh, buckets = filters.value
 
         def work(key: tuple, texts: list[bytes]) -> Iterator[pa.RecordBatch]:
             # The line end between two texts ends a piece.
             whole = b"\n".join(texts).lower()
             for data, limit in blocks(whole, 2 * settings.block, CLASSES, settings.max_words - 1):
-                got = _counted(data, limit, key[0], words_too, known, fresh, settings.max_words)
-                for length, phrases, count in got:
+                got = _counted(data, limit, key[0], words_too, t, known, fresh, buckets, settings)
+                for length, phrases, count, since in got:
                     columns = [
                         pa.repeat(pa.scalar(key[0], pa.string()), len(count)),
                         phrases.cast(pa.string()),
                         pa.repeat(pa.scalar(length, pa.int32()), len(count)),
                         pa.array(count, pa.int64()),
+                        pa.nulls(len(count), pa.int32()) if since is None else pa.array(since, pa.int32()),
                     ]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "len", "n"])
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "len", "n", "since"])
 
         yield from gathered(batches, settings.block, work)
 
@@ -225,9 +313,11 @@ def frequent_phrases(docs: DataFrame, settings: Settings = Settings()) -> Counts
     by_round: list[PhraseFilter] = []
     older = empty
     done_paths: list[str] = []
-    open_path, last, t = None, None, 0
+    buckets = Buckets(settings.bucket_bits)
+    open_path, sums, last, t = None, None, None, 0
     totals = _rows(spark, "lang string, words long", [])
-    while t < shards or (last is not None and t <= last + shards):
+    # The last pairs begin when their buckets are complete, longer phrases after their parts.
+    while t < shards or (last is not None and t <= max(last, shards - 1) + shards):
         state = _rows(spark, STATE, [open_path] if open_path else [])
         complete = _rows(spark, STATE, done_paths)
         reached = state.unionByName(complete).filter(F.col("reach").isNotNull() & (F.col("len") < settings.max_words))
@@ -237,21 +327,38 @@ def frequent_phrases(docs: DataFrame, settings: Settings = Settings()) -> Counts
             older |= by_round.pop(0)
         # Fresh: a phrase made of it may still have shards to see.
         fresh = reduce(or_, by_round, empty)
-        filters = spark.sparkContext.broadcast((older | fresh, fresh))
+        filters = spark.sparkContext.broadcast((older | fresh, fresh, buckets))
         shard = _rows(spark, "lang string, text binary", [f"{dealt}/shard={t % shards}"])
         seen = shard.transform(
-            map_batches, _count_task(filters, t < shards, settings), "lang string, phrase string, len int, n long"
+            map_batches, _count_task(filters, t < shards, t, settings),
+            "lang string, phrase string, len int, n long, since int",
         )
         none = F.lit(None).cast("int")
-        now = (
-            state.unionByName(seen.withColumns({"start": none, "reach": none}))
+        now_path = scratch_path(spark, "now")
+        (
+            state.withColumn("since", none)
+            .unionByName(seen.withColumns({"start": none, "reach": none}))
             .groupBy("lang", "phrase")
-            .agg(F.max("len").alias("len"), F.max("start").alias("start"), F.sum("n").alias("n"), F.max("reach").alias("reach"))
+            .agg(*(F.max(c).alias(c) for c in ("len", "start", "reach", "since")), F.sum("n").alias("n"))
             .withColumn("start", F.when(F.col("len") == 1, F.lit(0)).otherwise(F.col("start")))
+            .write.parquet(now_path)
         )
-        counted = now.filter(F.col("start").isNotNull())
+        # Written, so that the shard is scanned once.
+        now = _rows(spark, f"{STATE}, since int", [now_path])
+        counted = now.filter(F.col("start").isNotNull()).drop("since")
         if t:
             counted = counted.unionByName(_started(now.filter(F.col("start").isNull()), reached, t, shards))
+        if t < shards:
+            added = _rows(spark, "block int, counts binary", [sums] if sums else []).unionByName(
+                shard.transform(map_batches, _bucket_task(settings), "block int, counts binary")
+            )
+            share_code(spark)
+            sums = scratch_path(spark, "buckets")
+            added.groupBy("block").applyInArrow(
+                _add_blocks(settings.threshold), "block int, counts binary, full binary"
+            ).write.parquet(sums)
+            # A bit for each bucket.
+            buckets.reached(t, {r.block: bytes(r.full) for r in _rows(spark, "block int, full binary", [sums]).collect()})
         counted = counted.withColumn(
             "reach", F.coalesce("reach", F.when(F.col("n") >= settings.threshold, F.lit(t).cast("int")))
         ).withColumn("done", F.col("start") + shards <= t + 1)
@@ -272,6 +379,7 @@ def frequent_phrases(docs: DataFrame, settings: Settings = Settings()) -> Counts
             store.delete(file_store(spark, open_path)[0], True)
         open_path = f"{path}/done=false"
         done_paths.append(f"{path}/done=true")
+        store.delete(file_store(spark, now_path)[0], True)
         filters.unpersist()
         t += 1
     store.delete(root, True)
@@ -293,7 +401,8 @@ def _rows(spark: SparkSession, schema: str, paths: list[str]) -> DataFrame:
 
 def _started(rows: DataFrame, reached: DataFrame, t: int, shards: int) -> DataFrame:
     """Of phrases met for the first time those that are active, with the round they
-    became so: the one after the later of their two parts reached the threshold."""
+    became so: the one after both their parts, and the bucket of a pair, reached the
+    threshold."""
     def part(side: str) -> DataFrame:
         names = {"lang": f"{side}_lang", "phrase": f"{side}_phrase", "reach": f"{side}_reach"}
         return reached.select(*(F.col(c).alias(n) for c, n in names.items()))
@@ -302,8 +411,10 @@ def _started(rows: DataFrame, reached: DataFrame, t: int, shards: int) -> DataFr
     both = rows.withColumns({"head": _first("len - 1"), "tail": _first("1 - len")})
     both = both.join(head, (F.col("lang") == F.col("head_lang")) & (F.col("head") == F.col("head_phrase")))
     both = both.join(tail, (F.col("lang") == F.col("tail_lang")) & (F.col("tail") == F.col("tail_phrase")))
-    start = (F.greatest("head_reach", "tail_reach") + 1).cast("int")
-    return both.withColumn("start", start).filter(F.col("start") + shards > t).select(*rows.columns)
+    start = (F.greatest("head_reach", "tail_reach", "since") + 1).cast("int")
+    return both.withColumn("start", start).filter(F.col("start") + shards > t).drop("since").select(
+        *(c for c in rows.columns if c != "since")
+    )
 
 
 def _exact(x: Column) -> Column:
