@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+@contextmanager
+def shared(df: DataFrame) -> Iterator[DataFrame]:
+    """Keeps a bounded input for several actions and releases it afterwards."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
 def one_row_per(
     df: DataFrame, keys: Sequence[str], lowest: Sequence[str] = ()
 ) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions.payload import key_seen, keys
@@ -24,6 +25,54 @@ def require_equal(what: str, expected: int, actual: int) -> None:
         raise CheckFailed(f"{what}: expected {expected}, found {actual}")
 
 
+#: Dates whose rows are counted exactly in one pass; with more, totals and digest remain.
+DATES_COUNTED = 20_000
+
+
+@dataclass(frozen=True)
+class Content:
+    """What a layer holds: rows, an order-free digest of all values, rows by date ('': none)."""
+
+    rows: int
+    digest: int
+    by_date: dict[str, int]
+
+    @staticmethod
+    def of(row: Mapping) -> Content:
+        dates = {item: n for item, n in row["dates"] or [] if item is not None}
+        return Content(int(row["rows"]), int(row["digest"] or 0), dates)
+
+
+def content_columns(df: DataFrame) -> list[Column]:
+    """Aggregates for ``Content``, for ``agg`` and ``observe`` alike.
+
+    The digest is a sum over rows, so neither order nor the tasks matter, and repeated
+    rows count. A row is hashed as JSON with the names of its fields: a value that moves
+    to another column, or a row that moves to another date, changes it.
+    """
+    whole = F.to_json(F.struct(*sorted(df.columns)))
+    date_text = F.coalesce(F.col("event_date").cast("string"), F.lit(""))
+    # Exact as long as there are fewer dates than the sketch has room for.
+    counts = F.call_function("approx_top_k", date_text, F.lit(DATES_COUNTED // 2), F.lit(DATES_COUNTED))
+    return [
+        F.count(F.lit(1)).alias("rows"),
+        F.sum(F.xxhash64(whole).cast("decimal(20,0)")).alias("digest"),
+        counts.alias("dates"),
+    ]
+
+
+def content(df: DataFrame) -> Content:
+    return Content.of(df.agg(*content_columns(df)).first().asDict())
+
+
+def require_same_content(what: str, written: Content, stored: Content) -> None:
+    require_equal(what, written.rows, stored.rows)
+    for day in sorted(written.by_date.keys() | stored.by_date.keys()):
+        require_equal(f"{what} on {day or 'no date'}", written.by_date.get(day, 0), stored.by_date.get(day, 0))
+    if written.digest != stored.digest:
+        raise CheckFailed(f"{what}: {written.rows} rows as expected, but other values")
+
+
 def silver_reconcile(silver: DataFrame) -> DataFrame:
     """Rows, distinct events, labelled rows and the surplus rows labels cause.
 
@@ -156,6 +205,23 @@ def missing_hours(
     return wanted.join(present, ["event_date", "hour"], "left_anti")
 
 
+def short_hours(counts: DataFrame, around: int = 12, share: float = 0.5) -> DataFrame:
+    """Hours that are there but hold less than ``share`` of the usual: of the median over
+    the hours up to ``around`` before and after, their own included.
+
+    ``counts`` (event_date, hour, lines) has a row for each hour with a file, 24 a day at
+    most, so one task can hold them; hours without a file are ``missing_files``.
+    """
+    number = F.unix_date("event_date") * 24 + F.col("hour")
+    near = Window.orderBy("number").rangeBetween(-around, around)
+    # At most 2 * around + 1 values; a percentile takes no frame.
+    values = F.sort_array(F.collect_list("lines").over(near))
+    with_values = counts.withColumn("number", number).withColumn("near", values)
+    middle = [F.get("near", F.floor((F.size("near") - 1 + i) / 2).cast("int")) for i in (0, 1)]
+    with_median = with_values.withColumn("usual", (middle[0] + middle[1]) / 2)
+    return with_median.filter(F.col("lines") < share * F.col("usual")).select("event_date", "hour", "lines", "usual")
+
+
 def missing_hours_by(events: DataFrame, key: str) -> DataFrame:
     """For each value of ``key``, hours without an event between its first and last day.
 

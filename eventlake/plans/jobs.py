@@ -6,11 +6,9 @@ a run to those days and replaces only their directories.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,16 +28,6 @@ from eventlake.sources.scratch import file_store, scratch_path
 GOLD_TABLES = ("top_repos_by_stars", "events_by_hour", "top_actors")
 
 
-@contextmanager
-def shared(df: DataFrame) -> Iterator[DataFrame]:
-    """Keeps a narrow input for several actions and releases it afterwards."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        yield kept
-    finally:
-        kept.unpersist()
-
-
 def run_bronze(
     spark: SparkSession,
     paths: Sequence[str],
@@ -67,9 +55,9 @@ def run_bronze(
         F.count(F.col(CORRUPT)).alias("broken"),
         F.count_if(fits).alias("kept"),
     )
-    write_by_date(
-        counted.filter(fits).drop(CORRUPT), f"{lake}/bronze", only=_in_range(start, end)
-    )
+    kept, written = counted.filter(fits).drop(CORRUPT), Observation()
+    watched = kept.observe(written, *Q.content_columns(kept))
+    write_by_date(watched, f"{lake}/bronze", only=_in_range(start, end))
     counts = {k: int(v) for k, v in seen.get.items()}
 
     aside = raw.filter(~fits)
@@ -77,8 +65,8 @@ def run_bronze(
         aside = spark.createDataFrame([], aside.schema)
     write_table(aside, f"{lake}/quarantine/{_range_name(start, end)}")
 
-    stored = read_layer(spark, f"{lake}/bronze", start, end, BRONZE_SCHEMA).count()
-    Q.require_equal("events read back from bronze", counts["kept"], stored)
+    stored = read_layer(spark, f"{lake}/bronze", start, end, BRONZE_SCHEMA)
+    Q.require_same_content("events read back from bronze", Q.Content.of(written.get), Q.content(stored))
     return counts
 
 
@@ -128,7 +116,10 @@ def run_silver(
         F.count_if(labelled).alias("rows_with_label"),
         F.count_if(labelled & ~F.col("type").eqNullSafe(PULL_REQUEST)).alias("leaked"),
     )
-    write_by_date(counted.drop("opens_event"), path, only=only, gather=True)
+    kept, written = counted.drop("opens_event"), Observation()
+    if verify:
+        kept = kept.observe(written, *Q.content_columns(kept))
+    write_by_date(kept, path, only=only, gather=True)
     found = {k: int(v) for k, v in seen.get.items()}
     if others:
         index.refresh()
@@ -138,7 +129,7 @@ def run_silver(
     leaked = found.pop("leaked")
     if verify:
         stored = read_layer(spark, path, start, end, SILVER_SCHEMA)
-        Q.require_equal("rows in silver", found["rows"], stored.count())
+        Q.require_same_content("rows in silver", Q.Content.of(written.get), Q.content(stored))
         Q.require_equal("rows with leaked labels", 0, leaked)
         if only is None:
             labels = Q.label_row_expectation(S.gate_labels(source), stored).first()

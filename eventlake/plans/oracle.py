@@ -117,6 +117,14 @@ _BODIES: dict[str, str] = {
                 CAST((SELECT max(event_date) FROM raw) AS TIMESTAMP) + INTERVAL 71 HOUR,
                 INTERVAL 1 HOUR)) AS t)
         WHERE t NOT IN (SELECT date_trunc('hour', created_at) FROM raw)""",
+    "short_hours": """
+        SELECT event_date, hour, lines, usual FROM (
+          SELECT event_date, hour, lines, median(lines) OVER (
+            ORDER BY date_diff('day', DATE '1970-01-01', event_date) * 24 + hour
+            RANGE BETWEEN 12 PRECEDING AND 12 FOLLOWING) AS usual
+          FROM (SELECT event_date, hour, count(*) AS lines FROM raw
+            WHERE (day(event_date) * 24 + hour) % 29 <> 3 OR n % 4 = 0 GROUP BY 1, 2))
+        WHERE lines < 0.5 * usual""",
     "missing_hours_by_actor": """
         SELECT actor_login, CAST(t AS DATE) AS event_date, CAST(hour(t) AS INTEGER) AS hour
         FROM (SELECT actor_login, unnest(generate_series(

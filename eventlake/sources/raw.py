@@ -99,6 +99,25 @@ def read_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return spark.read.text(paths)
 
 
+def lines_per_hour(spark: SparkSession, root: str) -> DataFrame:
+    """(event_date, hour, lines) of the raw files by the hour in their names.
+
+    Lines are counted as they are, so that a file that ends too early shows.
+    """
+    lines = (
+        spark.read.option("pathGlobFilter", "*.json.gz").text(root)
+        .filter(F.trim("value") != "")
+        .groupBy(F.col("_metadata.file_name").alias("file_name"))
+        .agg(F.count(F.lit(1)).alias("lines"))
+    )
+    part = [F.regexp_extract("file_name", r"^(\d{4}-\d{2}-\d{2})-(\d{1,2})\.", i) for i in (1, 2)]
+    hours = lines.select(
+        F.expr("try_to_date(regexp_extract(file_name, '^([0-9]{4}-[0-9]{2}-[0-9]{2})-[0-9]{1,2}[.]', 1))").alias("event_date"),
+        F.when(part[1] != "", part[1].cast("int")).alias("hour"), "lines",
+    )
+    return hours.filter(F.col("event_date").isNotNull()).groupBy("event_date", "hour").agg(F.sum("lines").alias("lines"))
+
+
 def raw_glob(root: str, start: date, end: date) -> str:
     """Path pattern for every hourly file of an inclusive date range."""
     if end < start:

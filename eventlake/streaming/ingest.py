@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from eventlake.operators.bronze import bronze, broken_lines, is_broken
-from eventlake.schema import CORRUPT
+from eventlake.operators.keep import shared
 from eventlake.sources.raw import parse_lines
 
 BATCH = "batch"
@@ -27,6 +27,18 @@ def new_raw_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000)
     return parse_lines(lines.withColumn("source_file", F.col("_metadata.file_name")), "source_file")
 
 
+def write_batch(rows: DataFrame, number: int, path: str, *by: str) -> None:
+    """Rows of one batch to directories of its own, which they replace."""
+    (
+        rows.withColumn(BATCH, F.lit(number))
+        .sortWithinPartitions(*(c for c in ("event_date", "type") if c in rows.columns))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by, BATCH)
+        .parquet(path)
+    )
+
+
 def store_batch(target: str):
     """Writes one batch of parsed lines: events to Bronze, broken lines aside.
 
@@ -35,21 +47,11 @@ def store_batch(target: str):
     """
 
     def run(rows: DataFrame, number: int) -> None:
-        marked = rows.withColumn("broken", is_broken(rows)).persist()
-        try:
-            good = bronze(marked.filter(~F.col("broken")).drop("broken", CORRUPT, "source_file"))
+        with shared(rows.withColumn("broken", is_broken(rows))) as marked:
+            good = bronze(marked.filter(~F.col("broken")).drop("broken", "source_file"))
             aside = broken_lines(marked.filter("broken").drop("broken"))
             for part, name in ((good, "bronze"), (aside, "quarantine")):
-                (
-                    part.withColumn(BATCH, F.lit(number))
-                    .sortWithinPartitions(*(c for c in ("event_date", "type") if c in part.columns))
-                    .write.mode("overwrite")
-                    .option("partitionOverwriteMode", "dynamic")
-                    .partitionBy(*(["event_date"] if name == "bronze" else []), BATCH)
-                    .parquet(f"{target}/{name}")
-                )
-        finally:
-            marked.unpersist()
+                write_batch(part, number, f"{target}/{name}", *(["event_date"] if name == "bronze" else []))
 
     return run
 

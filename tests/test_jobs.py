@@ -7,6 +7,8 @@ from builders import event, label, pull, write_hour
 from pyspark.sql import functions as F
 
 from eventlake.__main__ import parse_args, run
+from eventlake.operators import quality as Q
+from eventlake.operators.keep import shared
 from eventlake.operators.quality import CheckFailed
 from eventlake.plans import jobs
 from eventlake.sources.layers import read_layer
@@ -159,6 +161,41 @@ def test_a_lost_row_fails_the_job(spark, raw, folder, monkeypatch):
         jobs.run_bronze(spark, [f"{raw}/*.json.gz"], f"{folder}/lake")
 
 
+@pytest.mark.parametrize("change, message", [
+    (lambda df: df.withColumn("event_date", F.when(F.col("id") == "t", F.lit(D1)).otherwise(F.col("event_date"))), "on 2024-01-0"),
+    (lambda df: df.withColumn("event_date", F.when(F.col("id") == "junk", F.lit(D1)).otherwise(F.col("event_date"))), "on no date"),
+    (lambda df: df.withColumn("public", ~F.col("public")), "other values"),
+    (lambda df: df.withColumn("payload", F.when(F.col("id") != "p1", F.col("payload"))), "other values"),
+    (lambda df: df.withColumn("org", F.lit(None).cast(df.schema["org"].dataType)).withColumn(
+        "actor", F.col("actor").withField("login", F.col("actor.url")).withField("url", F.col("actor.login"))), "other values"),
+    (lambda df: df.filter("id <> 'd'").unionByName(df.filter("id = 's0'")).unionByName(df.filter("id = 's1'")), "other values"),
+])
+def test_a_change_on_the_way_to_disk_fails_the_job(spark, raw, folder, monkeypatch, change, message):
+    real = jobs.write_by_date
+    monkeypatch.setattr(jobs, "write_by_date", lambda df, *a, **k: real(change(df), *a, **k))
+    with pytest.raises(CheckFailed, match=message):
+        jobs.run_bronze(spark, [f"{raw}/*.json.gz"], f"{folder}/lake")
+
+
+def test_a_label_that_changes_on_the_way_fails_silver(spark, raw, folder, monkeypatch):
+    lake = f"{folder}/lake"
+    jobs.run_bronze(spark, [f"{raw}/*.json.gz"], lake)
+    real = jobs.write_by_date
+    other = F.when(F.col("pr_label_name") == "y", "z").otherwise(F.col("pr_label_name"))
+    monkeypatch.setattr(jobs, "write_by_date", lambda df, *a, **k: real(df.withColumn("pr_label_name", other), *a, **k))
+    with pytest.raises(CheckFailed, match="other values"):
+        jobs.run_silver(spark, lake)
+
+
+def test_content_is_free_of_order_and_counts_repeats(spark):
+    rows = spark.createDataFrame([(1, D1), (2, D2), (2, D2), (3, None)], "n int, event_date date")
+    found = Q.content(rows)
+    assert found == Q.content(rows.orderBy("n", ascending=False).repartition(3))
+    assert found.by_date == {"2024-01-01": 1, "2024-01-02": 2, "": 1} and found.rows == 4
+    assert found.digest != Q.content(rows.distinct()).digest
+    assert Q.content(rows.limit(0)) == Q.Content(0, 0, {})
+
+
 def test_lost_events_fail_silver(spark, raw, folder, monkeypatch):
     lake = f"{folder}/lake"
     jobs.run_bronze(spark, [f"{raw}/*.json.gz"], lake)
@@ -171,7 +208,7 @@ def test_lost_events_fail_silver(spark, raw, folder, monkeypatch):
 def test_shared_input_is_released(spark):
     df = spark.range(10)
     with pytest.raises(ZeroDivisionError):
-        with jobs.shared(df) as kept:
+        with shared(df) as kept:
             assert kept.count() == 10 and kept.is_cached
             1 / 0
     assert not df.is_cached

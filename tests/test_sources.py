@@ -15,7 +15,7 @@ from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.schema import BRONZE_SCHEMA
 from eventlake.sources.layers import file_layout, partition_layout, read_layer, write_by_date
-from eventlake.sources.raw import missing_files, raw_glob, read_lines, read_raw
+from eventlake.sources.raw import lines_per_hour, missing_files, raw_glob, read_lines, read_raw
 from eventlake.sources.scratch import scratch_path
 
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
@@ -128,6 +128,22 @@ def test_missing_files(spark, folder):
     assert missing_files(spark, folder, D1, D2).count() == 26
 
 
+def test_short_hours(spark, folder):
+    for hour in range(24):
+        n = 2 if hour == 7 else 0 if hour == 9 else 10 + hour % 3
+        if hour != 12:
+            write_hour(folder, f"2024-01-01-{hour}.json.gz", [event(str(i)) for i in range(n)])
+    write_hour(folder, "2024-01-02-0.json.gz", [event("x")] * 6)
+    write_hour(folder, "2024-01-02-0.1.json.gz", [event("x")] * 6)
+    write_hour(folder, "notes.json.gz", ["x"])
+    counts = lines_per_hour(spark, folder)
+    # An empty file has no lines and is no hour here; two files of one hour are added up.
+    assert counts.count() == 23 and counts.filter("hour = 0").agg({"lines": "sum"}).first()[0] == 22
+    found = [(r.event_date, r.hour, r.lines) for r in Q.short_hours(counts).collect()]
+    assert found == [(D1, 7, 2)]
+    assert Q.short_hours(counts.limit(0)).collect() == []
+
+
 def test_manifest(spark):
     assert Q.hour_manifest(spark, D1, D2).count() == 48
     with pytest.raises(ValueError):
