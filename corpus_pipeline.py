@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from eventlake.llm import decontaminate, lines, nearcopies, packing, secrets
+from eventlake.llm import decontaminate, lines, packing, secrets, simhash
 from eventlake.llm.shared import stored, table
 
 
@@ -18,8 +18,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five-word Jaccard of 0.8 or more."""
-    return nearcopies.without_near_copies(docs)
+    """One document of each group stays: SimHash of three-word shingles, linked within three bits."""
+    return simhash.without_near_duplicates(docs)
 
 
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +45,7 @@ STAGES = [
     ("pack", pack),
 ]
 
-#: SQL has no MinHash, edit distance or tokenizer; tests hold each stage against plain code.
+#: SQL has no xxHash, edit distance or tokenizer; tests hold each stage against plain code.
 ORACLE_SQL = None
 
 
