@@ -32,6 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
+from eventlake.llm.hashfilter import HashFilter, filter_of, probes
 from eventlake.llm.shared import map_batches, share_code, stored, text_or_empty
 from eventlake.llm.words import blocks, byte_classes, gathered, split_words
 from eventlake.sources.scratch import file_store, scratch_path
@@ -39,7 +40,6 @@ from eventlake.sources.scratch import file_store, scratch_path
 # White space between words, and what ends a piece.
 CLASSES = byte_classes(b" \t", b".,;:!?\n\x0b\x0c\r")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
-_PROBES = tuple(np.uint64(x) for x in (0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93))
 
 
 @dataclass(frozen=True)
@@ -69,44 +69,6 @@ def glued(phrase: np.ndarray, word: np.ndarray) -> np.ndarray:
     return (phrase ^ (phrase >> np.uint64(31))) * _MIX + word
 
 
-def probes(hashes: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [(hashes * c) >> np.uint64(64 - bits) for c in _PROBES]
-
-
-class PhraseFilter:
-    """A Bloom filter as its filled parts of 4 KB; without any it lets nothing through."""
-
-    def __init__(self, bits: int, parts: dict[int, bytes]):
-        self.bits, self.parts = bits, parts
-        self._bytes: np.ndarray | None = None
-
-    def __or__(self, other: PhraseFilter) -> PhraseFilter:
-        parts = dict(self.parts)
-        for bucket, content in other.parts.items():
-            if bucket in parts:
-                content = (np.frombuffer(content, np.uint8) | np.frombuffer(parts[bucket], np.uint8)).tobytes()
-            parts[bucket] = content
-        return PhraseFilter(self.bits, parts)
-
-    def __getstate__(self):
-        return self.bits, {k: zlib.compress(v, 1) for k, v in self.parts.items()}
-
-    def __setstate__(self, state):
-        self.__init__(state[0], {k: zlib.decompress(v) for k, v in state[1].items()})
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        if not self.parts:
-            return np.zeros(len(hashes), dtype=bool)
-        if self._bytes is None:
-            self._bytes = np.zeros(max(4096, 1 << self.bits >> 3), dtype=np.uint8)
-            for bucket, content in self.parts.items():
-                self._bytes[(bucket - 1) * 4096 : bucket * 4096] = np.frombuffer(content, dtype=np.uint8)
-        found = np.ones(len(hashes), dtype=bool)
-        for p in probes(hashes, self.bits):
-            found &= (self._bytes[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-        return found
-
-
 class Buckets:
     """For each bucket the round in which it reached the threshold; ``never`` before that."""
 
@@ -116,7 +78,7 @@ class Buckets:
         self.bits, self.rounds = bits, None
 
     def of(self, hashes: np.ndarray) -> np.ndarray:
-        return (hashes * _PROBES[0]) >> np.uint64(64 - self.bits)
+        return probes(hashes, self.bits)[0]
 
     def reached(self, t: int, bitmaps: dict[int, bytes]) -> None:
         """Notes all buckets that have reached the threshold by round ``t``."""
@@ -254,33 +216,23 @@ def _count_task(filters, words_too: bool, t: int, settings: Settings):
     return run
 
 
-def _probe_task(bits: int):
-    """Places in the filter of each phrase, counted from 1 as Spark's bitmaps do."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")), strict=True)
-            hashes = []
-            for lang, phrase in rows:
-                by_word = word_hashes(phrase.encode().split(b" "), lang)
-                h = by_word[:1]
-                for k in range(1, len(by_word)):
-                    h = glued(h, by_word[k : k + 1])
-                hashes.append(h)
-            found = probes(np.concatenate(hashes) if hashes else np.zeros(0, np.uint64), bits)
-            for p in found:
-                yield pa.RecordBatch.from_arrays([pa.array((p + np.uint64(1)).astype(np.int64))], ["place"])
-
-    return run
+def _hash_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        hashes = []
+        rows = zip(*(batch.column(c).to_pylist() for c in ("lang", "phrase")), strict=True)
+        for lang, phrase in rows:
+            by_word = word_hashes(phrase.encode().split(b" "), lang)
+            h = by_word[:1]
+            for k in range(1, len(by_word)):
+                h = glued(h, by_word[k : k + 1])
+            hashes.append(h)
+        found = np.concatenate(hashes) if hashes else np.zeros(0, np.uint64)
+        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["hash"])
 
 
-def _filter_of(phrases: DataFrame, bits: int) -> PhraseFilter:
-    """The driver gets bitmaps of 4 KB, 2 ** bits / 32768 at most."""
-    places = phrases.select("lang", "phrase").transform(map_batches, _probe_task(bits), "place long")
-    bitmaps = places.groupBy(F.bitmap_bucket_number("place").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits")
-    )
-    return PhraseFilter(bits, {row.bucket: bytes(row.bits) for row in bitmaps.collect()})
+def _filter_of(phrases: DataFrame, bits: int) -> HashFilter:
+    hashes = phrases.select("lang", "phrase").transform(map_batches, _hash_task, "hash long")
+    return filter_of(hashes, bits)
 
 
 def _first(words: Column | int) -> Column:
@@ -308,9 +260,9 @@ def frequent_phrases(docs: DataFrame, settings: Settings = Settings()) -> Counts
     dealt_rows = texts.filter(F.length("text") > 0).withColumn("shard", F.monotonically_increasing_id() % shards)
     dealt_rows.write.partitionBy("shard").option("compression", "zstd").parquet(dealt)
     root, store = file_store(spark, dealt)
-    empty = PhraseFilter(settings.filter_bits, {})
+    empty = HashFilter(settings.filter_bits, {})
     # Of each round: what reached the threshold in it. Older than a circle: all in one.
-    by_round: list[PhraseFilter] = []
+    by_round: list[HashFilter] = []
     older = empty
     done_paths: list[str] = []
     buckets = Buckets(settings.bucket_bits)

@@ -3,8 +3,11 @@
 Normalised lines are hashed, and for each host (``source``) and line the distinct
 documents are counted. Lines over the limit are removed; a document that loses too
 much is rejected. Copies must not make each other's lines frequent, so the near copies of
-a text (five-word Jaccard of 0.8 or more, see ``nearcopies``) count as one document. The limit
-grows with the host, so that a verdict does not depend on how much of a host is at hand.
+a text (five-word Jaccard of 0.8 or more, see ``nearcopies``) count as one document. Lines
+are counted by distinct texts first: there are never fewer of these, so only documents
+with a line over the limit by that count are looked at for near copies. The limit grows with
+the host, by its distinct texts, so that a verdict does not depend on how much of a host is
+at hand.
 """
 
 from __future__ import annotations
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from eventlake.llm import nearcopies
+from eventlake.llm.hashfilter import filter_of, mostly_in
 from eventlake.llm.shared import map_batches, stored, text_or_empty, word_blocks
 
 SYMBOLS = b"#*$%&|<>"
@@ -31,7 +35,7 @@ class Limits:
     """What fails a document. A line is removed if it is in more than ``max_documents``
     and more than ``max_share`` of the distinct documents of its host, and has
     ``min_line_words`` words or more. ``min_left``: the share of its words that a document
-    must keep."""
+    must keep. ``filter_bits``: size of a filter that is broadcast, as a power of two."""
 
     min_words: int = 10
     window: int = 5
@@ -40,6 +44,7 @@ class Limits:
     max_share: float = 0.04
     min_line_words: int = 3
     min_left: float = 0.3
+    filter_bits: int = 26
 
 
 def repeated_words(data: bytes, window: int) -> tuple[int, int]:
@@ -79,18 +84,6 @@ def line_hash(line: bytes) -> int:
     return xxhash.xxh64_intdigest(normal(line)) - (1 << 63)
 
 
-def signature(data: bytes, shingle: int = 5) -> int:
-    """Smallest hash over the word shingles: equal for copies, mostly for near copies."""
-    low, carried = None, []
-    for block in word_blocks(data):
-        block = carried + block
-        cut = range(max(1, len(block) - shingle + 1))
-        found = min(xxhash.xxh64_intdigest(b" ".join(block[i : i + shingle])) for i in cut)
-        low = found if low is None else min(low, found)
-        carried = block[max(0, len(block) - shingle + 1) :]
-    return (low or 0) - (1 << 63)
-
-
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -135,7 +128,7 @@ def measured(docs: DataFrame, window: int = 5, min_line_words: int = 3) -> DataF
     ``min_line_words`` are not listed.
 
     ``same`` is a hash of source and text: with doc_id it names a row, and rows for
-    which all three are equal get equal decisions. ``sig`` is the same for near copies.
+    which all three are equal get equal decisions. ``node`` is a hash of the text.
     """
     source = F.col("source").cast("string")
     rows = docs.select(
@@ -146,47 +139,53 @@ def measured(docs: DataFrame, window: int = 5, min_line_words: int = 3) -> DataF
         text_or_empty().cast("binary").alias("text"),
     )
     counts = ", ".join(f"{c} long" for c in COUNTS)
-    figures = rows.transform(
+    return rows.transform(
         map_batches, _measure(window, min_line_words),
         f"doc_id long, source string, same long, node long, {counts}, line array<long>, line_words array<long>",
     )
-    # Only texts that have near copies are in this list.
-    copies = nearcopies.classes(docs.select("doc_id", "text")).filter("root != node").select(
-        F.col("node").alias("node_"), "root"
-    )
-    return figures.join(copies, figures.node == copies.node_, "left").select(
-        "doc_id", "source", "same", *COUNTS, F.coalesce("root", "node").alias("sig"), "line", "line_words"
-    )
 
 
 def _same() -> Column:
     return F.xxhash64(F.coalesce(F.col("source").cast("string"), F.lit("\0")), text_or_empty())
 
 
-def frequent_lines(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
-    """(source, line) of the lines over the limit, with their documents counted."""
-    hosts = rows.groupBy("source").agg(F.count_distinct("sig").alias("all_")).select(
-        F.col("source").alias("host_"), "all_"
-    )
-    by_line = (
-        rows.select("source", "sig", F.explode("line").alias("line"))
-        .distinct()
-        .groupBy("source", "line")
-        .agg(F.count(F.lit(1)).alias("documents"))
-        .filter(F.col("documents") > limits.max_documents)
-    )
+def _over_limit(held: DataFrame, hosts: DataFrame, limits: Limits) -> DataFrame:
+    """(source, line, documents) over the limit; ``held``: distinct (source, line, document)."""
+    by_line = held.groupBy("source", "line").agg(F.count(F.lit(1)).alias("documents"))
+    by_line = by_line.filter(F.col("documents") > limits.max_documents)
     return by_line.join(hosts, F.col("source").eqNullSafe(F.col("host_"))).filter(
         F.col("documents") > limits.max_share * F.col("all_")
     ).select("source", "line", "documents")
 
 
-def judged(rows: DataFrame, limits: Limits = Limits()) -> DataFrame:
+def frequent_lines(rows: DataFrame, docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
+    """(source, line) of the lines over the limit, with their documents counted; ``rows``
+    are the measured rows of ``docs``."""
+    hosts = stored(
+        rows.groupBy("source").agg(F.count_distinct("node").alias("all_")).select(F.col("source").alias("host_"), "all_"),
+        "hosts",
+    )
+    lines = rows.select("source", "node", F.explode("line").alias("line"))
+    often = stored(_over_limit(lines.distinct(), hosts, limits), "often").select(
+        F.col("source").alias("often_source"), F.col("line").alias("often_line")
+    )
+    same = lines.source.eqNullSafe(often.often_source) & (lines.line == often.often_line)
+    held = stored(lines.join(often, same, "left_semi").distinct(), "held")
+    # Most texts hold no such line: a filter of fixed size keeps them out of the join.
+    nodes = stored(held.select("node").distinct(), "holders")
+    texts = docs.select(nearcopies.node().alias("node"), text_or_empty().cast("binary").alias("text"))
+    few = mostly_in(texts, filter_of(nodes.select(F.col("node").alias("hash")), limits.filter_bits))
+    roots = nearcopies.classes(stored(few.join(nodes, "node", "left_semi"), "held_texts"))
+    return _over_limit(held.join(roots, "node").select("source", "line", "root").distinct(), hosts, limits)
+
+
+def judged(rows: DataFrame, docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """Adds ``removed`` (hashes of the lines to remove), ``n_left``, ``base_failed``
     and ``kept`` to measured rows."""
     lines = rows.select(
         "doc_id", "same", "source", F.explode(F.arrays_zip("line", "line_words")).alias("x")
     ).select("doc_id", "same", "source", "x.line", "x.line_words")
-    often = frequent_lines(rows, limits).select(
+    often = stored(frequent_lines(rows, docs, limits), "frequent").select(
         F.col("source").alias("host_"), F.col("line").alias("often_")
     )
     hit = (
@@ -218,7 +217,7 @@ def quality(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     so are tied lines. An empty table gives no rows. Further columns are not looked at.
     """
     rows = stored(measured(docs, limits.window, limits.min_line_words), "quality")
-    return judged(rows, limits).select(
+    return judged(rows, docs, limits).select(
         "doc_id", *COUNTS, "base_failed", "kept", "n_left", F.size("removed").cast("long").alias("n_removed_lines")
     )
 
@@ -247,7 +246,7 @@ def clean(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     """
     rows = stored(measured(docs, limits.window, limits.min_line_words), "quality")
     verdict = (
-        judged(rows, limits)
+        judged(rows, docs, limits)
         .filter("kept")
         .groupBy("doc_id", "same")
         .agg(F.first("removed").alias("removed"))

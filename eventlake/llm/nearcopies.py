@@ -1,8 +1,8 @@
 """Near copies: texts whose sets of five-word shingles have Jaccard similarity 0.8 or more.
 
 Each text gets ``BANDS`` keys of ``ROWS`` MinHash values. Texts that meet under a key, directly
-or over others, are a cluster; the texts of a cluster are compared by their whole shingle
-sets, so a link is always exact. Two texts of similarity s miss each other with chance
+or over others, are a cluster; inside a cluster whole shingle sets are compared, so a link
+is always exact. Two texts of similarity s miss each other's cluster with chance
 (1 - s ** ROWS) ** BANDS at most: 8e-5 at 0.8, 2e-8 at 0.9. Equal texts are one node.
 """
 
@@ -65,109 +65,132 @@ def node() -> Column:
 
 def _key_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        keys = [band_keys(shingles(t.as_buffer().to_pybytes())) for t in batch.column(2)]
+        keys = [band_keys(shingles(t.as_buffer().to_pybytes())) for t in batch.column("text")]
         yield pa.RecordBatch.from_arrays(
-            [*batch.columns[:2], pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "node", "keys"]
+            [batch.column("node"), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"]
         )
 
 
-def _forest(nodes: list[int], keys: np.ndarray, sets: list[np.ndarray]) -> Iterator[tuple[int, int]]:
-    """Links that join what is connected: of similar texts that share a key."""
-    label = np.arange(len(nodes))
-    for i in range(len(nodes) - 1):
-        apart = np.flatnonzero(label[i + 1 :] != label[i]) + i + 1
-        for j in apart[(keys[apart] == keys[i]).any(axis=1)]:
-            if label[j] != label[i] and similar(sets[i], sets[j]):
-                label[label == label[j]] = label[i]
-                yield max(nodes[i], nodes[j]), min(nodes[i], nodes[j])
-
+class Rest:
+    """Texts of a cluster that are unlike its first one, against further texts of it."""
+
+    def __init__(self):
+        self.nodes: list[int] = []
+        self.keys: list[np.ndarray] = []
+        self.sets: list[np.ndarray] = []
+        self.label: np.ndarray | None = None
+
+    def hold(self, node: int, keys: np.ndarray, text: bytes) -> None:
+        self.nodes.append(node)
+        self.keys.append(keys)
+        self.sets.append(shingles(text))
+
+    def links(self, node: int, keys: np.ndarray, text: bytes, to_first: bool) -> Iterator[tuple[int, int]]:
+        """Links of one text that join what is not joined yet. ``to_first``: it is known to
+        be like the first text, as are all texts with label -1."""
+        if self.label is None:
+            self.label = np.arange(len(self.nodes))
+            self.key_table = np.array(self.keys)
+        own, here = -1 if to_first else None, None
+        for j in np.flatnonzero((self.key_table == keys).any(axis=1)):
+            if self.nodes[j] == node or (own is not None and self.label[j] == own):
+                continue
+            here = shingles(text) if here is None else here
+            if similar(here, self.sets[j]):
+                yield max(node, self.nodes[j]), min(node, self.nodes[j])
+                if own is None:
+                    own = self.label[j]
+                else:
+                    low, high = sorted((own, self.label[j]))
+                    self.label[self.label == high] = low
+                    own = low
+
+
+def _rest_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compares the texts to hold of each (root, chunk, part) with the others, which follow."""
+    group, rest = None, Rest()
+    for batch in batches:
+        links = []
+        names = ("root", "chunk", "part", "follows", "to_first", "node")
+        heads = zip(*(batch.column(k).to_pylist() for k in names), strict=True)
+        for i, (*of, follows, to_first, name) in enumerate(heads):
+            if group != of:
+                group, rest = of, Rest()
+            keys = batch.column("keys")[i].values.to_numpy()
+            text = batch.column("text")[i].as_buffer().to_pybytes()
+            if follows:
+                links += rest.links(name, keys, text, to_first)
+            else:
+                rest.hold(name, keys, text)
+        columns = list(zip(*links, strict=True)) or [(), ()]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-def _compare_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Compares the rows of each (root, pair), which come together."""
-    group, nodes, keys, sets = None, [], [], []
 
-    def out() -> pa.RecordBatch:
-        links = list(_forest(nodes, np.array(keys), sets))
+def _first_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compares the rows of each (root, part) with the first of them, the root's own text."""
+    group, first = None, None
+    for batch in batches:
+        links = []
+        heads = zip(*(batch.column(k).to_pylist() for k in ("root", "part", "node")), strict=True)
+        for i, (root, part, name) in enumerate(heads):
+            here = shingles(batch.column("text")[i].as_buffer().to_pybytes())
+            if group != (root, part):
+                group, first = (root, part), here
+            elif similar(first, here):
+                links.append((name, root))
         columns = list(zip(*links, strict=True)) or [(), ()]
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b"])
 
-    for batch in batches:
-        heads = zip(*(batch.column(k).to_pylist() for k in ("root", "pair", "node")), strict=True)
-        for i, (root, pair, name) in enumerate(heads):
-            if group != (root, pair):
-                if len(nodes) > 1:
-                    yield out()
-                group, nodes, keys, sets = (root, pair), [], [], []
-            nodes.append(name)
-            keys.append(batch.column("keys")[i].values.to_numpy())
-            sets.append(shingles(batch.column("text")[i].as_buffer().to_pybytes()))
-    if len(nodes) > 1:
-        yield out()
-
-
-def links(texts: DataFrame, nodes: DataFrame, chunk: int = 1024) -> DataFrame:
-    """Links (a, b), b < a, that connect what is similar; ``nodes`` holds (node, keys).
-
-    The texts of a cluster of more than ``chunk`` are dealt into chunks by hash, and each
-    pair of chunks is compared in a group of its own, so no cluster sits in one task. A
-    group returns a spanning forest, not its pairs.
+
+def links(texts: DataFrame, nodes: DataFrame, chunk: int = 512) -> DataFrame:
+    """Links (a, b), b < a, between similar texts; ``nodes`` holds (node, keys).
+
+    Texts that share a key, directly or over others, are a cluster. Each of its texts is
+    first compared with that of its smallest node, in parts of ``chunk`` rows: a group
+    of copies is done with that. What is unlike it, mostly few, is dealt into chunks,
+    and each chunk is compared with each part of the cluster, so no cluster sits in
+    one task. What is connected already is not compared again.
     """
+    zero = F.lit(0).cast("long")
     keyed = nodes.select("node", F.explode("keys").alias("key"))
     met = keyed.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     edges = keyed.join(met.select("key", "b"), "key").filter("node > b").select(F.col("node").alias("a"), "b")
     linked = stored(components(edges.distinct()), "clusters")
-    member = linked.union(linked.select(F.col("root").alias("a"), "root").distinct())
-    sizes = member.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
-    chunks = F.ceil(F.col("n") / chunk).cast("long")
-    own = F.pmod(F.xxhash64("a"), chunks)
-    other = F.sequence(F.lit(0).cast("long"), chunks - 1)
-    pairs = F.when(chunks == 1, F.array(F.lit(0).cast("long"))).otherwise(
-        F.transform(
-            F.filter(other, lambda x: x != own),
-            lambda x: F.least(own, x) * chunks + F.greatest(own, x),
-        )
-    )
-    dealt = member.join(sizes, "root").select(F.col("a").alias("node"), "root", pairs.alias("pairs"))
-    whole = texts.join(dealt.select("node"), "node", "left_semi").dropDuplicates(["node"])
-    rows = whole.join(dealt, "node").join(nodes, "node")
-    groups = rows.select("root", F.explode("pairs").alias("pair"), "node", "keys", "text")
-    groups = groups.repartition("root", "pair").sortWithinPartitions("root", "pair", "node")
-    return groups.transform(map_batches, _compare_task, "a long, b long").distinct()
-
-
-def classes(docs: DataFrame) -> DataFrame:
-    """(node, root, component_id) for each ``node`` of ``docs`` (doc_id, text)."""
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), node().alias("node"), text_or_empty().cast("binary").alias("text"))
-    keyed = texts.transform(map_batches, _key_task, "doc_id long, node long, keys array<long>")
-    nodes = stored(keyed.groupBy("node").agg(F.min("doc_id").alias("low"), F.first("keys").alias("keys")), "nodes")
-    roots = components(links(texts.select("node", "text"), nodes.select("node", "keys")))
-    member = nodes.join(roots, nodes.node == roots.a, "left").select(
-        "node", "low", F.coalesce("root", "node").alias("root")
-    )
-    lowest = member.groupBy("root").agg(F.min("low").alias("component_id"))
-    return member.join(lowest, "root").select("node", "root", "component_id")
-
-
-def without_near_copies(docs: DataFrame) -> DataFrame:
-    """Keeps one row of each class, that with the smallest doc_id, columns unchanged.
-
-    Rows that share doc_id and text count as one document. In a class whose doc_ids are
-    all null, one row stays.
-    """
-    # Packed into a struct, the columns of the documents can have any names.
-    packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"), "doc_id", node().alias("node_"))
-    marked = packed.withColumns(
-        {"null_": F.col("doc_id").isNull(), "id_": F.coalesce("doc_id", F.lit(0)).cast("long")}
+    whole = texts.dropDuplicates(["node"])
+
+    def parts(n: str) -> Column:
+        return F.ceil(F.col(n) / chunk).cast("long")
+
+    sizes = linked.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
+    in_part = F.pmod(F.xxhash64("node"), parts("n")).alias("part")
+    member = linked.select(F.col("a").alias("node"), "root").join(sizes, "root")
+    first = sizes.select(F.col("root").alias("node"), "root", F.explode(F.sequence(zero, parts("n") - 1)).alias("part"))
+    rows = whole.join(member.select("node", "root", in_part).unionByName(first), "node").select("root", "part", "node", "text")
+    # The root is the smallest node of its cluster, so it comes first.
+    rows = rows.repartition("root", "part").sortWithinPartitions("root", "part", "node")
+    like_first = stored(rows.transform(map_batches, _first_task, "a long, b long"), "links")
+
+    rest = stored(linked.join(like_first, "a", "left_anti").select(F.col("a").alias("node"), "root"), "rest")
+    left = rest.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
+    both = member.join(left, "root").join(rest.select("node", F.lit(False).alias("to_first")), "node", "left")
+    told = both.select(
+        "node", "root", F.explode(F.sequence(zero, parts("m") - 1)).alias("chunk"), in_part,
+        F.lit(True).alias("follows"), F.coalesce("to_first", F.lit(True)).alias("to_first"),
     )
-    known = stored(classes(docs.select("doc_id", "text")), "classes")
-    key = ["null_", "id_", "node_"]
-    keep = (
-        marked.select(*key, F.col("doc_id").cast("long").alias("doc_id"))
-        .join(known, F.col("node_") == known.node)
-        .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
-        .groupBy("root")
-        .agg(F.min(F.struct(*key)).alias("k"))
-        .select("k.*")
+    held = rest.join(left, "root").join(sizes, "root").select(
+        "node", "root", F.pmod(F.xxhash64("node"), parts("m")).alias("chunk"),
+        F.explode(F.sequence(zero, parts("n") - 1)).alias("part"), F.lit(False).alias("follows"), F.lit(False).alias("to_first"),
     )
-    kept = marked.select(*key, "row_").join(keep, key, "left_semi").dropDuplicates(key)
-    return kept.select("row_.*")
+    groups = whole.join(told.unionByName(held), "node").join(nodes, "node")
+    group = ["root", "chunk", "part"]
+    groups = groups.repartition(*group).sortWithinPartitions(*group, "follows", "node")
+    return like_first.unionByName(groups.transform(map_batches, _rest_task, "a long, b long").distinct())
+
+
+def classes(texts: DataFrame) -> DataFrame:
+    """(node, root) for each ``node`` of ``texts`` (node, text as bytes); near copies, and
+    what they connect, share a root. Equal nodes are taken for equal texts."""
+    keyed = texts.transform(map_batches, _key_task, "node long, keys array<long>")
+    nodes = stored(keyed.groupBy("node").agg(F.first("keys").alias("keys")), "nodes")
+    roots = components(links(texts, nodes))
+    return nodes.join(roots, nodes.node == roots.a, "left").select("node", F.coalesce("root", "node").alias("root"))

@@ -99,11 +99,11 @@ def test_filter_lets_all_its_phrases_through():
         for p in np.concatenate(C.probes(hashes, bits)).tolist():
             part = parts.setdefault(p // 32768 + 1, bytearray(4096))
             part[p % 32768 // 8] |= 1 << p % 8
-        full = C.PhraseFilter(bits, {k: bytes(v) for k, v in parts.items()})
+        full = C.HashFilter(bits, {k: bytes(v) for k, v in parts.items()})
         assert full.has(hashes).all()
     others = C.word_hashes([b"v%d" % i for i in range(5000)], "en")
     assert full.has(others).mean() < 0.01
-    assert not C.PhraseFilter(15, {}).has(hashes).any()
+    assert not C.HashFilter(15, {}).has(hashes).any()
 
 
 @pytest.mark.parametrize("size", [1, 7, 64, 10**6])

@@ -80,13 +80,14 @@ def test_frequent_lines_deplete_documents_but_copies_do_not(documents):
     assert {i for i, r in out.items() if not r.kept} == set(range(40, 60))
     assert all(out[i].n_removed_lines == 1 for i in range(60)) and all(out[i].n_removed_lines == 0 for i in range(60, 200))
 
+    # Whole texts that hold a line, near copies (all of the last 40, and the 100 equal ones) as one.
     by_line = defaultdict(set)
     for i, t in rows:
         for x in t.split("\n"):
-            by_line[lines.line_hash(x.encode())].add(lines.signature(t.encode()))
+            by_line[lines.line_hash(x.encode())].add(i if i < 60 else i // 100 if i < 160 else -1)
     want = {h for h, s in by_line.items() if len(s) > 20}
     measured = lines.measured(documents(rows))
-    assert {r.line for r in lines.frequent_lines(measured, limits).collect()} <= want
+    assert {r.line for r in lines.frequent_lines(measured, documents(rows), limits).collect()} == want
 
     df = documents(rows, ["removed_", "same_"])
     cleaned = lines.clean(df, limits)
@@ -96,6 +97,51 @@ def test_frequent_lines_deplete_documents_but_copies_do_not(documents):
     assert kept[70].text == rows[70][1] and set(kept) == set(range(200)) - set(range(40, 60))
 
 
+def plain_verdicts(rows, limits):
+    """(doc_id, n_left, kept) by comparing the shingle sets of all texts of a host."""
+    from test_nearcopies import plain_shingles
+
+    texts = sorted({t or "" for _, t in rows})
+    sets = [plain_shingles(t) for t in texts]
+    root = list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    at = {t: find(i) for i, t in enumerate(texts)}
+    holders = defaultdict(set)
+    for t in texts:
+        for x in t.split("\n"):
+            if len(x.split()) >= limits.min_line_words:
+                holders[lines.line_hash(x.encode())].add(at[t])
+    often = {h for h, s in holders.items() if len(s) > limits.max_documents and len(s) > limits.max_share * len(texts)}
+    out = []
+    for i, t in rows:
+        n, *_, failed = plain(t)
+        gone = {}
+        for x in (t or "").split("\n"):
+            h = lines.line_hash(x.encode())
+            if h in often:
+                gone[h] = gone.get(h, 0) + len(x.encode().split())
+        left = n - sum(gone.values())
+        out.append((i, left, not failed and left >= limits.min_left * n))
+    return sorted(out)
+
+
+def test_verdicts_by_brute_force(documents):
+    limits = lines.Limits(max_documents=12, max_share=0.02)
+    rows = corpus() + [(300 + i, f"{prose('odd', 5)} {i}\n{prose(f'z{i % 9}', 12)}\nof one two three") for i in range(50)]
+    got = sorted((r.doc_id, r.n_left, r.kept) for r in lines.quality(documents(rows), limits).collect())
+    assert got == plain_verdicts(rows, limits)
+    assert any(not kept for *_, kept in got)
+
+
 def test_hosts_are_apart(spark, documents):
     rows = spark.createDataFrame(
         [(i, f"{prose(i, 30)}\nshared line of words", "en", f"src{i % 30}" if i % 2 else None, 1) for i in range(60)],

@@ -3,8 +3,18 @@ from __future__ import annotations
 import random
 from itertools import combinations
 
-import corpus_pipeline
 from eventlake.llm import nearcopies
+from eventlake.llm.shared import text_or_empty
+
+
+def texts(df):
+    return df.select("doc_id", nearcopies.node().alias("node"), text_or_empty().cast("binary").alias("text"))
+
+
+def survivors(df):
+    """Smallest id of each class."""
+    known = nearcopies.classes(texts(df).drop("doc_id"))
+    return sorted(r[0] for r in texts(df).join(known, "node").groupBy("root").agg({"doc_id": "min"}).select("min(doc_id)").collect())
 
 
 def plain_shingles(text):
@@ -49,30 +59,39 @@ def corpus(seed=3):
     return list(enumerate(texts))
 
 
-def test_stage_keeps_what_brute_force_keeps(spark, documents):
+def test_classes_are_those_of_brute_force(documents):
     rows = corpus()
-    df = documents(rows, ["node_", "root"])
-    out = corpus_pipeline.near_dedup(spark, df, "")
-    assert out.columns == df.columns
-    assert sorted(r.doc_id for r in out.collect()) == plain_survivors(rows)
+    assert survivors(documents(rows, ["node", "root"])) == plain_survivors(rows)
 
 
 def test_a_cluster_in_chunks(spark, documents):
     rng = random.Random(4)
     words = [f"w{i}" for i in range(400)]
     rows = [(i, edited(rng, words, 3)) for i in range(60)]
-    nodes = nearcopies.classes(documents(rows)).select("node")
-    texts = documents(rows).select(nearcopies.node().alias("node"), "text")
+    given = texts(documents(rows)).drop("doc_id")
     keyed = spark.createDataFrame(
-        [(r.node, nearcopies.band_keys(nearcopies.shingles(r.text.encode())).tolist()) for r in texts.collect()],
+        [(r.node, nearcopies.band_keys(nearcopies.shingles(bytes(r.text))).tolist()) for r in given.collect()],
         "node long, keys array<long>",
     )
-    links = nearcopies.links(texts.withColumn("text", texts.text.cast("binary")), keyed, chunk=7)
-    assert nodes.count() == 60 and nearcopies.components(links).select("a").distinct().count() == 59
+    links = nearcopies.links(given, keyed, chunk=7)
+    assert nearcopies.components(links).select("a").distinct().count() == 59
+
+
+def test_a_large_group_of_near_copies(documents):
+    """Each text moves once: a group of near copies is done with its first text."""
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, edited(rng, words, 1)) for i in range(5000)]
+    assert survivors(documents(rows)) == [0]
+
+
+def test_what_is_unlike_the_first_text_is_linked_too(documents):
+    """A chain: neighbours are similar, the ends are not."""
+    words = [f"w{i}" for i in range(400)]
+    rows = [(k, " ".join(f"new{i}" if i < 12 * k else w for i, w in enumerate(words))) for k in range(8)]
+    assert len(plain_survivors(rows)) == 1 and survivors(documents(rows)) == [0]
 
 
-def test_equal_ids_and_null_ids(documents):
-    rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "x y"), (None, "p q r"), (None, "p q r"), (2, "A b c d e f")]
-    out = nearcopies.without_near_copies(documents(rows)).collect()
-    assert sorted((str(r.doc_id), r.text) for r in out) == [("1", "a b c d e f"), ("1", "x y"), ("None", "p q r")]
-    assert nearcopies.without_near_copies(documents([])).count() == 0
+def test_rows_without_words(documents):
+    assert survivors(documents([])) == []
+    assert survivors(documents([(3, None), (2, ""), (1, "a"), (5, "A")])) == [1, 2]
