@@ -220,7 +220,9 @@ def both_have(rows: DataFrame) -> DataFrame:
     """
     items = F.sort_array(F.collect_list(F.struct("source", "n", "p", "p0"))).alias("items")
     paths = rows.groupBy("lang", "term").agg(items).groupBy("lang", "items").agg(F.count(F.lit(1)).alias("times"))
-    ordered = paths.filter(F.size("items") > 1).repartitionByRange("lang", "items").sortWithinPartitions("lang", "items")
+    # Dealt by how a row begins: bounds of ranges are sampled, and a whole row can be long.
+    begin = F.transform(F.slice("items", 1, 4), lambda x: F.struct(x["source"], x["n"]))
+    ordered = paths.filter(F.size("items") > 1).repartitionByRange("lang", begin).sortWithinPartitions("lang", "items")
     found = ordered.transform(map_batches, _tree_task, "lang string, a string, b string, value long")
     return found.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
 
