@@ -16,11 +16,12 @@ from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.plans import daily, jobs
-from eventlake.schema import BRONZE_SCHEMA, PUSH, REST, SILVER_SCHEMA, WATCH
+from eventlake.schema import BRONZE_SCHEMA, EVENT_COLUMNS, PUSH, REST, SILVER_SCHEMA, WATCH
 from eventlake.sources import layers, sample
 from eventlake.sources.raw import missing_files as hours_without_file
 from eventlake.sources.raw import lines_per_hour, read_lines, read_raw
 from eventlake.sources.scratch import scratch_path
+from eventlake.streaming import hours
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,7 +87,7 @@ def actors(spark: SparkSession, sf: str) -> DataFrame:
     return G.top_actors(grain(spark, sf, "actor_login"))
 
 
-def hours(spark: SparkSession, sf: str) -> DataFrame:
+def by_hour(spark: SparkSession, sf: str) -> DataFrame:
     return G.events_by_hour(grain(spark, sf, "created_at"))
 
 
@@ -134,6 +135,43 @@ def gold_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def streamed(spark: SparkSession, sf: str, delay_days: int, redelivered: bool, made) -> tuple[str, DataFrame]:
+    """Raw files read as a stream in several batches, and between them a stream over their
+    events; its table. Copies of redelivered events come in later files."""
+    root = scratch_path(spark, "stream")
+    events, out, delay = f"{root}/split", f"{root}/out", f"{delay_days} days"
+    once = raw(spark, sf)
+
+    def run() -> DataFrame:
+        hours.split_late(spark, f"{root}/raw/*", events, f"{root}/done/split", delay, files_per_batch=300)
+        rows = made(hours.event_stream(spark, events, delay))
+        hours.append(rows, out, f"{root}/done/out")
+        return rows
+
+    sample.write_raw_lines(sample.raw_lines(once), f"{root}/raw/a")
+    run()
+    if redelivered:
+        again = once.filter(F.col("id").cast("bigint") % 10 == 0)
+        sample.write_raw_lines(sample.raw_lines(again), f"{root}/raw/b")
+    # Moves the watermark past all events, which closes their hours.
+    sample.write_heartbeat(once, delay_days + 1, f"{root}/raw/z")
+    rows = run()
+    return events, spark.read.schema(rows.schema).parquet(out)
+
+
+def stream_unique_events(spark: SparkSession, sf: str) -> DataFrame:
+    _, rows = streamed(spark, sf, 60, True, hours.unique_events)
+    return rows.filter(F.col("type") != hours.HEARTBEAT).select(*EVENT_COLUMNS)
+
+
+def stream_hours(spark: SparkSession, sf: str) -> DataFrame:
+    """Hours closed by the stream, and the late events that were set aside, added up."""
+    events, closed = streamed(spark, sf, 2, False, hours.hour_counts)
+    late = G.events_by_date_and_hour(hours.late_events(spark, events))
+    both = closed.unionByName(late)
+    return both.groupBy("event_date", "hour").agg(F.sum("event_count").alias("event_count"))
+
+
 def lake_by_day(spark: SparkSession, sf: str, done=lambda lake: None) -> str:
     """Silver of redelivered events, loaded by runs over parts of the dates, later ones
     first; each tenth event is delivered again a day later. ``done`` follows each run."""
@@ -319,16 +357,18 @@ QUERIES: dict[str, Query] = {
         S.gate_labels(bronze(s, d, redelivered=True)), stored_silver(s, d)
     ),
     "silver_by_day": silver_by_day,
+    "stream_unique_events": stream_unique_events,
+    "stream_hours": stream_hours,
     # Gold and findings
     "gold_by_day": gold_by_day,
     "top_repos_by_stars": stars,
-    "events_by_hour": hours,
+    "events_by_hour": by_hour,
     "events_by_date_and_hour": lambda s, d: G.events_by_date_and_hour(
         events(s, d, "event_date", "created_at")
     ),
     "top_actors": actors,
     "top_repos_by_events": lambda s, d: G.top_repos_by_events(events(s, d, "repo_name")),
-    "hour_peak_quiet": lambda s, d: G.hour_peak_quiet(hours(s, d)),
+    "hour_peak_quiet": lambda s, d: G.hour_peak_quiet(by_hour(s, d)),
     "top10_repos": lambda s, d: G.first_repos(stars(s, d)),
     "top10_actors": lambda s, d: G.first_actors(actors(s, d)),
     "non_bot_of_top": lambda s, d: G.non_bot_of_top(actors(s, d)),

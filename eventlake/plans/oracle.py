@@ -210,6 +210,9 @@ _BODIES: dict[str, str] = {
         SELECT 'top_repos_by_stars' AS table_name, repo_name AS key, star_count AS n FROM stars
         UNION ALL SELECT 'events_by_hour', CAST(hour AS VARCHAR), event_count FROM hours
         UNION ALL SELECT 'top_actors', actor_login, event_count FROM actors""",
+    "stream_unique_events": f"SELECT DISTINCT {_FLAT} FROM redelivered",
+    "stream_hours": """SELECT event_date, hour, count(*) AS event_count
+        FROM raw GROUP BY 1, 2""",
     "top_repos_by_stars": "SELECT * FROM stars",
     "events_by_hour": "SELECT * FROM hours ORDER BY hour",
     "events_by_date_and_hour": """SELECT event_date, hour, count(*) AS event_count

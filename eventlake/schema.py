@@ -49,11 +49,12 @@ SILVER_COLUMNS = (
 
 EVENT_COLUMNS = SILVER_COLUMNS[:-2]
 
-SILVER_SCHEMA = (
+EVENT_SCHEMA = (
     "event_id string, type string, actor_id bigint, actor_login string, repo_id bigint, "
     "repo_name string, org_login string, public boolean, created_at timestamp_ntz, "
-    "event_date date, pr_label_name string, pr_label_color string"
+    "event_date date"
 )
+SILVER_SCHEMA = f"{EVENT_SCHEMA}, pr_label_name string, pr_label_color string"
 
 # Event type names, list lengths and payload field names.
 PULL_REQUEST = "PullRequestEvent"

@@ -140,6 +140,16 @@ def break_some_lines(lines: DataFrame) -> DataFrame:
     )
 
 
+def write_heartbeat(envelope_rows: DataFrame, days: int, path: str) -> None:
+    """A raw file with one event that only tells the time: some days after the last one."""
+    pattern = F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")
+    later = F.to_timestamp_ntz(F.max("created_at"), pattern) + F.make_dt_interval(F.lit(days))
+    last = envelope_rows.agg(later.alias("t")).filter("t IS NOT NULL")
+    stamp = F.date_format("t", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at")
+    line = F.to_json(F.struct(F.lit("Heartbeat").alias("type"), stamp))
+    write_raw_lines(last.select(line.alias("value")), path)
+
+
 def cut_some_hours(lines: DataFrame) -> DataFrame:
     """Leaves a quarter of the lines of every 29th hour, as when a download breaks off."""
     stamp = F.get_json_object("value", "$.created_at")

@@ -29,9 +29,10 @@ def new_raw_lines(spark: SparkSession, folder: str, files_per_batch: int = 1000)
 
 def write_batch(rows: DataFrame, number: int, path: str, *by: str) -> None:
     """Rows of one batch to directories of its own, which they replace."""
+    order = [c for c in ("event_date", "type") if c in rows.columns]
+    ordered = rows.sortWithinPartitions(*order) if order else rows
     (
-        rows.withColumn(BATCH, F.lit(number))
-        .sortWithinPartitions(*(c for c in ("event_date", "type") if c in rows.columns))
+        ordered.withColumn(BATCH, F.lit(number))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by, BATCH)
