@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from eventlake.functions import payload as P
@@ -157,6 +157,48 @@ def payload_field_kinds(raw: DataFrame) -> DataFrame:
     )
 
 
+def payload_kinds_by_date(bronze: DataFrame) -> DataFrame:
+    """(event_date, field, kinds): the outermost kinds each payload field has on a date, sorted.
+
+    At most a few kinds a field. Null values have no kind. Dates can be made one by one and
+    put together, as with ``write_by_date``.
+    """
+    rows = bronze.select("event_date", F.col("payload").alias("v"))
+    fields = rows.lateralJoin(bronze.sparkSession.tvf.variant_explode(F.col("v").outer()))
+    kind = F.regexp_extract(F.schema_of_variant("value"), "^[A-Z]+", 0)
+    seen = fields.select("event_date", F.col("key").alias("field"), kind.alias("kind"))
+    return (
+        seen.filter(F.col("kind") != "VOID")
+        .groupBy("event_date", "field")
+        .agg(F.array_join(F.sort_array(F.collect_set("kind")), ",").alias("kinds"))
+    )
+
+
+def schema_changes(kinds: DataFrame) -> DataFrame:
+    """What differs from the date before that has events: fields gained, lost, and changed.
+
+    A row a date, field and change; the input has a row a date and field. The first date has
+    nothing to be compared with. Rows without a date are left out.
+    """
+    dated = kinds.filter(F.col("event_date").isNotNull())
+    # One row a date: bounded by the dates.
+    order = Window.orderBy("event_date")
+    dates = dated.select("event_date").distinct().withColumn("after", F.lead("event_date").over(order))
+    before = dated.join(dates, "event_date").filter(F.col("after").isNotNull()).select(
+        F.col("after").alias("event_date"), "field", F.col("kinds").alias("kinds_before")
+    )
+    first = dates.agg(F.min("event_date")).scalar()
+    both = dated.join(before, ["event_date", "field"], "full").filter(F.col("event_date") > first)
+    change = (
+        F.when(F.col("kinds_before").isNull(), "gained")
+        .when(F.col("kinds").isNull(), "lost")
+        .when(F.col("kinds") != F.col("kinds_before"), "changed")
+    )
+    return both.withColumn("change", change).filter(F.col("change").isNotNull()).select(
+        "event_date", "field", "change", "kinds_before", "kinds"
+    )
+
+
 def record_union_schema(lines: DataFrame) -> DataFrame:
     """Every field of whole lines and of their accounts and repositories, with its type
     merged over all records; nested names are dotted."""

@@ -220,6 +220,15 @@ def stored_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return layers.read_layer(spark, bronze_layer(spark, sf), schema=BRONZE_SCHEMA)
 
 
+def schema_changes(spark: SparkSession, sf: str) -> DataFrame:
+    """Kinds of payload fields by date, stored by date, compared with the date before."""
+    rows = B.bronze(sample.add_payload_field(raw(spark, sf)))
+    path = scratch_path(spark, "kinds")
+    layers.write_by_date(P.payload_kinds_by_date(stored(rows, "bronze")), path, gather=True, sort_by=("field",))
+    kept = layers.read_layer(spark, path, schema="field string, kinds string, event_date date")
+    return P.schema_changes(kept)
+
+
 def partition_layout(spark: SparkSession, sf: str) -> DataFrame:
     return layers.partition_layout(spark, bronze_layer(spark, sf))
 
@@ -396,6 +405,7 @@ QUERIES: dict[str, Query] = {
     "payload_union_schema": lambda s, d: P.payload_union_schema(stored_bronze(s, d)),
     "record_union_kinds": record_union_kinds,
     "payload_field_kinds": lambda s, d: P.payload_field_kinds(stored_bronze(s, d)),
+    "schema_changes": schema_changes,
     "payload_field_presence": lambda s, d: P.payload_field_presence(stored_bronze(s, d)),
     "missing_payload_fields": lambda s, d: Q.missing_payload_fields(stored_bronze(s, d)),
     "array_size_stats": lambda s, d: P.array_size_stats(stored_bronze(s, d)),

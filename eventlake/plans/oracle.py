@@ -35,7 +35,7 @@ raw AS (
       THEN 1 + k % 2 END AS n_assignees
   FROM base),
 fields AS (
-  SELECT type, unnest([
+  SELECT type, event_date, unnest([
     {'field': 'action', 'kind': 'STRING', 'hit': type = 'WatchEvent' OR thread},
     {'field': 'assignees', 'kind': 'ARRAY', 'hit': n_assignees IS NOT NULL},
     {'field': 'before', 'kind': 'STRING', 'hit': type = 'PushEvent'},
@@ -260,6 +260,20 @@ _BODIES: dict[str, str] = {
         SELECT 'actor_login' AS column_name, count(*) AS distinct_values
           FROM (SELECT DISTINCT actor_login FROM raw)
         UNION ALL SELECT 'repo_name', count(*) FROM (SELECT DISTINCT repo_name FROM raw)""",
+    "schema_changes": """
+        SELECT * FROM (WITH kinds AS (
+          SELECT event_date, field, string_agg(DISTINCT kind, ',' ORDER BY kind) AS kinds FROM (
+            SELECT event_date, field, kind FROM fields WHERE hit
+            UNION ALL SELECT event_date, 'novel', CASE WHEN day(event_date) % 9 = 0 THEN 'STRING' ELSE 'BIGINT' END
+            FROM raw WHERE day(event_date) % 3 = 0) GROUP BY 1, 2),
+        dates AS (SELECT event_date, lead(event_date) OVER (ORDER BY event_date) AS after
+          FROM (SELECT DISTINCT event_date FROM kinds)),
+        before AS (SELECT after AS event_date, field, kinds AS kinds_before
+          FROM kinds JOIN dates USING (event_date) WHERE after IS NOT NULL)
+        SELECT event_date, field, CASE WHEN kinds_before IS NULL THEN 'gained' WHEN kinds IS NULL THEN 'lost'
+          ELSE 'changed' END AS change, kinds_before, kinds
+        FROM kinds FULL JOIN before USING (event_date, field)
+        WHERE event_date > (SELECT min(event_date) FROM kinds) AND kinds IS DISTINCT FROM kinds_before)""",
     "payload_keys_by_type": """SELECT type, field, count(*) AS event_count FROM fields
         WHERE hit GROUP BY 1, 2""",
     "payload_field_kinds": """SELECT field, kind, count(*) AS event_count FROM fields

@@ -117,3 +117,23 @@ def test_keys_by_type(spark):
 
 def test_core_leaves_the_payload_out(spark):
     assert "payload" not in P.core_projection(raw_rows(spark, [event()])).columns
+
+
+def test_schema_changes(spark):
+    def on(day, payload, i=[0]):  # noqa: B006
+        i[0] += 1
+        return event(str(i[0]), at=f"2024-01-{day:02d}T05:00:00Z", payload=payload)
+
+    events = [
+        on(1, {"a": 1, "b": "x", "gone": [1]}), on(1, {"a": 2}),
+        on(3, {"a": 1, "b": None, "new": {"n": 1}}), on(3, {"a": "one"}),
+        on(4, {"a": "two", "new": {}}), event("n", at="junk", payload={"never": 1}),
+    ]
+    kinds = P.payload_kinds_by_date(bronze_rows(spark, events))
+    got = [(r.event_date.day, r.field, r.change, r.kinds_before, r.kinds) for r in P.schema_changes(kinds).collect()]
+    assert sorted(got) == [
+        (3, "a", "changed", "BIGINT", "BIGINT,STRING"), (3, "b", "lost", "STRING", None),
+        (3, "gone", "lost", "ARRAY", None), (3, "new", "gained", None, "OBJECT"),
+        (4, "a", "changed", "BIGINT,STRING", "STRING"),
+    ]
+    assert P.schema_changes(kinds.limit(0)).collect() == []
