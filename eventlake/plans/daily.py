@@ -25,6 +25,7 @@ from eventlake.plans.jobs import read_gold
 from eventlake.schema import SILVER_SCHEMA, TOP_N, WATCH
 from eventlake.sources.layers import read_layer, write_by_date, write_table
 from eventlake.sources.manifest import changes, in_days, note
+from eventlake.sources.scratch import file_store
 
 
 @dataclass(frozen=True)
@@ -108,9 +109,11 @@ def run_gold_by_day(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
     noted_at = f"{lake}/gold_counts/made_from"
     found = changes(spark, f"{lake}/silver", noted_at)
     for name, table in gold_tables().items():
-        if found.days:
+        path = f"{lake}/gold_counts/month/{name}"
+        where, store = file_store(spark, path)
+        if found.days or not store.exists(where):
             refresh(spark, lake, name, table, found.days)
-        months = read_layer(spark, f"{lake}/gold_counts/month/{name}", schema=table.schema)
+        months = read_layer(spark, path, schema=table.schema)
         write_table(table.ranked(months), f"{lake}/gold/{name}")
     if found.days:
         note(spark, found, noted_at)

@@ -178,6 +178,17 @@ def test_an_index_that_lags_behind_is_refreshed(spark, raw):
     assert ids.IdIndex(spark, lake, 3).refresh() == set(DAYS[1:])
 
 
+def test_a_lake_without_events(spark, folder):
+    write_hour(folder, "2024-01-30-5.json.gz", ["{broken"])
+    lake = f"{folder}/lake"
+    load(spark, folder, lake, DAYS[0])
+    for _ in range(2):
+        assert all(t.count() == 0 for t in daily.run_gold_by_day(spark, lake).values())
+    write_hour(folder, "2024-01-31-0.json.gz", [event("1", at="2024-01-31T05:00:00Z")])
+    load(spark, folder, lake, DAYS[1])
+    assert daily.run_gold_by_day(spark, lake)["top_actors"].count() == 1
+
+
 def test_quoted_path(spark, folder):
     lake = f"{folder}/it's"
     write_hour(folder, "2024-01-30-5.json.gz", HOURS["2024-01-30-5.json.gz"])
