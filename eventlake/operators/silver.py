@@ -96,6 +96,36 @@ def silver_marked(bronze: DataFrame) -> DataFrame:
     return others.unionByName(pulls.select(*SILVER_COLUMNS, opens.alias("opens_event")))
 
 
+def event_table(marked: DataFrame) -> DataFrame:
+    """One row an event of ``silver_marked`` rows, which needs no shuffle: event grain as it is
+    stored, for all that does not ask for labels."""
+    return marked.filter("opens_event").select(*EVENT_COLUMNS)
+
+
+def label_table(marked: DataFrame) -> DataFrame:
+    """(event_id, event_date, name, colour), one row for each event and label.
+
+    A label without a name is kept where the event has others too; alone it is the same
+    as no label.
+    """
+    own = Window.partitionBy("event_id")
+    pulls = marked.filter(_is_pull_request()).withColumn("rows", F.count(F.lit(1)).over(own))
+    named = F.col("pr_label_name").isNotNull() | F.col("pr_label_color").isNotNull() | (F.col("rows") > 1)
+    return pulls.filter(named).select("event_id", "event_date", "pr_label_name", "pr_label_color")
+
+
+def silver_view(event_rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """Silver put together from the two tables; only pull requests look for labels."""
+    pulls = event_rows.filter(_is_pull_request())
+    theirs = labels.select(F.col("event_id").alias("of"), "pr_label_name", "pr_label_color")
+    labelled = pulls.join(theirs, F.col("event_id").eqNullSafe(F.col("of")), "left").select(*SILVER_COLUMNS)
+    none = F.lit(None).cast("string")
+    others = event_rows.filter(~_is_pull_request()).select(
+        *EVENT_COLUMNS, none.alias("pr_label_name"), none.alias("pr_label_color")
+    )
+    return others.unionByName(labelled)
+
+
 def events(bronze: DataFrame, *columns: str) -> DataFrame:
     """Event grain straight from Bronze: one row per event_id.
 

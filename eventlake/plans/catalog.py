@@ -16,7 +16,7 @@ from eventlake.operators import profile as P
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.plans import daily, jobs
-from eventlake.schema import BRONZE_SCHEMA, EVENT_COLUMNS, PUSH, REST, SILVER_SCHEMA, WATCH
+from eventlake.schema import BRONZE_SCHEMA, EVENT_COLUMNS, EVENT_SCHEMA, LABEL_SCHEMA, PUSH, REST, SILVER_SCHEMA, WATCH
 from eventlake.sources import layers, sample
 from eventlake.sources.raw import missing_files as hours_without_file
 from eventlake.sources.raw import lines_per_hour, read_lines, read_raw
@@ -73,6 +73,26 @@ def stored_silver(spark: SparkSession, sf: str) -> DataFrame:
     return layers.read_layer(spark, path, schema=SILVER_SCHEMA)
 
 
+def two_tables(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Silver of redelivered events stored as events and labels, each by date."""
+    marked = S.silver_marked(bronze(spark, sf, redelivered=True))
+    events_path, labels_path = scratch_path(spark, "events"), scratch_path(spark, "labels")
+    layers.write_by_date(S.event_table(marked), events_path, gather=True)
+    layers.write_by_date(S.label_table(marked), labels_path, gather=True, sort_by=("event_id",))
+    return (
+        layers.read_layer(spark, events_path, schema=EVENT_SCHEMA),
+        layers.read_layer(spark, labels_path, schema=LABEL_SCHEMA),
+    )
+
+
+def silver_view(spark: SparkSession, sf: str) -> DataFrame:
+    return S.silver_view(*two_tables(spark, sf))
+
+
+def event_table(spark: SparkSession, sf: str) -> DataFrame:
+    return two_tables(spark, sf)[0]
+
+
 def grain(spark: SparkSession, sf: str, *columns: str) -> DataFrame:
     """Event grain of stored Silver, the input of Gold."""
     return S.event_grain(stored_silver(spark, sf), *columns)
@@ -366,6 +386,8 @@ QUERIES: dict[str, Query] = {
         S.gate_labels(bronze(s, d, redelivered=True)), stored_silver(s, d)
     ),
     "silver_by_day": silver_by_day,
+    "silver_view": silver_view,
+    "event_table": event_table,
     "stream_unique_events": stream_unique_events,
     "stream_hours": stream_hours,
     # Gold and findings

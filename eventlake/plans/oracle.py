@@ -206,6 +206,8 @@ _BODIES: dict[str, str] = {
         (SELECT count(*) FROM silver WHERE pr_label_name IS NOT NULL) AS actual_rows
         FROM redelivered WHERE type = 'PullRequestEvent' AND len(labels) > 0""",
     "silver_by_day": "SELECT * FROM silver",
+    "silver_view": "SELECT * FROM silver",
+    "event_table": f"SELECT DISTINCT {_FLAT} FROM silver",
     "gold_by_day": """
         SELECT 'top_repos_by_stars' AS table_name, repo_name AS key, star_count AS n FROM stars
         UNION ALL SELECT 'events_by_hour', CAST(hour AS VARCHAR), event_count FROM hours

@@ -54,6 +54,7 @@ EVENT_SCHEMA = (
     "repo_name string, org_login string, public boolean, created_at timestamp_ntz, "
     "event_date date"
 )
+LABEL_SCHEMA = "event_id string, event_date date, pr_label_name string, pr_label_color string"
 SILVER_SCHEMA = f"{EVENT_SCHEMA}, pr_label_name string, pr_label_color string"
 
 # Event type names, list lengths and payload field names.

@@ -7,7 +7,7 @@ from eventlake.operators import gold as G
 from eventlake.operators import quality as Q
 from eventlake.operators import silver as S
 from eventlake.operators.keep import one_row_per
-from eventlake.schema import SILVER_COLUMNS
+from eventlake.schema import EVENT_SCHEMA, LABEL_SCHEMA, SILVER_COLUMNS
 from eventlake.sources.layers import read_layer, write_by_date
 
 
@@ -191,3 +191,24 @@ def test_label_expectation_of_redelivered_events_and_null_names(spark):
     leaking = S.silver(b).unionByName(S.silver(b).filter("event_id = '3'").withColumn("pr_label_name", F.lit("no")))
     got = Q.label_row_expectation(S.gate_labels(b), leaking).first()
     assert (got.distinct_label_rows, got.actual_rows) == (3, 4)
+
+
+def test_two_tables_give_silver(spark, folder):
+    rows = [
+        event("1"), event("1"), pull("2", label("x"), label("y")), pull("3"), pull("4", label(None)),
+        pull("5", label(None), label("z")), pull(None, label("n")),
+        event("6", type="IssuesEvent", payload={"labels": [label("no")]}),
+        pull("2", label("x"), at="2024-01-02T00:00:00Z"), event("7", type=None),
+    ]
+    marked = S.silver_marked(bronze_rows(spark, rows))
+    write_by_date(S.event_table(marked), f"{folder}/events")
+    write_by_date(S.label_table(marked), f"{folder}/labels")
+    events = read_layer(spark, f"{folder}/events", schema=EVENT_SCHEMA)
+    labels = read_layer(spark, f"{folder}/labels", schema=LABEL_SCHEMA)
+    silver = S.silver(bronze_rows(spark, rows))
+    view = S.silver_view(events, labels)
+    key = lambda df: sorted((tuple(r[c] for c in silver.columns) for r in df.collect()), key=repr)
+    assert key(view) == key(silver)
+    assert events.count() == silver.select("event_id").distinct().count()
+    assert "Exchange" not in plan(G.stars_per_repo(events).select("repo_name")).split("HashAggregate")[-1]
+    assert "Exchange" not in plan(events.select("event_id", "actor_login"))
