@@ -291,10 +291,19 @@ def without_near_duplicates(docs: DataFrame, radius: int = 3) -> DataFrame:
     """
     # Packed into a struct, the columns of the documents can have any names.
     packed = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("row_"), "doc_id", "text")
-    marked = with_fingerprints(packed).withColumns(
-        {"null_": F.col("doc_id").isNull(), "id_": F.coalesce("doc_id", F.lit(0)).cast("long")}
+    # Fingerprints are made once and stored beside the rows: the last join reads them
+    # instead of sending every whole row through Python a second time.
+    marked = stored(
+        with_fingerprints(packed).select(
+            F.col("doc_id").isNull().alias("null_"),
+            F.coalesce("doc_id", F.lit(0)).cast("long").alias("id_"),
+            "fingerprint_",
+            "doc_id",
+            "row_",
+        ),
+        "simhash",
     )
-    rows = stored(marked.select("doc_id", F.col("fingerprint_").alias("fp")), "simhash")
+    rows = marked.select("doc_id", F.col("fingerprint_").alias("fp"))
     keep = (
         rows.join(classes(rows, radius), "fp")
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))

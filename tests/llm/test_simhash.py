@@ -125,3 +125,12 @@ def test_one_row_of_each_component_stays(documents):
     assert sorted(component[x] for x in got if x[0] is not None) == sorted(c for c in set(component.values()) if not isinstance(c, str))
     assert all(component[d, f] == d for d, f in got if d is not None)
     assert sorted(component[x] for x in got if x[0] is None) == sorted(c for c in set(component.values()) if isinstance(c, str))
+
+
+def test_whole_rows_go_through_python_once(documents):
+    """The kept rows come from stored fingerprints; the UDF does not run on them again."""
+    df = documents(EDGES, ["fingerprint"])
+    kept = simhash.without_near_duplicates(df)
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
+    assert kept.count() == kept.dropDuplicates(["doc_id", "text"]).count()
