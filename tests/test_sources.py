@@ -258,3 +258,17 @@ def test_bronze_keeps_fields_it_does_not_know(spark, folder):
     assert json.loads(rows["2"]) == {
         "event": {"novel": {"a": [1, "1", None]}, "more": None}, "actor": {"plan": 1.5}, "repo": {"x": "y"},
     }
+
+
+def test_raw_lines_are_built_in_all_shuffle_partitions(spark, folder):
+    """One small input file is one split; the lines of raw files are built in all shuffle
+    partitions all the same, and they hold the same rows."""
+    from eventlake.plans import catalog
+    from eventlake.sources.sample import EVENTS_SCHEMA, raw_lines
+
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=i), i % 7, "push", 1.0, '{"k": %d}' % i) for i in range(400)]
+    spark.createDataFrame(rows, EVENTS_SCHEMA).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    spread = catalog.raw_spread(spark, folder)
+    assert spread.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+    assert sorted(raw_lines(spread).collect()) == sorted(raw_lines(catalog.raw(spark, folder)).collect())
